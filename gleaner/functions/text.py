@@ -31,6 +31,11 @@ def strip_end(text: Column) -> Column:
     return F.regexp_replace(text, r"\s+$", "")
 
 
+def strip(text: Column) -> Column:
+    """Text without white space at either end."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def first_line(text: Column) -> Column:
     """First line with a visible character, null when there is none."""
     return F.nullif(F.regexp_extract(text, r"(\S[^\n]*)", 1), F.lit(""))
@@ -78,7 +83,7 @@ def preview(text: Column, width: int = 60) -> Column:
 
 def clean_output(text: Column) -> Column:
     """Double spaces become single in one pass, then the ends are stripped."""
-    return F.regexp_replace(F.replace(text, F.lit("  "), F.lit(" ")), r"^\s+|\s+$", "")
+    return strip(F.replace(text, F.lit("  "), F.lit(" ")))
 
 
 def last_line(text: Column) -> Column:
