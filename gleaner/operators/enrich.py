@@ -13,6 +13,7 @@ TITLE_CHUNKS = 5
 QUESTIONS = 3
 KEYWORDS = 10
 SALTS = 16
+HOT_SHARE = 100
 SCORE_DIGITS = 6
 
 
@@ -30,22 +31,30 @@ def extract_title(chunks: DataFrame, first: int = TITLE_CHUNKS) -> DataFrame:
     return head.groupBy("doc_id").agg(F.coalesce(earliest("heading"), earliest("line")).alias("title"))
 
 
-def join_term_stats(rows: DataFrame, term_stats: DataFrame, spread_by: str, salts: int = SALTS) -> DataFrame:
+def join_term_stats(rows: DataFrame, index: KeywordIndex, spread_by: str, salts: int = SALTS) -> DataFrame:
     """Attach ``df`` to rows with a ``term``.
 
-    Frequent terms would fill single partitions, so rows are spread over
-    ``salts`` parts by ``spread_by`` and the term table, which has one row per
-    term, is repeated once per part.
+    Terms found in more than one chunk in ``HOT_SHARE`` would fill single
+    partitions, so only their rows are spread over ``salts`` parts by
+    ``spread_by``, and only their statistics are repeated. The list of such
+    terms is safe to broadcast: with ``m`` distinct terms in a chunk on
+    average there are at most ``m * HOT_SHARE`` of them, however large the
+    corpus.
     """
-    salted_stats = term_stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted_rows = rows.withColumn("salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    n_chunks = index.chunk_stats.agg(F.count(F.lit(1))).scalar()
+    hot = F.col("df") * HOT_SHARE > n_chunks
+    hot_terms = index.term_stats.filter(hot).select("term", F.lit(True).alias("hot"))
+    parts = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_stats = index.term_stats.withColumn("salt", F.explode(parts))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    salted_rows = rows.join(F.broadcast(hot_terms), "term", "left").withColumn("salt", salt).drop("hot")
     return salted_rows.join(salted_stats, ["term", "salt"]).drop("salt")
 
 
 def top_keywords(index: KeywordIndex, k: int = KEYWORDS) -> DataFrame:
     """``(chunk_id, rank, term, score)``: the ``k`` terms of a chunk with the highest tf-idf."""
     n_chunks = index.chunk_stats.agg(F.count(F.lit(1))).scalar()
-    weighted = join_term_stats(index.postings.select("chunk_id", "term", "tf"), index.term_stats, "chunk_id").select(
+    weighted = join_term_stats(index.postings.select("chunk_id", "term", "tf"), index, "chunk_id").select(
         "chunk_id", "term", F.round(F.col("tf") * F.log(n_chunks / F.col("df")), SCORE_DIGITS).alias("score")
     )
     return top_k(weighted, ["chunk_id"], [F.desc("score"), F.asc("term")], k)
@@ -92,7 +101,7 @@ def summarize(chunks: DataFrame, index: KeywordIndex) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     rarity = (
-        join_term_stats(found, index.term_stats, "chunk_id")
+        join_term_stats(found, index, "chunk_id")
         .groupBy("chunk_id", "sentence_no")
         .agg(F.sum(F.col("tf") * F.log(n_chunks / F.col("df"))).alias("total"), F.sum("tf").alias("n"))
         .select("chunk_id", "sentence_no", F.round(F.col("total") / F.col("n"), SCORE_DIGITS).alias("rarity"))

@@ -56,8 +56,8 @@ def golden_sources(passages: DataFrame, documents: DataFrame, anchor: int = ANCH
 
     The words between the first and the last of a passage appear in the
     document as whole words, so a run of them serves as join key; only documents
-    that meet a passage there are compared in full. Passages of fewer than three words
-    are no passages and match nothing.
+    that meet a passage there are compared in full. Passages of fewer than three
+    words are no passages and match nothing.
     """
     found = tx.words(F.col("text"))
     inner = F.size("words") - 2
@@ -66,29 +66,29 @@ def golden_sources(passages: DataFrame, documents: DataFrame, anchor: int = ANCH
         .filter(inner >= 1)
         .withColumn("length", F.least(inner, F.lit(anchor)))
         .withColumn("anchor", F.array_join(F.slice("words", F.lit(2), F.col("length")), " "))
-        .select("query_id", "passage", "length", F.xxhash64("anchor").alias("key"))
+        .select("query_id", "passage", "length", "anchor")
     )
     lengths = [row["length"] for row in keyed.select("length").distinct().collect()]
 
     def runs(n: int) -> Column:
-        starts = F.sequence(F.lit(0), F.size("words") - n)
-        hashed = F.transform(
-            starts,
-            lambda i: F.struct(F.lit(n).alias("length"), F.xxhash64(F.array_join(F.slice("words", i + 1, n), " ")).alias("key")),
-        )
-        return F.when(F.size("words") >= n, F.array_distinct(hashed))
+        joined = F.col("words")
+        for shift in range(1, n):
+            following = F.slice("words", F.lit(shift + 1), F.size("words"))
+            joined = F.zip_with(joined, following, lambda head, word: F.concat(head, F.lit(" "), word))
+        return joined
 
     in_documents = union_all([
-        documents.select("doc_id", found.alias("words")).select("doc_id", F.explode_outer(runs(n)).alias("run")).select("doc_id", "run.*")
+        documents.select("doc_id", found.alias("words")).select("doc_id", F.explode_outer(runs(n)).alias("anchor"))
+        .filter(F.col("anchor").isNotNull()).withColumn("length", F.lit(n))
         for n in sorted(lengths) or [anchor]
     ])
     candidates = union_all([
-        in_documents.join(batch, ["length", "key"]).select("doc_id", "query_id", "passage")
+        in_documents.join(batch, ["length", "anchor"]).select("doc_id", "query_id", "passage")
         for batch in broadcast_batches(keyed, "query_id")
     ])
     return (
         documents.select("doc_id", "file_name", "text")
-        .join(stage(candidates, "anchored-passages"), "doc_id")
+        .join(stage(candidates.dropDuplicates(["doc_id", "query_id"]), "anchored-passages"), "doc_id")
         .filter(F.contains("text", "passage"))
         .select("query_id", "doc_id", "file_name")
     )

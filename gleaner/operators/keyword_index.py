@@ -43,10 +43,10 @@ def build_index(chunks: DataFrame, stop_words: list[str] | None = None) -> Keywo
     The three tables share one exchange on ``chunk_id``; Spark reuses it when
     they meet in one query.
     """
-    listed = chunk_terms(chunks, stop_words)
-    chunk_stats = listed.select("chunk_id", F.size("terms").cast("bigint").alias("dl"))
+    listed = chunk_terms(chunks, stop_words).select("chunk_id", F.size("terms").cast("bigint").alias("dl"), "terms")
+    chunk_stats = listed.select("chunk_id", "dl")
     postings = (
-        listed.select("chunk_id", F.size("terms").cast("bigint").alias("dl"), F.explode_outer("terms").alias("term"))
+        listed.select("chunk_id", "dl", F.explode_outer("terms").alias("term"))
         .filter(F.col("term").isNotNull())
         .groupBy("chunk_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))

@@ -41,8 +41,8 @@ def bm25_topk(index: KeywordIndex, queries: DataFrame, k: int = TOP_K, k1: float
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
-    n_chunks = index.chunk_stats.agg(F.count(F.lit(1))).scalar()
-    mean_dl = index.chunk_stats.agg(F.avg("dl")).scalar()
+    corpus = index.chunk_stats.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("mean_dl"))).scalar()
+    n_chunks, mean_dl = corpus["n"], corpus["mean_dl"]
     known = index.term_stats.join(query_terms.select("term").distinct(), "term", "left_semi")
     idf = known.select("term", F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
 

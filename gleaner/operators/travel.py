@@ -135,14 +135,14 @@ def range_overlap_join(sessions: DataFrame, ranges: DataFrame, levels: int = RAN
         return F.floor(seconds(name) / (F.pow(F.lit(2.0), level) * 86_400))
 
     def placed(df: DataFrame, begin: str, finish: str, entered: Column) -> DataFrame:
-        def cells(level: Column) -> Column:
-            first, last = cell(begin, level), cell(finish, level)
-            return F.transform(
-                F.sequence(first, last),
-                lambda c: F.struct(level.alias("level"), c.alias("cell"), (c == first).alias("begins")),
-            )
-
-        return df.select("*", F.explode(F.flatten(F.transform(entered, cells))).alias("spot")).select("*", "spot.*").drop("spot")
+        at_level = df.withColumn("level", F.explode(entered))
+        first = cell(begin, F.col("level"))
+        return (
+            at_level.withColumn("first", first)
+            .withColumn("cell", F.explode(F.sequence(F.col("first"), cell(finish, F.col("level")))))
+            .withColumn("begins", F.col("cell") == F.col("first"))
+            .drop("first")
+        )
 
     ordered = ranges.filter("range_start <= range_end").withColumn("own_level", own_level("range_start", "range_end"))
     called = sorted(row["own_level"] for row in ordered.select("own_level").distinct().collect())

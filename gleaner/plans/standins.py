@@ -13,6 +13,9 @@ from gleaner.functions import text as tx
 from gleaner.operators.common import segmented_lead, segmented_running_sum
 
 
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+
+
 class Tables:
     """Test tables of one folder."""
 
@@ -110,9 +113,10 @@ class Tables:
         pieces = self.messages().filter(F.col("role") == "assistant").select(
             "session_id", "turn", tx.spaced_words(F.col("text")).alias("pieces")
         )
-        n = F.size("pieces").cast("bigint")
+        n = F.col("n")
         last = F.col("seq") == n - 1
-        return pieces.select("session_id", "turn", "pieces", F.posexplode("pieces").alias("seq", "delta")).select(
+        counted = pieces.select("session_id", "turn", F.size("pieces").cast("bigint").alias("n"), "pieces")
+        return counted.select("session_id", "turn", "n", F.posexplode("pieces").alias("seq", "delta")).select(
             "session_id", "turn", F.col("seq").cast("bigint").alias("seq"), "delta",
             F.when(last, n * 10).alias("prompt"), F.when(last, n * 5).alias("cached"), F.when(last, n).alias("completion"),
         )
@@ -138,7 +142,7 @@ class Tables:
         )
 
     def sessions(self) -> DataFrame:
-        return self.read("lineitem").select(
+        return self.spread(self.read("lineitem").select(*LINE_COLUMNS), "l_orderkey").select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("session_id"),
             F.col("l_orderkey").alias("event_id"), F.col("l_shipdate").alias("starts"),
             (F.col("l_shipdate") + F.make_dt_interval(F.col("l_linenumber"))).alias("ends"),
