@@ -18,46 +18,47 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def _text_size() -> Column:
+    return F.octet_length(F.to_json(F.struct("*")))
+
+
 def measured_size(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[int, int]:
     """Rows and text bytes of ``df``, reading at most ``max_rows + 1`` rows."""
     row = (
         df.limit(max_rows + 1)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("b"),
+            F.coalesce(F.sum(_text_size()), F.lit(0)).alias("b"),
         )
         .first()
     )
     return row["n"], row["b"]
 
 
-def broadcast_batches(df: DataFrame, key: str, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> list[DataFrame]:
-    """Split ``df`` by ``key`` into parts that are each small enough to broadcast.
+def broadcast_batches(
+    df: DataFrame, key: str, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> list[tuple[DataFrame, bool]]:
+    """Split ``df`` by ``key`` into parts, each with the answer whether it is small enough to broadcast.
 
     The size is measured first. Within the bound there is one part, the frame
     itself; beyond it the parts are disjoint hash ranges of ``key``, so that a
     caller which unions the results over all parts loses nothing. A part that
-    is still above the bound is returned without the broadcast hint.
+    one key alone lifts above the bound is marked as too large; its join is
+    left to Catalyst.
     """
     rows, size = measured_size(df, max_rows)
     if rows <= max_rows and size <= max_bytes:
-        return [F.broadcast(df)]
-    total, biggest = df.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    ).first()
-    parts = 2 * max(-(-total // max_rows), -(-biggest // max_bytes))
+        return [(df, True)]
+    total, total_bytes = df.agg(F.count(F.lit(1)), F.sum(_text_size())).first()
+    parts = 2 * max(-(-total // max_rows), -(-total_bytes // max_bytes))
     number = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
-    sizes = {
-        r["part"]: (r["n"], r["b"])
-        for r in df.groupBy(number.alias("part"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b"))
-        .collect()
-    }
-    batches = []
-    for part, (n, b) in sorted(sizes.items()):
-        piece = df.filter(number == part)
-        batches.append(F.broadcast(piece) if n <= max_rows and b <= max_bytes else piece)
-    return batches
+    sizes = df.groupBy(number.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(_text_size()).alias("b")).collect()
+    return [(df.filter(number == r["part"]), r["n"] <= max_rows and r["b"] <= max_bytes) for r in sorted(sizes)]
+
+
+def hinted(df: DataFrame, small: bool) -> DataFrame:
+    """``df`` with the broadcast hint if it is known to be small."""
+    return F.broadcast(df) if small else df
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

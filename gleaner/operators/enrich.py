@@ -41,7 +41,7 @@ def join_term_stats(rows: DataFrame, index: KeywordIndex, spread_by: str, salts:
     average there are at most ``m * HOT_SHARE`` of them, however large the
     corpus.
     """
-    n_chunks = index.chunk_stats.agg(F.count(F.lit(1))).scalar()
+    n_chunks, _ = index.size_and_mean()
     hot = F.col("df") * HOT_SHARE > n_chunks
     hot_terms = index.term_stats.filter(hot).select("term", F.lit(True).alias("hot"))
     parts = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -53,7 +53,7 @@ def join_term_stats(rows: DataFrame, index: KeywordIndex, spread_by: str, salts:
 
 def top_keywords(index: KeywordIndex, k: int = KEYWORDS) -> DataFrame:
     """``(chunk_id, rank, term, score)``: the ``k`` terms of a chunk with the highest tf-idf."""
-    n_chunks = index.chunk_stats.agg(F.count(F.lit(1))).scalar()
+    n_chunks, _ = index.size_and_mean()
     weighted = join_term_stats(index.postings.select("chunk_id", "term", "tf"), index, "chunk_id").select(
         "chunk_id", "term", F.round(F.col("tf") * F.log(n_chunks / F.col("df")), SCORE_DIGITS).alias("score")
     )
@@ -90,7 +90,7 @@ def summarize(chunks: DataFrame, index: KeywordIndex) -> DataFrame:
 
     Ties go to the earlier sentence. Chunks without a term have no summary.
     """
-    n_chunks = index.chunk_stats.agg(F.count(F.lit(1))).scalar()
+    n_chunks, _ = index.size_and_mean()
     found = (
         chunks.select("chunk_id", "text")
         .repartition("chunk_id")

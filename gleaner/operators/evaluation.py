@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.functions import text as tx
-from gleaner.operators.common import broadcast_batches, union_all
+from gleaner.operators.common import broadcast_batches, hinted, union_all
 from gleaner.sources.scratch import stage
 
 ANCHOR_WORDS = 3
@@ -83,8 +83,8 @@ def golden_sources(passages: DataFrame, documents: DataFrame, anchor: int = ANCH
         for n in sorted(lengths) or [anchor]
     ])
     candidates = union_all([
-        in_documents.join(batch, ["length", "anchor"]).select("doc_id", "query_id", "passage")
-        for batch in broadcast_batches(keyed, "query_id")
+        in_documents.join(hinted(batch, small), ["length", "anchor"]).select("doc_id", "query_id", "passage")
+        for batch, small in broadcast_batches(keyed, "query_id")
     ])
     return (
         documents.select("doc_id", "file_name", "text")

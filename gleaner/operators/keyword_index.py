@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as tx
@@ -24,6 +24,11 @@ class KeywordIndex:
     chunk_stats: DataFrame
     term_stats: DataFrame
 
+    def size_and_mean(self) -> tuple[Column, Column]:
+        """Number of chunks and mean chunk length, as one scalar subquery."""
+        both = self.chunk_stats.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("mean"))).scalar()
+        return both["n"], both["mean"]
+
 
 def chunk_terms(chunks: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
     """Term list per chunk, hash-partitioned by chunk.

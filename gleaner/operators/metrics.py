@@ -111,9 +111,9 @@ def latency_hist(results: DataFrame, max_bins: int = MAX_BINS) -> DataFrame:
 
 
 def latency_sequence(results: DataFrame) -> DataFrame:
-    """Latency and its logarithm by test, for providers in test order."""
+    """Latency and its logarithm by test number; null where the logarithm does not exist."""
     return results.select(
-        "provider", "test_idx", "latency_ms", "pass", _rounded(F.try_divide(F.log10("latency_ms"), F.lit(1))).alias("log_latency")
+        "provider", "test_idx", "latency_ms", "pass", _rounded(F.log10("latency_ms")).alias("log_latency")
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.functions import text as tx
-from gleaner.operators.common import broadcast_batches, top_k, union_all
+from gleaner.operators.common import broadcast_batches, hinted, top_k, union_all
 from gleaner.operators.keyword_index import KeywordIndex
 
 TOP_K = 5
@@ -41,23 +41,22 @@ def bm25_topk(index: KeywordIndex, queries: DataFrame, k: int = TOP_K, k1: float
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
-    corpus = index.chunk_stats.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("mean_dl"))).scalar()
-    n_chunks, mean_dl = corpus["n"], corpus["mean_dl"]
+    n_chunks, mean_dl = index.size_and_mean()
     known = index.term_stats.join(query_terms.select("term").distinct(), "term", "left_semi")
     idf = known.select("term", F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
 
-    def score(batch: DataFrame) -> DataFrame:
+    def score(batch: DataFrame, small: bool) -> DataFrame:
         weights = batch.join(idf, "term").select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
         saturation = F.col("tf") / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / mean_dl))
         scored = (
-            index.postings.join(F.broadcast(weights), "term")
+            index.postings.join(hinted(weights, small), "term")
             .groupBy("query_id", "chunk_id")
             .agg(F.round(F.sum(F.col("weight") * saturation), SCORE_DIGITS).alias("score"))
         )
         return top_k(scored, ["query_id"], [F.desc("score"), F.asc("chunk_id")], k)
 
     batches = broadcast_batches(query_terms, "query_id")
-    return union_all([score(batch) for batch in batches]).select("query_id", "rank", "chunk_id", "score")
+    return union_all([score(batch, small) for batch, small in batches]).select("query_id", "rank", "chunk_id", "score")
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -234,15 +233,15 @@ def dense_topk_lsh(
 
     meets = F.array_position(F.zip_with("q_buckets", "v_buckets", lambda x, y: x == y), True)
 
-    def score(batch: DataFrame) -> DataFrame:
+    def score(batch: DataFrame, small: bool) -> DataFrame:
         return (
             exploded(vectors, "vec_id", "v")
-            .join(batch, ["table_no", "bucket"])
+            .join(hinted(batch, small), ["table_no", "bucket"])
             .filter(meets == F.col("table_no") + 1)
             .select("query_id", F.col("vec_id").alias("chunk_id"), F.round(dot("q_embedding", "v_embedding"), SCORE_DIGITS).alias("score"))
         )
 
-    scored = union_all([score(batch) for batch in broadcast_batches(exploded(queries, "query_id", "q"), "query_id")])
+    scored = union_all([score(*batch) for batch in broadcast_batches(exploded(queries, "query_id", "q"), "query_id")])
     return top_k(scored, ["query_id"], [F.desc("score"), F.asc("chunk_id")], k).select("query_id", "rank", "chunk_id", "score")
 
 

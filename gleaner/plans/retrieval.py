@@ -13,6 +13,7 @@ from gleaner.plans.ingest import chunk_index
 from gleaner.plans.registry import query
 from gleaner.plans.standins import Tables
 
+LSH_BUCKET = 0.04
 HIT_COLUMNS = ["query_id", "rank", "chunk_id", "score"]
 HITS = "SELECT query_id, rank, chunk_id, score FROM "
 
@@ -24,7 +25,13 @@ def dense_topk(t: Tables) -> DataFrame:
 
 @query("dense_topk_lsh")
 def dense_topk_lsh(t: Tables) -> DataFrame:
-    return r.dense_topk_lsh(t.vectors(), t.query_vectors(), bucket_length=0.02)
+    return r.dense_topk_lsh(t.vectors(), t.query_vectors(), bucket_length=LSH_BUCKET)
+
+
+@query("dense_lsh_recall")
+def dense_lsh_recall(t: Tables) -> DataFrame:
+    approximate = r.dense_topk_lsh(t.vectors(), t.query_vectors(), bucket_length=LSH_BUCKET)
+    return r.recall(approximate, r.dense_topk(t.vectors(), t.query_vectors()))
 
 
 @query("bm25_topk", v.with_(v.CHUNK_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), select=HITS + "hits"))

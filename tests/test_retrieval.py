@@ -65,9 +65,10 @@ def test_broadcast_batches_cover_all_rows(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     parts = broadcast_batches(df, "k", max_rows=30)
     assert len(parts) > 1
-    assert sorted(row["k"] for p in parts for row in p.collect()) == list(range(100))
-    one_key = df.withColumn("k", F.lit(1))
-    assert sum(p.count() for p in broadcast_batches(one_key, "k", max_rows=30)) == 100
+    assert sorted(row["k"] for p, small in parts for row in p.collect()) == list(range(100))
+    assert all(small == (p.count() <= 30) for p, small in parts)
+    one_key = broadcast_batches(df.withColumn("k", F.lit(1)), "k", max_rows=30)
+    assert [(p.count(), small) for p, small in one_key] == [(100, False)]
 
 
 def test_index_tables_round_trip_without_extra_exchange(spark, tmp_path):
