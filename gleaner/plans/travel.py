@@ -113,9 +113,20 @@ def event_payloads(t: Tables) -> DataFrame:
     )
 
 
-@query("drop_session_field")
+@query(
+    "drop_session_field",
+    v.with_(
+        v.EVENTS,
+        select="""
+        SELECT concat('http://example.org/', event_id) AS url, CASE WHEN session_id NOT LIKE '%7' THEN strftime(starts, '%Y-%m-%dT%H:%M:%S') END AS datetime_start,
+               strftime(ends, '%Y-%m-%dT%H:%M:%S') AS datetime_end
+        FROM sess
+        """,
+    ),
+)
 def drop_session_field(t: Tables) -> DataFrame:
-    return travel.drop_session_field(parsed_events(t)).select("url", "sessions")
+    """What is left of the sessions, one row each."""
+    return travel.drop_session_field(parsed_events(t)).select("url", F.inline("sessions"))
 
 
 DATE_BOUNDS = f"""
