@@ -267,10 +267,11 @@ def longest_word(rows: list[dict]) -> list[str]:
 @query(
     "map_model",
     r"""
-    WITH found AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS w FROM documents)
-    SELECT doc_id, CASE WHEN len(w) >= 2 THEN list_filter(w, lambda x: length(x) = list_max(list_transform(w, lambda y: length(y))))[1] END AS answer,
+    WITH found AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS w FROM documents),
+    sized AS (SELECT doc_id, w, list_transform(w, lambda x: length(x)) AS n FROM found)
+    SELECT doc_id, CASE WHEN len(w) >= 2 THEN w[list_position(n, list_max(n))] END AS answer,
            CASE WHEN len(w) < 2 THEN 'ValueError: text is too short' END AS error
-    FROM found
+    FROM sized
     """,
 )
 def map_model(t: Tables) -> DataFrame:

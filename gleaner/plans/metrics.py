@@ -156,7 +156,7 @@ def latency_hist(t: Tables) -> DataFrame:
 
 @query(
     "latency_sequence",
-    v.with_(v.RESULTS, select="SELECT provider, test_idx, latency_ms, pass, round(log10(latency_ms), 6) AS log_latency FROM results"),
+    v.with_(v.RESULTS, select="SELECT provider, test_idx, latency_ms, pass, CASE WHEN latency_ms > 0 THEN round(log10(latency_ms), 6) END AS log_latency FROM results"),
 )
 def latency_sequence(t: Tables) -> DataFrame:
     return metrics.latency_sequence(t.results())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import time
+from collections import Counter
 
 import duckdb
 
@@ -42,8 +43,9 @@ def compare(spark, con, folder: str, name: str) -> str:
         return f"columns {sorted(df.columns)} against {sorted(names)}"
     if mine == theirs:
         return ""
-    a, b = [r for r in mine if r not in theirs][:2], [r for r in theirs if r not in mine][:2]
-    return f"{len(mine)} rows against {len(theirs)}; only here {repr(a)[:700]}; only there {repr(b)[:700]}"
+    left, right = Counter(map(repr, mine)), Counter(map(repr, theirs))
+    a, b = list(left - right)[:2], list(right - left)[:2]
+    return f"{len(mine)} rows against {len(theirs)}; only here {str(a)[:700]}; only there {str(b)[:700]}"
 
 
 if __name__ == "__main__":
