@@ -23,6 +23,7 @@ class KeywordIndex:
     postings: DataFrame
     chunk_stats: DataFrame
     term_stats: DataFrame
+    partitions: int | None = None
 
     def size_and_mean(self) -> tuple[Column, Column]:
         """Number of chunks and mean chunk length, as one scalar subquery."""
@@ -30,7 +31,7 @@ class KeywordIndex:
         return both["n"], both["mean"]
 
 
-def chunk_terms(chunks: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
+def chunk_terms(chunks: DataFrame, stop_words: list[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Term list per chunk, hash-partitioned by chunk.
 
     The text is exchanged before it is cut into terms: it is smaller than its
@@ -39,16 +40,19 @@ def chunk_terms(chunks: DataFrame, stop_words: list[str] | None = None) -> DataF
     found = tx.terms(F.col("text"))
     if stop_words:
         found = F.filter(found, lambda t: ~t.isin(stop_words))
-    return chunks.select("chunk_id", "text").repartition("chunk_id").select("chunk_id", found.alias("terms"))
+    texts = chunks.select("chunk_id", "text")
+    placed = texts.repartition("chunk_id") if partitions is None else texts.repartition(partitions, "chunk_id")
+    return placed.select("chunk_id", found.alias("terms"))
 
 
-def build_index(chunks: DataFrame, stop_words: list[str] | None = None) -> KeywordIndex:
+def build_index(chunks: DataFrame, stop_words: list[str] | None = None, partitions: int | None = None) -> KeywordIndex:
     """Index over ``chunks(chunk_id, text)``.
 
     The three tables share one exchange on ``chunk_id``; Spark reuses it when
-    they meet in one query.
+    they meet in one query. With ``partitions`` set to the bucket count of a
+    later ``save_index``, the postings need no second exchange to be saved.
     """
-    listed = chunk_terms(chunks, stop_words).select("chunk_id", F.size("terms").cast("bigint").alias("dl"), "terms")
+    listed = chunk_terms(chunks, stop_words, partitions).select("chunk_id", F.size("terms").cast("bigint").alias("dl"), "terms")
     chunk_stats = listed.select("chunk_id", "dl")
     postings = (
         listed.select("chunk_id", "dl", F.explode_outer("terms").alias("term"))
@@ -57,7 +61,7 @@ def build_index(chunks: DataFrame, stop_words: list[str] | None = None) -> Keywo
         .agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
     )
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return KeywordIndex(postings, chunk_stats, term_stats)
+    return KeywordIndex(postings, chunk_stats, term_stats, partitions)
 
 
 def save_index(index: KeywordIndex, name: str, path: str, buckets: int = 64) -> None:
@@ -71,8 +75,9 @@ def save_index(index: KeywordIndex, name: str, path: str, buckets: int = 64) ->
         ("chunks", index.chunk_stats, "chunk_id", "chunk_id"),
         ("terms", index.term_stats, "term", "term"),
     ):
+        placed = key == "chunk_id" and index.partitions == buckets
         (
-            frame.repartition(buckets, key)
+            (frame if placed else frame.repartition(buckets, key))
             .write.bucketBy(buckets, key)
             .sortBy(order)
             .mode("overwrite")

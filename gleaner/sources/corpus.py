@@ -16,11 +16,14 @@ HEADING = r"(?m)^(?=#{1,6}[ \t]+\S)"
 
 
 def read_corpus(spark: SparkSession, path: str, pattern: str = "*.md") -> DataFrame:
-    """``(doc_id, file_name, text)``: one row per matching file; no file at all is an error."""
+    """``(doc_id, file_name, text)``: one row per matching file of a folder; no file at all is an error.
+
+    The name is unique in a folder and serves as ``doc_id``.
+    """
     files = spark.read.text(path, wholetext=True, pathGlobFilter=pattern).select(
         F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")
     )
-    return require_rows(files, f"corpus {path}").select(F.xxhash64("file_name").alias("doc_id"), "file_name", "text")
+    return require_rows(files, f"corpus {path}").select(F.col("file_name").alias("doc_id"), "file_name", "text")
 
 
 def pending(raw: DataFrame, done: DataFrame, key: str) -> DataFrame:

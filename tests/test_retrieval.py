@@ -75,7 +75,8 @@ def test_index_tables_round_trip_without_extra_exchange(spark, tmp_path):
     chunks, _ = random_chunks(spark)
     queries = spark.createDataFrame(QUERIES, "query_id bigint, text string")
     index = ki.build_index(chunks)
-    ki.save_index(index, "kept", str(tmp_path), buckets=4)
+    ki.save_index(ki.build_index(chunks, partitions=4), "kept", str(tmp_path), buckets=4)
+    assert len(list((tmp_path / "postings").glob("*.parquet"))) <= 4
     stored = ki.load_index(spark, "kept")
     hits = r.bm25_topk(stored, queries)
     assert rows(hits, "query_id", "rank") == rows(r.bm25_topk(index, queries), "query_id", "rank")
