@@ -12,6 +12,7 @@ from gleaner.plans import views as v
 from gleaner.plans.ingest import chunk_index
 from gleaner.plans.registry import query
 from gleaner.plans.standins import Tables
+from gleaner.sources.scratch import stage
 
 LSH_BUCKET = 0.04
 HIT_COLUMNS = ["query_id", "rank", "chunk_id", "score"]
@@ -146,9 +147,11 @@ contexts AS (
 
 
 def contexts(t: Tables) -> DataFrame:
-    hits = chunk_hits(t)
+    """Contexts of the questions; only documents with a hit are read for their titles."""
+    hits = stage(chunk_hits(t), "hit-chunks")
     low = t.read("labels").filter("quality = 0").select("doc_id")
-    titles = enrich.extract_title(chunking.chunk_windows(t.corpus())).join(low, "doc_id", "left_anti")
+    hit_documents = t.corpus().join(hits.select("doc_id").distinct(), "doc_id", "left_semi")
+    titles = enrich.extract_title(chunking.chunk_windows(hit_documents)).join(low, "doc_id", "left_anti")
     return answers.build_context(hits.join(titles, "doc_id", "left"))
 
 
