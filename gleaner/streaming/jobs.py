@@ -64,25 +64,40 @@ _PIECE_SCHEMA = "seq bigint, delta string, prompt bigint, cached bigint, complet
 
 
 class AnswerAssembler(StatefulProcessor):
-    """Collects the chunks of one answer, in any order, until the usage chunk and all before it are there."""
+    """Collects the chunks of one answer, in any order, until the usage chunk and all before it are there.
+
+    Chunks are appended to the state; it is read back only when enough of them
+    have come to close the answer. A chunk that arrives twice counts once.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._pieces = handle.getListState("pieces", _PIECE_SCHEMA)
+        self._progress = handle.getValueState("progress", "arrived bigint, closing bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = [tuple(None if pd.isna(v) else v for v in row) for frame in rows for row in frame[["seq", "delta", "prompt", "cached", "completion"]].itertuples(index=False, name=None)]
-        numbers = lambda piece: (int(piece[0]), piece[1], *(None if v is None else int(v) for v in piece[2:]))
-        pieces = sorted({int(p[0]): numbers(p) for p in [*self._pieces.get(), *arrived]}.values())
-        closing = [p for p in pieces if p[2] is not None]
-        if closing and pieces[-1] is closing[-1] and len(pieces) == pieces[-1][0] + 1:
-            self._pieces.clear()
-            text = "".join(p[1] for p in pieces if p[1] is not None)
-            yield pd.DataFrame({
-                "session_id": [key[0]], "turn": [key[1]], "answer": [text],
-                "prompt": [closing[-1][2]], "cached": [closing[-1][3]], "completion": [closing[-1][4]],
-            })
-        else:
-            self._pieces.put(pieces)
+        whole = lambda value: None if pd.isna(value) else int(value)
+        new = [
+            (int(seq), None if pd.isna(delta) else delta, whole(prompt), whole(cached), whole(completion))
+            for frame in rows
+            for seq, delta, prompt, cached, completion in frame[["seq", "delta", "prompt", "cached", "completion"]].itertuples(index=False, name=None)
+        ]
+        arrived, closing = self._progress.get() if self._progress.exists() else (0, None)
+        arrived += len(new)
+        closing = max([p[0] for p in new if p[2] is not None] + ([] if closing is None else [closing]), default=None)
+        self._pieces.appendList(new)
+        self._progress.update((arrived, closing))
+        if closing is None or arrived <= closing:
+            return
+        pieces = {p[0]: tuple(p) for p in self._pieces.get() if p[0] <= closing}
+        if len(pieces) <= closing:
+            return
+        self._pieces.clear()
+        self._progress.clear()
+        text = "".join(pieces[seq][1] or "" for seq in range(closing + 1))
+        prompt, cached, completion = pieces[closing][2:]
+        yield pd.DataFrame({
+            "session_id": [key[0]], "turn": [key[1]], "answer": [text], "prompt": [prompt], "cached": [cached], "completion": [completion],
+        })
 
     def close(self) -> None:
         pass

@@ -25,8 +25,8 @@ def test_windows_appear_once_the_watermark_has_passed(spark):
 def test_answers_wait_for_late_chunks(spark):
     s = jobs.streaming_session(spark, 2)
     schema = "session_id bigint, turn bigint, seq bigint, delta string, prompt bigint, cached bigint, completion bigint"
-    data = [(1, 1, 3, None, 10, 0, 5), (1, 1, 0, "Hello", None, None, None), (1, 1, 2, "world!", None, None, None), (1, 1, 1, " ", None, None, None), (2, 1, 0, "open", None, None, None)]
-    chunks = s.createDataFrame(data, schema).repartition(5)
+    data = [(1, 1, 3, None, 10, 0, 5), (1, 1, 0, "Hello", None, None, None), (1, 1, 2, "world!", None, None, None), (1, 1, 1, " ", None, None, None), (2, 1, 0, "open", None, None, None), (1, 1, 0, "Hello", None, None, None)]
+    chunks = s.createDataFrame(data, schema).repartition(6)
     got = finish(spark, jobs.assemble_stream(jobs.replay(s, chunks, "chunks", files_per_trigger=1)), "answers")
     assert rows(got) == [(1, 1, "Hello world!", 10, 0, 5)]
 
