@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import exact_dedup, mixing
-from gleaner.sources.scratch import stage
+from gleaner.llm import exact_dedup, mixing, token_counts, token_shards
+from gleaner.sources.scratch import scratch_path, stage
+
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
 
 QUERIES = {}
 ORACLES = {}
@@ -24,6 +27,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer(name: str = TOKENIZER) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
@@ -61,6 +71,21 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document."""
+    return token_counts.count_tokens(documents(spark, folder), tokenizer())
+
+
+@query("op6_token_shards")
+def op6_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as found in the written files, each key looked up through the index."""
+    path = scratch_path(spark, "token-shards")
+    docs = documents(spark, folder)
+    token_shards.write_shards(docs, path, tokenizer(), END_ID)
+    return token_shards.digests(docs, path)
+
+
 OP9 = r"""
 WITH normalised AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
