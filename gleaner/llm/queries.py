@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import exact_dedup, mixing, token_counts, token_shards
+from gleaner.llm import exact_dedup, language_id, mixing, quality, token_counts, token_shards
 from gleaner.sources.scratch import scratch_path, stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -77,6 +77,29 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder), tokenizer())
 
 
+def remainder(divisor: int):
+    """Fold of a row: crc32 of the id as text; a null id has that of an empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(divisor))
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document, learned from three of four folds."""
+    docs = documents(spark, folder).withColumn("held_out", remainder(4) == 2)
+    profiles = language_id.learn_profiles(docs.filter(~F.col("held_out")))
+    return language_id.identify(docs.select("doc_id", "held_out", "text"), profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from three of four folds of the labels."""
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter(remainder(4) != 2)
+    machine = quality.learn_quality(docs, labels)
+    scored = quality.score_quality(docs.select("doc_id", "text", "n_chars"), machine)
+    return scored.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query("op6_token_shards")
 def op6_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as found in the written files, each key looked up through the index."""
