@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import exact_dedup, language_id, mixing, quality, token_counts, token_shards
+from gleaner.llm import exact_dedup, jaccard_join, language_id, mixing, quality, token_counts, token_shards
 from gleaner.sources.scratch import scratch_path, stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -109,6 +109,31 @@ def op6_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     return token_shards.digests(docs, path)
 
 
+OP7 = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 3, 1))) AS i FROM worded WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) LEFT JOIN sizes USING (doc_id)"""
+
+
+@query("op7_jaccard_join", OP7)
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of every document under the similarity join on shingles."""
+    return jaccard_join.shingle_groups(documents(spark, folder))
+
+
 OP9 = r"""
 WITH normalised AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
