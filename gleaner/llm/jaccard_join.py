@@ -19,20 +19,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.components import components
 from gleaner.llm.memo import Memo, per_worker
+from gleaner.llm.stripes import SCHEMA, stripes_of, sum_stripes
 from gleaner.sources.scratch import stage
 
 MEMO_WORDS = 400_000
 CELLS = 1 << 20
-STRIPE = 1 << 14
 CHUNK_SETS = 64
 ODD = [np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * k & 0xFFFFFFFFFFFFFFFF | 1) for k in range(64)]
 
@@ -100,24 +98,10 @@ def _frequency_classes(texts: DataFrame, width: int) -> np.ndarray:
                     held, size = [], 0
             if held:
                 total += np.bincount(np.concatenate(held), minlength=CELLS)
-        part = TaskContext.get().partitionId()
-        stripes = total.reshape(-1, STRIPE)
-        for number, stripe in enumerate(stripes):
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part // 64], pa.int32()), pa.array([stripe.tobytes()], pa.binary())], ["stripe", "part", "cells"])
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(STRIPE, np.int64)
-        for cells in rows["cells"]:
-            total += np.frombuffer(cells, np.int64)
-        return pd.DataFrame({"stripe": rows["stripe"].iloc[:1].astype("int32"), "part": rows["part"].iloc[:1].astype("int32"), "cells": [total.tobytes()]})
-
-    schema = "stripe int, part int, cells binary"
-    counts = texts.mapInArrow(count, schema).groupBy("stripe", "part").applyInPandas(add, schema)
-    rows = counts.groupBy("stripe").applyInPandas(add, schema).collect()
-    cells = np.zeros((CELLS // STRIPE, STRIPE), np.int64)
-    for row in rows:
-        cells[row["stripe"]] = np.frombuffer(row["cells"], np.int64)
-    return (4 * np.log2(1.0 + cells.reshape(-1))).astype(np.uint8)
+        yield from stripes_of(total)
+
+    cells = sum_stripes(texts.mapInArrow(count, SCHEMA), CELLS)
+    return (4 * np.log2(1.0 + cells)).astype(np.uint8)
 
 
 def _digested(docs: DataFrame, id_type: str, classes: np.ndarray, width: int, percent: int) -> DataFrame:

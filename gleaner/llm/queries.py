@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import exact_dedup, jaccard_join, language_id, mixing, quality, token_counts, token_shards
+from gleaner.llm import exact_dedup, jaccard_join, language_id, lm_scoring, mixing, quality, token_counts, token_shards
 from gleaner.sources.scratch import scratch_path, stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -150,3 +150,10 @@ WINDOW best AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST)"""
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Which row of every group of equal texts stays."""
     return exact_dedup.exact_dedup(documents(spark, folder))
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and mixing-model log probabilities of every document, learned from four of five folds."""
+    scored = lm_scoring.score_texts(documents(spark, folder), remainder(5) != 1)
+    return scored.select("doc_id", (~F.col("is_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
