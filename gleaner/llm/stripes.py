@@ -11,14 +11,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 STRIPE = 1 << 14
+WIDTHS = (1, 2, 4, 8)
 SCHEMA = "stripe int, part int, cells binary"
 
 
 def stripes_of(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A task's own counts, whose number is a multiple of ``STRIPE``, as rows to be summed."""
+    """A task's own counts, whose number is a multiple of ``STRIPE``, as rows to be summed; in as few bytes as the largest needs."""
     part = TaskContext.get().partitionId() // 64
     for number, stripe in enumerate(total.reshape(-1, STRIPE)):
-        small = stripe.astype(np.int32) if stripe.max() < 1 << 31 else stripe
+        most = int(stripe.max())
+        if not most:
+            continue
+        small = stripe.astype(next(f"<u{width}" for width in WIDTHS if most < 1 << 8 * width))
         yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([part], pa.int32()), pa.array([small.tobytes()], pa.binary())], ["stripe", "part", "cells"])
 
 
@@ -32,7 +36,7 @@ def sum_stripes(rows: DataFrame, size: int) -> np.ndarray:
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(STRIPE, np.int64)
         for cells in rows["cells"]:
-            total += np.frombuffer(cells, np.int32 if len(cells) == 4 * STRIPE else np.int64)
+            total += np.frombuffer(cells, f"<u{len(cells) // STRIPE}").astype(np.int64)
         return pd.DataFrame({"stripe": rows["stripe"].iloc[:1].astype("int32"), "part": rows["part"].iloc[:1].astype("int32"), "cells": [total.tobytes()]})
 
     result = np.zeros((size // STRIPE, STRIPE), np.int64)
