@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.components import components
@@ -32,6 +32,8 @@ from gleaner.sources.scratch import stage
 MEMO_WORDS = 400_000
 CELLS = 1 << 20
 CHUNK_SETS = 64
+# Each group is compared with its likeliest partners first; later ones only where they are not connected by then.
+ROUNDS = ((0, 4), (4, 64), (64, 1 << 31))
 ODD = [np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * k & 0xFFFFFFFFFFFFFFFF | 1) for k in range(64)]
 
 
@@ -285,7 +287,10 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     qualifying = stage(
         shared.join(x, F.col("x") == F.col("x_grp")).join(y, F.col("y") == F.col("y_grp"))
         .filter(F.col("shared") >= reach - beyond)
-        .select(F.col("x_label").alias("x"), F.col("y_label").alias("y"), (F.col("x_members") + F.col("y_members")).alias("members")),
+        .select(
+            F.col("x_label").alias("x"), F.col("y_label").alias("y"), (F.col("x_members") + F.col("y_members")).alias("members"),
+            F.row_number().over(Window.partitionBy("x_label").orderBy(F.desc("shared"), "y_label")).alias("place"),
+        ),
         "qualifying",
     )
 
@@ -293,14 +298,13 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     concerned = qualifying.select(F.col("x").alias("label")).unionByName(qualifying.select(F.col("y").alias("label"))).distinct()
     opened_sets = stage(_sets(texts, labelled.join(concerned, "label").select("digest", "first_id", "label"), width), "opened")
     head = opened_sets.filter(F.col("digest") == F.col("label")).select("label", F.array("tokens").alias("set"))
-    found = stage(_linked(_with_sets(qualifying, head, head), percent), "leader-links")
-    known = stage(components(found.select(F.col("x").alias("a"), F.col("y").alias("b"))), "known")
-    apart = (
-        qualifying.filter(F.col("members") > 2)
-        .join(known.select(F.col("node").alias("x"), F.col("component").alias("cx")), "x", "left")
-        .join(known.select(F.col("node").alias("y"), F.col("component").alias("cy")), "y", "left")
-        .filter(~F.coalesce(F.col("cx") == F.col("cy"), F.lit(False)))
-    )
+    found, known = None, None
+    for first, last in ROUNDS:
+        some = qualifying.filter((F.col("place") > first) & (F.col("place") <= last))
+        links_now = stage(_linked(_with_sets(_between_components(some, known), head, head), percent), "leader-links")
+        found = links_now if found is None else found.unionByName(links_now)
+        known = stage(components(found.select(F.col("x").alias("a"), F.col("y").alias("b"))), "known")
+    apart = _between_components(qualifying.filter(F.col("members") > 2), known)
     sizes = groups.select("label", "members")
     bundles = stage(
         opened_sets.join(sizes, "label")
@@ -321,6 +325,18 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
+def _between_components(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+    """The pairs whose groups do not hang together already."""
+    if known is None:
+        return pairs
+    return (
+        pairs.join(known.select(F.col("node").alias("x"), F.col("component").alias("_cx")), "x", "left")
+        .join(known.select(F.col("node").alias("y"), F.col("component").alias("_cy")), "y", "left")
+        .filter(~F.coalesce(F.col("_cx") == F.col("_cy"), F.lit(False)))
+        .drop("_cx", "_cy")
+    )
+
+
 def _with_sets(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows (x, y, left, right) of the bundles on both sides of each pair."""
     return (
