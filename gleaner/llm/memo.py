@@ -20,16 +20,25 @@ def per_worker(key: Hashable, make: Callable[[], object]) -> object:
 
 
 class Memo(dict):
-    """``memo[key]`` is ``compute(key)``; long keys are not kept, and at ``limit`` entries it starts over."""
+    """``memo[key]`` is ``compute(key)``; long keys are not kept.
+
+    At ``limit`` entries a new generation begins and the one before the last
+    is forgotten. What is asked for again moves on to the new one, so that
+    frequent keys stay.
+    """
 
     def __init__(self, compute: Callable[[str], object], limit: int, longest: int = 40):
         super().__init__()
         self.compute, self.limit, self.longest = compute, limit, longest
+        self.old: dict = {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= self.longest:
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value

@@ -78,12 +78,11 @@ class TokenCounter:
 
     def __init__(self, model: str):
         self.pieces = Pieces(special_strings(model))
-        merger = PairMerger(model)
-        self.tokens = Memo(merger.count, MEMO_WORDS)
+        self.merger = PairMerger(model)
         self.words = Memo(self._word, MEMO_WORDS)
 
     def _word(self, key: str) -> int:
-        return sum(map(self.tokens.__getitem__, self.pieces.tokens(self.pieces.spelled(key))))
+        return sum(map(self.merger.count, self.pieces.tokens_of(key)))
 
     def count(self, text: str) -> int:
         total = 0

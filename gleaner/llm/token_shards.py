@@ -14,20 +14,24 @@ from __future__ import annotations
 
 import json
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.memo import Memo, per_worker
 from gleaner.llm.pretokens import Pieces, special_strings
+from gleaner.llm.token_counts import byte_letters
 
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
+GROUP_CHARS = 8 << 20
 BLOCK_BYTES = 1 << 20
 BUCKET_KEYS = 1 << 16
 LEVELS = 40
@@ -42,26 +46,59 @@ class TokenEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model)
-        self.kind = f"<u{width}"
+        self.merges = self.library.model
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.kind, self.code, self.width = f"<u{width}", {2: "H", 4: "I"}[width], width
         self.pieces = Pieces(special_strings(model))
-        self.tokens = Memo(self._ids, MEMO_WORDS)
         self.words = Memo(self._word, MEMO_WORDS)
 
-    def _ids(self, piece: str) -> bytes:
-        return np.array(self.library.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
+    def _ids(self, token: str) -> bytes:
+        """Ids of one pretoken by the library's own merges; it is cut already, so the library need not look for cuts."""
+        return self._merged("".join(map(self.letters.__getitem__, token.encode())))
+
+    def _merged(self, letters: str) -> bytes:
+        found = [t.id for t in self.merges.tokenize(letters)]
+        return struct.pack(f"<{len(found)}{self.code}", *found)
 
     def _word(self, key: str) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, self.pieces.tokens(self.pieces.spelled(key))))
+        if key.isascii() and key.isalpha():  # stands for itself in the vocabulary's letters
+            return self._merged(self.letters[32] + key)
+        return b"".join(map(self._ids, self.pieces.tokens_of(key)))
 
     def encode(self, text: str) -> bytes:
         parts = []
         for number, segment in enumerate(self.pieces.segments(text)):
             if number % 2:
-                parts.append(self._ids(segment))
+                parts.append(np.array([self.library.token_to_id(segment)], self.kind).tobytes())
             elif segment:
                 parts += map(self.words.__getitem__, self.pieces.cut(segment))
         return b"".join(parts)
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """As :meth:`encode` for many texts: the words of all plain ones are told apart first, and each is looked up once."""
+        result: list[bytes | None] = [None] * len(texts)
+        plain, marked = [], []
+        for number, text in enumerate(texts):
+            if self.pieces.is_plain(text) and len(self.pieces.segments(text)) == 1:
+                plain.append(number)
+                marked.append(self.pieces.marked(text))
+            else:
+                result[number] = self.encode(text)
+        if plain:
+            words = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+            coded = words.flatten().dictionary_encode()
+            packed = list(map(self.words.__getitem__, coded.dictionary.to_pylist()))
+            sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.width
+            ids = np.frombuffer(b"".join(packed), self.kind)
+            which = coded.indices.to_numpy()
+            lengths = sizes[which]
+            ends = np.cumsum(lengths)
+            text_ids = ids[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - lengths), lengths) + np.arange(ends[-1])]
+            bounds = np.concatenate([[0], ends])[words.offsets.to_numpy()]
+            for number, first, last in zip(plain, bounds[:-1], bounds[1:]):
+                result[number] = text_ids[first:last].tobytes()
+        return result
+
 
 def write_payload(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> None:
     """Encode whole texts (null: empty), append ``end_id`` to each, write blocks in ascending id order.
@@ -76,6 +113,17 @@ def write_payload(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     width = 2 if largest < 1 << 16 else 4
     end = end_id.to_bytes(width, "little")
 
+    def encoded(encoder: TokenEncoder, column: pa.Array) -> Iterator[bytes]:
+        """Packed texts, encoded some megabytes at a time."""
+        group, size = [], 0
+        for text in column:
+            group.append(text.as_py() or "")
+            size += len(group[-1])
+            if size > GROUP_CHARS:
+                yield from encoder.encode_all(group)
+                group, size = [], 0
+        yield from encoder.encode_all(group)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(("token encoder", hash(model), width), lambda: TokenEncoder(model, width))
         shard = TaskContext.get().partitionId()
@@ -90,8 +138,8 @@ def write_payload(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
 
         for batch in batches:
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(batch.schema.field(0).type), pa.list_(pa.int64())]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                packed = encoder.encode(text.as_py() or "") + end
+            for key, packed in zip(batch.column(0).to_pylist(), encoded(encoder, batch.column(1))):
+                packed += end
                 ids.append(packed)
                 keys.append(key)
                 lengths.append(len(packed) // width)
@@ -253,33 +301,30 @@ def lookup(keys: DataFrame, folder: str) -> DataFrame:
     return index.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(find, schema)
 
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.Array], np.ndarray, list[np.ndarray]]]:
+    """Of each stored block: doc_id, shard, block and at of its documents, and the ids of each."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            one = batch.slice(row, 1)
+            lengths = one.column("lengths").flatten().to_numpy()
+            ends = np.cumsum(lengths)
+            ids = np.frombuffer(one.column("ids")[0].as_buffer(), f"<u{one.column('width')[0].as_py()}")
+            where = [pa.array(np.full(len(lengths), one.column(c)[0].as_py(), np.int32)) for c in ("shard", "block")]
+            yield [one.column("doc_ids").flatten(), *where, pa.array(one.column("first")[0].as_py() + ends - lengths, pa.int64())], lengths, np.split(ids, ends[:-1])
+
+
+STORED = ("shard", "block", "first", "ids", "doc_ids", "lengths", "width")
+
+
 def documents_in(payload: DataFrame) -> DataFrame:
-    """Every stored document with its ids: doc_id, shard, block, at, ids (little-endian bytes), width."""
+    """Every stored document: doc_id, shard, block, at, ids (array of bigint)."""
     id_type = payload.schema["doc_ids"].dataType.elementType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                data = one.column("ids")[0].as_buffer()
-                width = one.column("width")[0].as_py()
-                lengths = one.column("lengths").flatten().to_numpy()
-                ends = np.cumsum(lengths)
-                bounds = np.concatenate([[0], ends]) * width
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        one.column("doc_ids").flatten(), pa.array(np.full(len(lengths), one.column("shard")[0].as_py(), np.int32)),
-                        pa.array(np.full(len(lengths), one.column("block")[0].as_py(), np.int32)),
-                        pa.array(one.column("first")[0].as_py() + ends - lengths, pa.int64()),
-                        pa.array([memoryview(data)[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
-                        pa.array(np.full(len(lengths), width, np.int32)),
-                    ],
-                    ["doc_id", "shard", "block", "at", "ids", "width"],
-                )
-
-    return payload.select("shard", "block", "first", "ids", "doc_ids", "lengths", "width").mapInArrow(
-        split, f"doc_id {id_type}, shard int, block int, at bigint, ids binary, width int"
-    )
+        for columns, _, ids in _documents(batches):
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([v.astype(np.int64) for v in ids], pa.list_(pa.int64()))], ["doc_id", "shard", "block", "at", "ids"])
+
+    return payload.select(*STORED).mapInArrow(split, f"doc_id {id_type}, shard int, block int, at bigint, ids array<bigint>")
 
 
 def checksums(payload: DataFrame) -> DataFrame:
@@ -287,19 +332,11 @@ def checksums(payload: DataFrame) -> DataFrame:
     id_type = payload.schema["doc_ids"].dataType.elementType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            widths = batch.column("width").to_pylist()
-            ids = [np.frombuffer(v.as_buffer(), f"<u{w}") for v, w in zip(batch.column("ids"), widths)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in ("doc_id", "shard", "block", "at")),
-                    pa.array([len(v) for v in ids], pa.int64()),
-                    pa.array([zlib.crc32(v.astype("<u4").tobytes()) for v in ids], pa.int64()),
-                ],
-                ["doc_id", "shard", "block", "at", "n_tokens", "ids_crc32"],
-            )
+        for columns, lengths, ids in _documents(batches):
+            sums = [zlib.crc32(v.astype("<u4").tobytes()) for v in ids]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(lengths, pa.int64()), pa.array(sums, pa.int64())], ["doc_id", "shard", "block", "at", "n_tokens", "ids_crc32"])
 
-    return documents_in(payload).mapInArrow(digest, f"doc_id {id_type}, shard int, block int, at bigint, n_tokens bigint, ids_crc32 bigint")
+    return payload.select(*STORED).mapInArrow(digest, f"doc_id {id_type}, shard int, block int, at bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def located(stored: DataFrame, found: DataFrame, starts: DataFrame) -> DataFrame:
@@ -326,8 +363,7 @@ def fetch(keys: DataFrame, folder: str) -> DataFrame:
     blocks = payload.select("shard", "block", F.explode("doc_ids").alias("doc_id")).join(found.select("doc_id"), "doc_id", "left_semi")
     blocks = blocks.unionByName(found.select("shard", "block", "doc_id")).select("shard", "block").distinct()
     rows = located(documents_in(payload.join(blocks, ["shard", "block"], "left_semi")), found, starts)
-    unpack = F.pandas_udf(lambda ids, width: pd.Series([np.frombuffer(v, f"<u{w}").astype(np.int64).tolist() for v, w in zip(ids, width)]), "array<bigint>")
-    return rows.select("doc_id", "start", unpack("ids", "width").alias("ids"))
+    return rows.select("doc_id", "start", "ids")
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, **options) -> None:
