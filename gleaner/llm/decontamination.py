@@ -8,6 +8,7 @@ same bucket in any of several repetitions is verified by exact edit distance.
 
 Windows are placed where the document can hold an item at all: a passage
 within k edits of an item of n characters has n - q + 1 - kq of its q-grams.
+No place that could hold one is left out by this.
 """
 
 from __future__ import annotations
@@ -24,10 +25,11 @@ from gleaner.llm.memo import per_worker
 GRAM = 8
 TABLE_BITS = 20
 STEP = 1.15
-WALKS = 8
-SAMPLES = 6
+WALKS = 6
+SAMPLES = 8
 SAMPLED = 4
 SHORT = 16
+GROUP = 64
 BLOCK_CHARS = 4 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -42,12 +44,15 @@ def symbols(text: str) -> np.ndarray:
     return (points ^ (points >> np.uint32(8)) ^ (points >> np.uint32(16))).astype(np.uint8)
 
 
-def gram_slots(data: np.ndarray) -> np.ndarray:
-    """Table slot of the q-gram at every position."""
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the q-gram at every position, one to one; its high bits are its table slot."""
     if len(data) < GRAM:
-        return np.empty(0, np.int64)
-    words = np.ndarray((len(data) - GRAM + 1,), "<u8", data.tobytes(), 0, (1,))
-    return ((words * GOLDEN) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        return np.empty(0, np.uint64)
+    return np.ndarray((len(data) - GRAM + 1,), "<u8", data.tobytes(), 0, (1,)) * GOLDEN
+
+
+def slots_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
 def allowed_edits(n: int, share: float) -> int:
@@ -100,39 +105,48 @@ class Items:
                 sized.setdefault(int(np.log(len(text) / SHORT) / np.log(STEP) + 1e-9), []).append((item_id, text))
         self.table = np.zeros(1 << TABLE_BITS, np.uint64)
         self.classes = []
+        self.ordered: list[list[tuple[np.ndarray, np.ndarray]]] = []
         random = np.random.default_rng(seed)
-        for number in sorted(sized):
-            members = sized[number]
+        for number, members in ((n, sized[n][at : at + GROUP]) for n in sorted(sized) for at in range(0, len(sized[n]), GROUP)):
             low, high = min(len(t) for _, t in members), max(len(t) for _, t in members)
             bit = np.uint64(1) << np.uint64(number % 64)
+            own_grams = [np.unique(gram_hashes(symbols(text))) for _, text in members]
+            for grams in own_grams:
+                self.table[slots_of(grams)] |= bit
+            grams = np.unique(np.concatenate(own_grams))
+            has = np.zeros(len(grams), np.uint64)
+            in_order = []
             for _, text in members:
-                slots = gram_slots(symbols(text))
-                self.table[slots] |= bit
-            least = min(len(t) - GRAM + 1 - GRAM * allowed_edits(len(t), share) for _, t in members)
-            moves = random.integers(0, 2, (WALKS, 3 * low, 256), np.uint8)
-            # a position late in the walk has gone through more edits, so samples are taken from all of it
-            places = np.sort(random.integers(0, 3 * low, (WALKS, SAMPLES, SAMPLED)), axis=2)
+                hashes = gram_hashes(symbols(text))
+                by = np.argsort(hashes, kind="stable")
+                in_order.append((hashes[by], by))
+            self.ordered.append(in_order)
+            for m, some in enumerate(own_grams):
+                has[np.searchsorted(grams, some)] |= np.uint64(1) << np.uint64(m)
+            least = [len(t) - GRAM + 1 - GRAM * allowed_edits(len(t), share) for _, t in members]
+            moves = random.integers(0, 2, (WALKS, 2 * low, 256), np.uint8)
+            # a walk takes two steps a character on average; what lies behind is mostly the filling after the end
+            places = np.sort(random.integers(0, 2 * low, (WALKS, SAMPLES, SAMPLED)), axis=2)
             own = np.stack([symbols(t)[:low] for _, t in members])
             keys = self.embed(own.reshape(-1), np.arange(len(members)) * low, low, moves, places)
             order = np.argsort(keys, axis=-1, kind="stable")
-            self.classes.append((bit, members, low, high, least, allowed_edits(high, share), moves, places, np.take_along_axis(keys, order, -1), order))
+            self.classes.append((bit, members, low, high, grams, has, least, allowed_edits(high, share), moves, places, np.take_along_axis(keys, order, -1), order))
 
     @staticmethod
     def embed(data: np.ndarray, starts: np.ndarray, length: int, moves: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Hash keys (walk, sample, window) of the windows of ``length`` at ``starts``; past the end stands a blank symbol."""
         keys = np.zeros((*places.shape[:2], len(starts)), np.uint64)
-        last = len(data) - 1
-        for walk in range(len(moves)):
-            wanted: dict[int, list[int]] = {}
-            for sample, chosen in enumerate(places[walk]):
-                for place in chosen:
-                    wanted.setdefault(int(place), []).append(sample)
-            at = np.zeros(len(starts), np.int64)
-            for step in range(max(wanted) + 1):
-                here = np.where(at < length, data[np.minimum(starts + at, last)], 0)
-                for sample in wanted.get(step, ()):
-                    keys[walk, sample] = keys[walk, sample] * np.uint64(257) + here
-                at += moves[walk, step][here]
+        wanted: dict[int, list[tuple[int, int]]] = {}
+        for (walk, sample, _), place in np.ndenumerate(places):
+            wanted.setdefault(int(place), []).append((walk, sample))
+        at = np.zeros((len(moves), len(starts)), np.int64)
+        walks = np.arange(len(moves))[:, None]
+        for step in range(max(wanted) + 1):
+            here = data.take(starts + np.minimum(at, length), mode="clip")
+            here[at >= length] = 0
+            for walk, sample in wanted.get(step, ()):
+                keys[walk, sample] = keys[walk, sample] * np.uint64(257) + here[walk]
+            at += moves[walks, step, here]
         return keys
 
     def find(self, texts: list[str]) -> list[list[tuple[object, int, int]]]:
@@ -149,38 +163,65 @@ class Items:
             self._find_long(texts, found)
         return [[(item_id, *value) for item_id, value in hits.items()] for hits in found]
 
-    def _find_long(self, texts: list[str], found: list[dict]) -> None:
-        data = [symbols(t) for t in texts]
-        windows: list[tuple[list, list]] = [([], []) for _ in self.classes]
-        for number, own in enumerate(data):
-            slots = gram_slots(own)
-            masks = self.table[slots]
-            hits = np.flatnonzero(masks)
-            if len(hits) < 2:
+    def _windows(self, own: np.ndarray) -> Iterator[tuple[int, np.ndarray, int]]:
+        """Numbers of size classes, the places where one of their items may open in a text, and those items as bits."""
+        hashes = gram_hashes(own)
+        masks = self.table.take(slots_of(hashes))
+        hits = np.flatnonzero(masks)
+        masks = masks[hits]
+        for number, (bit, members, low, high, grams, has, least, edits, *_) in enumerate(self.classes):
+            at = hits[(masks & bit) != 0]
+            fewest = min(least)
+            if len(at) < fewest or not (at[fewest - 1 :] - at[: len(at) - fewest + 1] < high + edits).any():
                 continue
-            masks = masks[hits]
-            for (bit, _, _, high, least, edits, *_), (owners, starts) in zip(self.classes, windows):
-                at = hits[(masks & bit) != 0]
-                if len(at) < least:
+            own_hashes = hashes[at]
+            found = np.minimum(np.searchsorted(grams, own_hashes), len(grams) - 1)
+            true = grams[found] == own_hashes
+            at, items = at[true], has[found[true]]
+            opens, candidates = [], 0
+            for m, (_, text) in enumerate(members):
+                mine = (items >> np.uint64(m)) & np.uint64(1) != 0
+                if mine.sum() < least[m]:
                     continue
-                enough = np.searchsorted(at, at + high + edits) - np.arange(len(at)) >= least
-                if not enough.any():
+                limit = allowed_edits(len(text), self.share)
+                # a gram lies as far into the passage as into the item, give or take the edits
+                grams_here, places = self.ordered[number][m]
+                hashed = own_hashes[true][mine]
+                left = np.searchsorted(grams_here, hashed, "left")
+                times = np.searchsorted(grams_here, hashed, "right") - left
+                which = np.repeat(left - (np.cumsum(times) - times), times) + np.arange(times.sum())
+                start = np.sort(np.repeat(at[mine], times) - places[which])
+                last = start[least[m] - 1 :]
+                first = start[: len(last)]
+                fits = last - first <= 2 * limit
+                if not fits.any():
                     continue
-                # the passage opens at such a hit, or before it by the edits and one gram
-                near = np.zeros(len(own) + 1, np.int32)
-                np.add.at(near, np.maximum(at[enough] - edits - GRAM, 0), 1)
-                np.add.at(near, at[enough] + 1, -1)
-                opens = np.flatnonzero(np.cumsum(near)[:-1] > 0)
-                owners.append(np.full(len(opens), number))
-                starts.append(opens)
-        for (_, members, low, high, _, edits, moves, places, keys, order), (owners, starts) in zip(self.classes, windows):
+                candidates |= 1 << m
+                near = np.zeros(len(own) + 2, np.int32)
+                np.add.at(near, np.clip(last[fits] - limit, 0, len(own)), 1)
+                np.add.at(near, np.clip(first[fits] + limit + 1, 1, len(own) + 1), -1)
+                # a window that opens one character off is as good as one edit more
+                places = np.flatnonzero(np.cumsum(near)[:-1] > 0)
+                opens.append(places[(places % 2 == 0) | np.concatenate([[True], places[1:] != places[:-1] + 1])])
+            if opens:
+                yield number, np.unique(np.concatenate(opens)), candidates
+
+    def _find_long(self, texts: list[str], found: list[dict]) -> None:
+        data = [symbols(t) for t in texts]
+        windows: list[tuple[list, list, dict]] = [([], [], {}) for _ in self.classes]
+        for number, own in enumerate(data):
+            for which, opens, candidates in self._windows(own):
+                windows[which][2][number] = candidates
+                windows[which][0].append(np.full(len(opens), number))
+                windows[which][1].append(opens)
+        for (_, members, low, *_, moves, places, keys, order), (owners, starts, candidates) in zip(self.classes, windows):
             if not owners:
                 continue
             owner, start = np.concatenate(owners), np.concatenate(starts)
             for at in range(0, len(owner), 1 << 14):
-                self._match(texts, data, owner[at : at + (1 << 14)], start[at : at + (1 << 14)], members, low, moves, places, keys, order, found)
+                self._match(texts, data, owner[at : at + (1 << 14)], start[at : at + (1 << 14)], members, low, moves, places, keys, order, candidates, found)
 
-    def _match(self, texts, data, owner, start, members, low, moves, places, keys, order, found) -> None:
+    def _match(self, texts, data, owner, start, members, low, moves, places, keys, order, candidates, found) -> None:
         distinct, local = np.unique(owner, return_inverse=True)
         lengths = np.array([len(data[n]) + low for n in distinct])
         offsets = np.concatenate([[0], np.cumsum(lengths)])
@@ -203,6 +244,8 @@ class Items:
         window, member = joined // len(members), joined % len(members)
         spans: dict[tuple[int, int], list[list[int]]] = {}
         for w, m in zip(window.tolist(), member.tolist()):
+            if not candidates[int(owner[w])] >> m & 1:
+                continue
             runs = spans.setdefault((int(owner[w]), m), [])
             if runs and start[w] - runs[-1][1] <= low:
                 runs[-1][1] = int(start[w])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import exact_dedup, jaccard_join, language_id, lm_scoring, mixing, quality, token_counts, token_shards
+from gleaner.llm import decontamination, exact_dedup, jaccard_join, language_id, lm_scoring, mixing, quality, token_counts, token_shards
 from gleaner.sources.scratch import scratch_path, stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -134,6 +134,12 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.shingle_groups(documents(spark, folder))
 
 
+@query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in documents, exact or edited: doc_id, item_id, distance, item_chars."""
+    return decontamination.find_items(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 OP9 = r"""
 WITH normalised AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
