@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import decontamination, exact_dedup, jaccard_join, language_id, lm_scoring, mixing, quality, token_counts, token_shards
+from gleaner.llm import decontamination, exact_dedup, jaccard_join, language_id, lm_scoring, mixing, pii, quality, token_counts, token_shards
 from gleaner.sources.scratch import scratch_path, stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -77,6 +77,13 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder), tokenizer())
 
 
+@query("op3_pii")
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = documents(spark, folder)
+    return pii.find_pii(docs, pii.train_tagger(docs))
+
+
 def remainder(divisor: int):
     """Fold of a row: crc32 of the id as text; a null id has that of an empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(divisor))
