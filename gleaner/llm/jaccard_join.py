@@ -6,7 +6,7 @@ with every member, so only groups whose bound reaches the threshold are opened
 and compared set by set. The join is exact: it finds every link.
 
 Groups are stars. Documents with the same smallest hash of a shingle are
-compared with one leader, and those that link to it form its group; others
+compared with one leader, the one whose tokens are the most frequent, and those that link to it form its group; others
 are groups of their own. Columns of the matrix are met by their rarest tokens
 first: a set that links with another shares one of its rarest tokens with it,
 and the number of such tokens that two groups share bounds any overlap between
@@ -107,30 +107,32 @@ def _frequency_classes(texts: DataFrame, width: int) -> np.ndarray:
 
 
 def _digested(docs: DataFrame, id_type: str, classes: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Per document: set size, digest of the set, smallest hash, and the rarest tokens."""
+    """Per document: set size, digest of the set, smallest hash, how frequent its tokens are, and the rarest tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = per_worker(("shingles", width), lambda: Shingler(width))
         frequency = shared.value
         for batch in batches:
-            sizes, digests, lowest, rare = [], [], [], []
+            sizes, digests, lowest, common, rare = [], [], [], [], []
             for text in batch.column(1):
                 tokens = shingler.of(text.as_py())
                 n = len(tokens)
                 sizes.append(n)
                 digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
                 lowest.append(int(mixed(tokens + ODD[5]).min().view(np.int64)) if n else None)
-                order = (frequency[(tokens & np.uint64(CELLS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8))
+                often = frequency[(tokens & np.uint64(CELLS - 1)).astype(np.int64)]
+                common.append(int(1000 * often.mean()) if n else 0)
+                order = (often.astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8))
                 rare.append(tokens[np.argsort(order, kind="stable")[: n - required(n, percent) + 1]].view(np.int64) if n else np.empty(0, np.int64))
             lengths = np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32)
             tokens = pa.array(np.concatenate(rare) if rare else np.empty(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(lowest, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), tokens)],
-                ["doc_id", "n", "digest", "lowest", "rare"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(lowest, pa.int64()), pa.array(common, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), tokens)],
+                ["doc_id", "n", "digest", "lowest", "common", "rare"],
             )
 
-    return docs.mapInArrow(digest, f"doc_id {id_type}, n bigint, digest binary, lowest bigint, rare array<bigint>")
+    return docs.mapInArrow(digest, f"doc_id {id_type}, n bigint, digest binary, lowest bigint, common bigint, rare array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -259,9 +261,14 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sets = stage(_digested(texts, id_type, frequency, width, percent), "sets")
 
     classes = stage(
-        sets.filter(F.col("n") > 0).groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("lowest").alias("lowest")), "classes"
+        sets.filter(F.col("n") > 0).groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("lowest").alias("lowest"), F.min("common").alias("common")), "classes"
     )
-    leaders = classes.groupBy("lowest").agg(F.min("digest").alias("leader"), F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1).drop("size")
+    # an original has fewer tokens of its own than its edited copies, so the set of the most frequent tokens leads
+    leaders = (
+        classes.groupBy("lowest").agg(F.max(F.struct("common", "digest"))["digest"].alias("leader"), F.count(F.lit(1)).alias("size"))
+        .filter(F.col("size") > 1).drop("size")
+    )
+    classes = classes.drop("common")
 
     # stars: every class of a bucket against the bucket's leader
     bucket_sets = stage(_sets(texts, stage(classes.join(leaders, "lowest"), "buckets"), width), "bucket-sets")
