@@ -11,12 +11,14 @@ def per_worker(key: Hashable, make: Callable[[], object]) -> object:
     """The object made for ``key`` in this worker; made anew where it is not there.
 
     Task functions travel by value and have fresh globals in every task, so
-    the objects hang on a module of their own.
+    the object hangs on a module of its own. There is one at a time: a new
+    kind of work drops what the one before remembered.
     """
-    store = sys.modules.setdefault("_gleaner_worker_memo", types.ModuleType("_gleaner_worker_memo")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    store = sys.modules.setdefault("_gleaner_worker_memo", types.ModuleType("_gleaner_worker_memo"))
+    if getattr(store, "key", None) != key:
+        store.held = None
+        store.held, store.key = make(), key
+    return store.held
 
 
 class Memo(dict):
