@@ -90,7 +90,7 @@ def chunk_sentences(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int =
             for doc_id, file_name, text in zip(batch["doc_id"], batch["file_name"], batch["text"]):
                 units = list(_units(text or "", size, overlap))
                 for number, (start, stop) in enumerate(_pack([n for _, n in units], size, overlap)):
-                    chunk = "".join(piece for piece, _ in units[start:stop]).rstrip()
+                    chunk = "".join(piece for piece, _ in units[start:stop]).rstrip(" \t\n\x0b\f\r")
                     rows.append((f"{doc_id}#{number}", doc_id, file_name, number, chunk, sum(n for _, n in units[start:stop])))
             yield pd.DataFrame(rows, columns=["chunk_id", "doc_id", "file_name", "chunk_no", "text", "n_words"])
 

@@ -13,6 +13,7 @@ from gleaner.operators.common import broadcast_batches, hinted, union_all
 from gleaner.sources.scratch import stage
 
 ANCHOR_WORDS = 3
+SHORT_KEY = 3
 F1_THRESHOLD = 0.5
 
 
@@ -56,8 +57,10 @@ def golden_sources(passages: DataFrame, documents: DataFrame, anchor: int = ANCH
 
     The words between the first and the last of a passage appear in the
     document as whole words, so a run of them serves as join key; only documents
-    that meet a passage there are compared in full. Passages of fewer than three
-    words are no passages and match nothing.
+    that meet a passage there are compared in full. A passage of one or two words
+    lies within one word or two neighbouring ones; there the first letters of
+    its first word are the key, met by the letter runs of the documents' words.
+    A blank passage matches nothing.
     """
     found = tx.words(F.col("text"))
     inner = F.size("words") - 2
@@ -82,6 +85,27 @@ def golden_sources(passages: DataFrame, documents: DataFrame, anchor: int = ANCH
         .filter(F.col("anchor").isNotNull()).withColumn("length", F.lit(n))
         for n in sorted(lengths) or [anchor]
     ])
+    short = (
+        passages.select("query_id", F.col("text").alias("passage"), found.alias("words"))
+        .filter(inner.between(-1, 0))
+        .withColumn("length", F.least(F.char_length(F.col("words")[0]), F.lit(SHORT_KEY)))
+        .withColumn("anchor", F.concat(F.lit("~"), F.substring(F.col("words")[0], F.lit(1), F.col("length"))))
+        .select("query_id", "passage", "length", "anchor")
+    )
+    short_lengths = sorted(row["length"] for row in short.select("length").distinct().collect())
+
+    def letter_runs(n: int) -> Column:
+        long_enough = F.filter(F.array_distinct("words"), lambda w: F.char_length(w) >= n)
+        return F.array_distinct(F.flatten(F.transform(long_enough, lambda w: F.transform(
+            F.sequence(F.lit(1), F.char_length(w) - n + 1), lambda i: F.concat(F.lit("~"), F.substring(w, i, F.lit(n)))
+        ))))
+
+    if short_lengths:
+        keyed = keyed.unionByName(short)
+        in_documents = union_all([in_documents, *(
+            documents.select("doc_id", found.alias("words")).select("doc_id", F.explode(letter_runs(n)).alias("anchor")).withColumn("length", F.lit(n))
+            for n in short_lengths
+        )])
     candidates = union_all([
         in_documents.join(hinted(batch, small), ["length", "anchor"]).select("doc_id", "query_id", "passage")
         for batch, small in broadcast_batches(keyed, "query_id")
@@ -125,10 +149,16 @@ def answer_f1(answers: DataFrame, threshold: float = F1_THRESHOLD) -> DataFrame:
 
 
 def check_structure(responses: DataFrame, column: str, schema: T.StructType | T.ArrayType) -> DataFrame:
-    """Adds ``parsed`` and ``valid``: whether the JSON text fits the schema with no field missing."""
+    """Adds ``parsed`` and ``valid``: whether the JSON text fits the schema with no field missing at any depth."""
+
+    def complete(value: Column, kind: T.DataType) -> Column:
+        whole = value.isNotNull()
+        if isinstance(kind, T.StructType):
+            for field in kind.fields:
+                whole &= F.coalesce(complete(value[field.name], field.dataType), F.lit(False))
+        elif isinstance(kind, T.ArrayType):
+            whole &= F.coalesce(F.forall(value, lambda item: complete(item, kind.elementType)), F.lit(False))
+        return whole
+
     parsed = F.from_json(column, schema, {"mode": "PERMISSIVE"})
-    fields = schema.fields if isinstance(schema, T.StructType) else []
-    complete = F.col("parsed").isNotNull()
-    for field in fields:
-        complete &= F.col("parsed")[field.name].isNotNull()
-    return responses.withColumn("parsed", parsed).withColumn("valid", complete)
+    return responses.withColumn("parsed", parsed).withColumn("valid", complete(F.col("parsed"), schema))

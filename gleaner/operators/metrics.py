@@ -18,8 +18,6 @@ from gleaner.sources.scratch import stage
 
 DIGITS = 6
 MAX_BINS = 30
-# The candidate bin widths, 1, 2 and 5 times a power of ten.
-BIN_STEPS = [float(f"{lead}e{power}") for power in range(-6, 10) for lead in (1, 2, 5)]
 
 
 def _rounded(column: Column) -> Column:
@@ -97,10 +95,16 @@ def latency_outliers(results: DataFrame) -> DataFrame:
 
 
 def latency_hist(results: DataFrame, max_bins: int = MAX_BINS) -> DataFrame:
-    """Histogram per provider on one round bin width that gives at most ``max_bins`` bins."""
+    """Histogram per provider on one round bin width that gives at most ``max_bins`` bins.
+
+    The width is 1, 2 or 5 times a power of ten, the least that serves, and
+    follows from the span whatever its size; without any span it is 1e-6.
+    """
     span = results.agg((F.max("latency_ms") - F.min("latency_ms")).alias("span"))
-    steps = F.array(*[F.lit(s) for s in BIN_STEPS])
-    step = span.select(F.array_min(F.filter(steps, lambda s: F.col("span") / s <= max_bins))).scalar()
+    power = F.floor(F.log10(F.col("span") / max_bins))
+    steps = F.array(*[F.concat(F.lit(f"{lead}e"), (power + shift).cast("string")).cast("double") for shift in (-1, 0, 1) for lead in (1, 2, 5)])
+    fitting = F.array_min(F.filter(steps, lambda s: F.col("span") / s <= max_bins))
+    step = span.select(F.when(F.col("span") > 0, fitting).when(F.col("span") == 0, F.lit(1e-6))).scalar()
     start = _rounded(F.floor(F.col("latency_ms") / F.col("step")) * F.col("step"))
     return (
         results.withColumn("step", step)

@@ -14,12 +14,13 @@ from gleaner.sources.scratch import stage
 # spans at most about 1.5 million such buckets per sign, in practice thousands.
 _LOG_STEP = math.log(1.001)
 _LOG_OFFSET = 800_000
+_LOG_INFINITE = 750_000.0
 _FINE_BUCKETS = 4096
 
 
 def _coarse(value: Column) -> Column:
-    """Order-preserving bucket number on a logarithmic scale."""
-    size = F.floor(F.log(F.abs(value)) / F.lit(_LOG_STEP)) + F.lit(_LOG_OFFSET)
+    """Order-preserving bucket number on a logarithmic scale; infinite values have one of their own."""
+    size = F.floor(F.least(F.log(F.abs(value)) / F.lit(_LOG_STEP), F.lit(_LOG_INFINITE))) + F.lit(_LOG_OFFSET)
     return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("bigint"))
 
 
@@ -41,10 +42,11 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     Two rounds of counting narrow every wanted rank down to a sliver of the
     value range; only the distinct values inside a sliver are put in order.
     Counts combine on the map side, so a group that holds most of the rows
-    costs no more than many small ones. Null values are ignored.
+    costs no more than many small ones. Null and NaN values are ignored, infinite
+    ones are the greatest and the least.
     """
     groups = list(by)
-    data = df.select(*groups, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull()).withColumn("b1", _coarse(F.col("v")))
+    data = df.select(*groups, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v")).withColumn("b1", _coarse(F.col("v")))
 
     counts = data.groupBy(*groups, "b1").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     total = F.sum("n").over(Window.partitionBy(*groups))
@@ -58,7 +60,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     )
 
     width = (F.col("hi") - F.col("lo")) / _FINE_BUCKETS
-    fine = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(_FINE_BUCKETS - 1))).otherwise(F.lit(0))
+    fine = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(_FINE_BUCKETS - 1))).otherwise(F.lit(0))
     cells = data.join(first.select(*groups, "b1", "lo", "hi"), [*groups, "b1"]).withColumn("b2", fine.cast("bigint"))
     cell_counts = cells.groupBy(*groups, "b1", "b2").agg(F.count(F.lit(1)).alias("n"))
     second = stage(
@@ -79,5 +81,6 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     for number, prob in enumerate(probs):
         low, high = F.col("at")[2 * number], F.col("at")[2 * number + 1]
         position = F.lit(prob) * (F.col("count") - 1)
-        interpolated.append(low + (high - low) * (position - F.floor(position)))
+        part = position - F.floor(position)
+        interpolated.append(F.when((part == 0) | (low == high), low).otherwise(low + (high - low) * part))
     return found.select(*groups, "count", F.array(*interpolated).alias("q"))

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,9 +61,11 @@ def bm25_topk(index: KeywordIndex, queries: DataFrame, k: int = TOP_K, k1: float
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
-    """List column as a (rows, dim) matrix in double precision."""
+    """List column as a (rows, dim) matrix in double precision; lists of another length are an error."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if (pc.list_value_length(column).to_numpy(zero_copy_only=False) != dim).any():
+        raise ValueError(f"vectors of another length than {dim}")
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
@@ -82,8 +85,9 @@ class _Best:
     def add(self, vec_ids: np.ndarray, scores: np.ndarray) -> None:
         """``scores`` is (vectors, queries)."""
         rows = scores.shape[0]
+        scores = np.where(np.isnan(scores), -np.inf, scores)  # no score, no hit
         kth = np.partition(scores, rows - self.k, axis=0)[rows - self.k] if rows > self.k else scores.min(axis=0)
-        row, query = np.nonzero(scores >= kth)
+        row, query = np.nonzero((scores >= kth) & (scores > -np.inf))
         query = np.concatenate([self.query, query])
         score = np.concatenate([self.score, scores[row, query[self.query.size :]]])
         vec = vec_ids[row] if self.vec is None else np.concatenate([self.vec, vec_ids[row]])
@@ -212,7 +216,7 @@ def projection_buckets(vectors: DataFrame, dim: int, tables: int, bucket_length:
 
 
 def dense_topk_lsh(
-    vectors: DataFrame, queries: DataFrame, k: int = TOP_K, dim: int = 64, tables: int = 16,
+    vectors: DataFrame, queries: DataFrame, k: int = TOP_K, dim: int | None = None, tables: int = 16,
     bucket_length: float = 0.25, seed: int = 42,
 ) -> DataFrame:
     """Approximate form of :func:`dense_topk` by random projections.
@@ -220,10 +224,15 @@ def dense_topk_lsh(
     A vector is scored for a query when both fall into the same bucket of at
     least one table. A pair that meets in several tables is kept only in the
     first of them, which is decided inside the row, without a distinct.
+    ``dim`` is the length of the vectors, by default that of the first one;
+    vectors of another length are an error.
     """
+    if dim is None:
+        first = vectors.filter(F.size("embedding") > 0).select(F.size("embedding")).first()
+        dim = first[0] if first else 1
 
     def exploded(df: DataFrame, key: str, side: str) -> DataFrame:
-        usable = df.select(key, "embedding").filter(F.size("embedding") == dim)
+        usable = df.select(key, "embedding").filter(F.col("embedding").isNotNull())
         return projection_buckets(usable, dim, tables, bucket_length, seed).select(
             key,
             F.col("embedding").alias(f"{side}_embedding"),

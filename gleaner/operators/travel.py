@@ -34,12 +34,22 @@ def best_offers(offers: DataFrame) -> DataFrame:
     return offers.withColumn("flights", F.filter("flights", lambda f: F.coalesce(f["is_best"], F.lit(False))))
 
 
+# What counts as an ISO text: a whole date, and a time of day with at least minutes.
+ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$"
+
+
+def iso_time(text: Column) -> Column:
+    """Timestamp of an ISO text, with dashes or without; null for any other text."""
+    dashed = F.regexp_replace(text, r"^([0-9]{4})([0-9]{2})([0-9]{2})(?![0-9])", "$1-$2-$3")
+    return F.when(dashed.rlike(ISO), F.try_to_timestamp(dashed))
+
+
 def overlapping_sessions(events: DataFrame, start: Column, end: Column) -> DataFrame:
     """Keeps the sessions that overlap the closed range; events without any keep an empty array.
 
     Session bounds are ISO texts; sessions without both, or unreadable, are dropped.
     """
-    keep = lambda s: (F.try_to_timestamp(s["datetime_start"]) <= end) & (F.try_to_timestamp(s["datetime_end"]) >= start)
+    keep = lambda s: (iso_time(s["datetime_start"]) <= end) & (iso_time(s["datetime_end"]) >= start)
     return events.withColumn("sessions", F.filter("sessions", keep))
 
 
@@ -67,7 +77,7 @@ def date_bounds(df: DataFrame, start: str, end: str) -> DataFrame:
     An end at midnight moves to the last microsecond of its day. Unreadable
     bounds, and a start after the end, give a message.
     """
-    first, last = F.try_to_timestamp(F.col(start)), F.try_to_timestamp(F.col(end))
+    first, last = iso_time(F.col(start)), iso_time(F.col(end))
     whole_day = F.date_trunc("SECOND", last) == F.date_trunc("DAY", last)
     closing = F.when(whole_day, F.date_trunc("DAY", last) + F.expr("INTERVAL '1' DAY - INTERVAL '0.000001' SECOND")).otherwise(last)
     opening = F.when(F.date_trunc("SECOND", first) == F.date_trunc("DAY", first), F.date_trunc("DAY", first)).otherwise(first)

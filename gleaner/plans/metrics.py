@@ -134,7 +134,7 @@ def latency_outliers(t: Tables) -> DataFrame:
     return metrics.latency_outliers(t.results())
 
 
-STEPS = ", ".join(f"{s!r}::DOUBLE" for s in metrics.BIN_STEPS)
+STEPS = "flatten(list_transform(range(-6, 300), lambda p: list_transform([1, 2, 5], lambda l: concat(l, 'e', p)::DOUBLE)))"
 
 
 @query(
@@ -142,7 +142,7 @@ STEPS = ", ".join(f"{s!r}::DOUBLE" for s in metrics.BIN_STEPS)
     v.with_(
         v.RESULTS,
         f"""step AS (
-          SELECT list_min(list_filter([{STEPS}], lambda s: span / s <= 30)) AS step FROM (SELECT max(latency_ms) - min(latency_ms) AS span FROM results))""",
+          SELECT list_min(list_filter({STEPS}, lambda s: span / s <= 30)) AS step FROM (SELECT max(latency_ms) - min(latency_ms) AS span FROM results))""",
         select="""
         SELECT provider, round(floor(latency_ms / (SELECT step FROM step)) * (SELECT step FROM step), 6) AS bin_start,
                count(*) AS count, round(avg(latency_ms), 6) AS mean_latency

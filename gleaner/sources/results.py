@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,9 +37,9 @@ def write_cases(cases: DataFrame, path: str) -> None:
 def read_eval(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     """Result files with an explicit schema, one JSON object per file or per line.
 
-    A missing or empty folder is an error.
+    A missing or empty folder is an error, and so is a file that does not parse.
     """
-    return require_rows(spark.read.json(path, schema=EVAL_SCHEMA, multiLine=not one_per_line), f"evaluation results {path}")
+    return require_rows(spark.read.json(path, schema=EVAL_SCHEMA, multiLine=not one_per_line, mode="FAILFAST"), f"evaluation results {path}")
 
 
 def flat_results(evaluation: DataFrame) -> DataFrame:
@@ -88,9 +88,21 @@ def write_itineraries(itineraries: DataFrame, path: str) -> None:
     itineraries.select(F.col("itinerary").alias("value")).write.text(path)
 
 
+def _events(column: str) -> Column:
+    return F.from_json(column, f"struct<events: array<struct<{_as_fields(EVENT_SCHEMA)}>>>")
+
+
+def rejected_payloads(payloads: DataFrame, column: str = "value") -> DataFrame:
+    """Rows of ``payloads`` that :func:`parse_events` cannot read: no object with a list of events."""
+    return payloads.filter(_events(column)["events"].isNull())
+
+
 def parse_events(payloads: DataFrame, column: str = "value") -> DataFrame:
-    """Events from payload texts ``{"events": [...]}``; an event without sessions gets an empty array."""
-    event = F.from_json(column, f"struct<events: array<struct<{_as_fields(EVENT_SCHEMA)}>>>")
+    """Events from payload texts ``{"events": [...]}``; an event without sessions gets an empty array.
+
+    Broken payloads give no event; :func:`rejected_payloads` lists them.
+    """
+    event = _events(column)
     sessions = F.col("event.sessions.sessions")
     empty = F.array().cast("array<struct<datetime_start: string, datetime_end: string, session_tickets: string>>")
     return (

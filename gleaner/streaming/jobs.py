@@ -6,9 +6,11 @@ gives one that shares the context and leaves the caller's settings alone.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -163,16 +165,21 @@ def ingest_stream(documents: DataFrame, chunker: Callable[[DataFrame], DataFrame
     """Chunk newly arrived documents and append the chunks that the store lacks, then stop.
 
     Each micro-batch owns one folder and overwrites it when it is repeated, so
-    a failed run leaves no duplicates.
+    a failed run leaves no duplicates. The folder's name holds the id that the
+    checkpoint gives the run: with a new checkpoint an existing store stays,
+    and what it holds is not stored again.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        run = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        own = f"{run}-{batch_id}"
         chunks = with_content_hash(chunker(batch)).dropDuplicates(["content_hash"])
-        stored = None
-        if batch_id > 0:
-            stored = spark.read.parquet(store).filter(F.col("batch") < batch_id)
-        ingest_delta(chunks, stored).write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+        try:
+            stored = spark.read.parquet(store).filter(F.col("batch").cast("string") != own)
+        except AnalysisException:  # nothing is stored yet
+            stored = None
+        ingest_delta(chunks, stored).write.mode("overwrite").parquet(f"{store}/batch={own}")
 
     (
         documents.writeStream.foreachBatch(ingest)
