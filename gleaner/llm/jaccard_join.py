@@ -29,7 +29,7 @@ from gleaner.llm.memo import Memo, per_worker
 from gleaner.llm.stripes import SCHEMA, stripes_of, sum_stripes
 from gleaner.sources.scratch import stage
 
-MEMO_WORDS = 400_000
+MEMO_WORDS = 100_000
 CELLS = 1 << 20
 CHUNK_SETS = 64
 # Each group is compared with its likeliest partners first; later ones only where they are not connected by then.

@@ -21,7 +21,7 @@ from gleaner.llm.memo import Memo, per_worker
 
 WORDS = 1 << 16
 BINS = 12
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 CLASSES = np.zeros(256, np.uint8)
 for _class, _bytes in enumerate([b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" ", b"\n", b".,;:?'\"-()", b"!"], 1):
     CLASSES[list(_bytes)] = _class
