@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gleaner.llm.memo import per_worker
+from gleaner.llm.memo import fresh, per_worker
 from gleaner.operators.common import top_k
 
 UNKNOWN = "und"
@@ -136,6 +136,7 @@ def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
     if len(rows) > length * max_langs:
         raise ValueError(f"more than {max_langs} languages")
     known = Profiles(rows, length)
+    inner = fresh("_text", docs.columns)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(known)
 
@@ -143,9 +144,9 @@ def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
         table = per_worker("letters", letters_table)
         profiles_here = shared.value
         for batch in batches:
-            found = [profiles_here.nearest(ranked(*grams(t.as_py() or "", table), own)) if t.is_valid and len(t.as_py()) else (UNKNOWN, 0.0) for t in batch.column("_text")]
-            columns = [batch.column(n) for n in batch.schema.names if n != "_text"]
-            names = [n for n in batch.schema.names if n != "_text"]
+            found = [profiles_here.nearest(ranked(*grams(t.as_py() or "", table), own)) if t.is_valid and len(t.as_py()) else (UNKNOWN, 0.0) for t in batch.column(inner)]
+            columns = [batch.column(n) for n in batch.schema.names if n != inner]
+            names = [n for n in batch.schema.names if n != inner]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], [*names, "lang_pred", "score"]
             )
@@ -154,4 +155,4 @@ def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
     if text_col in ("lang_pred", "score"):
         raise ValueError("the text column has the name of a result")
     schema = StructType(list(kept.schema.fields)).add("lang_pred", "string").add("score", "double")
-    return kept.withColumn("_text", F.col(text_col)).mapInArrow(predict, schema)
+    return kept.withColumn(inner, F.col(text_col)).mapInArrow(predict, schema)

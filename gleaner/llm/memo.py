@@ -44,3 +44,11 @@ class Memo(dict):
                 self.clear()
             self[key] = value
         return value
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name

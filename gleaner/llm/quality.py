@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gleaner.llm.memo import Memo, per_worker
+from gleaner.llm.memo import Memo, fresh, per_worker
 
 WORDS = 1 << 16
 BINS = 12
@@ -149,15 +149,16 @@ def score_quality(docs: DataFrame, machine: Machine, text_col: str = "text", n_c
     The whole text counts, a null one as empty; empty texts are scored by
     their statistics. A null n_chars is the text's length.
     """
+    inner, inner_chars = fresh("_text", docs.columns), fresh("_chars", docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = per_worker("quality features", Features)
         model = shared.value
         for batch in batches:
-            margins = [model.margin(*make.of(t.as_py(), c)) for t, c in zip(batch.column("_text"), batch.column("_chars").to_pylist())]
+            margins = [model.margin(*make.of(t.as_py(), c)) for t, c in zip(batch.column(inner), batch.column(inner_chars).to_pylist())]
             scores = 1 / (1 + np.exp(-np.clip(np.array(margins, np.float64), -30, 30)))
-            names = [n for n in batch.schema.names if n not in ("_text", "_chars")]
+            names = [n for n in batch.schema.names if n not in (inner, inner_chars)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32), pa.int32())], [*names, "score", "predicted"]
             )
@@ -165,4 +166,4 @@ def score_quality(docs: DataFrame, machine: Machine, text_col: str = "text", n_c
     kept = docs.drop("score", "predicted")
     n_chars = F.col(n_chars_col).cast("bigint") if n_chars_col else F.lit(None).cast("bigint")
     schema = StructType(list(kept.schema.fields)).add("score", "double").add("predicted", "integer")
-    return kept.withColumns({"_text": F.coalesce(F.col(text_col), F.lit("")), "_chars": n_chars}).mapInArrow(score, schema)
+    return kept.withColumns({inner: F.coalesce(F.col(text_col), F.lit("")), inner_chars: n_chars}).mapInArrow(score, schema)

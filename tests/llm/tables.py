@@ -21,7 +21,7 @@ ROWS = [
     (8, "word", "en", "c"),
     (9, "a<|endoftext|>b   \x00 \x1c x, y. z.", "fr", "c"),
     (10, "É ñ ß, ø. 日本語 🙂🙂 naïve", None, "c"),
-    (11, "+1 (212) 555-0153 me@mail.example.com 10.0.0.256 10.0.0.25 4377 4111 7318 3993", "en", "b"),
+    (11, "+1 (212) 555-0153 me@mail.example.com 10.0.0.256 10.0.0.25, 4377 4111 7318 3993", "en", "b"),
 ]
 
 
