@@ -297,10 +297,12 @@ def train_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The labelled spans are those of the patterns; of the texts' windows at
     most ``windows`` are used. None when no text has such a character.
     """
-    rows = (
-        docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
-        .filter(F.col("text").rlike("[0-9@]") & (F.char_length("text") <= longest)).orderBy("h").limit(sample).collect()
+    usable = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")).filter(
+        F.col("text").rlike("[0-9@]") & (F.char_length("text") <= longest)
     )
+    # hashes first, so that no task sends texts that another one's push out
+    last = usable.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    rows = sorted(usable.filter(F.col("h") <= last).dropDuplicates(["h"]).collect(), key=lambda r: r["h"]) if last is not None else []
     symbols, tags, size = [], [], 0
     for row in rows:
         own = window_starts(row["text"])
