@@ -187,3 +187,48 @@ def test_scores_of_messy_rows(spark):
     assert lm_scoring.score_texts(empty(spark), F.lit(True)).collect() == []
     untrained = lm_scoring.score_texts(messy(spark), F.lit(None).cast("boolean")).collect()
     assert {r["train_tokens"] for r in untrained} == {0}
+
+
+def counted_plainly(texts, code):
+    """Per predictor the counts of (context, node, bit), symbol by symbol with its end."""
+    counts = [Counter() for _ in range(lm_scoring.PREDICTORS)]
+    for text in texts:
+        line = b"\n" * lm_scoring.PAST + text
+        for at in range(lm_scoring.PAST, len(line) + 1):
+            before, symbol = line[at - 1], line[at] if at < len(line) else lm_scoring.END
+            opened = max((i + 1 for i in range(at) if line[i] <= 32), default=0)
+            for k, context in enumerate((line[at - 2 : at], line[at - 4 : at], line[opened:at])):
+                which = before * lm_scoring.SYMBOLS + symbol
+                for step in range(code.starts[which], code.starts[which] + code.lengths[which]):
+                    counts[k][context, code.nodes[step], code.bits[step]] += 1
+    return counts
+
+
+def rows_of_counts(texts):
+    tally = lm_scoring.Tally()
+    for text in texts:
+        tally.add(text)
+    return tally.total()
+
+
+def test_no_two_contexts_share_counts():
+    words = [f"w{n:x}" for n in range(3000)]
+    texts = [" ".join(words[i : i + 100]).encode() for i in range(0, len(words), 100)]
+    code = lm_scoring.BitCode(np.ones((256, lm_scoring.SYMBOLS), np.int64))
+    for counts, (keys, n) in zip(counted_plainly(texts, code), rows_of_counts(texts)):
+        made = lm_scoring.NodeOdds(keys, n, code)
+        nodes = {(c, node) for c, node, _ in counts}
+        assert len(made.ids) == len(nodes)
+        true = lm_scoring.log_odds(*[np.array([counts[c, node, bit] for c, node in nodes]) for bit in (1, 0)])
+        assert sorted(made.odds) == sorted(true)
+
+
+def test_units_find_their_odds():
+    texts = [b"the cat sat on the mat.", b"a cat", b""]
+    code = lm_scoring.BitCode(np.ones((256, lm_scoring.SYMBOLS), np.int64))
+    for keys, n in rows_of_counts(texts):
+        made = lm_scoring.NodeOdds(keys, n, code)
+        found = lm_scoring.PathOdds(keys, made.along(keys), code)
+        shuffled = np.random.default_rng(0).permutation(np.tile(keys, 3))
+        places, _ = lm_scoring.path_steps(shuffled, code)
+        assert (found.take(shuffled, places, np.bincount(places)) == made.along(shuffled)).all()
