@@ -11,7 +11,7 @@ from gleaner.operators import retrieval as r
 from gleaner.plans import views as v
 from gleaner.plans.ingest import CLOZE, longest_word
 from gleaner.plans.registry import query
-from gleaner.plans.retrieval import CHUNK_HITS, EMBEDDED_DENSE, EMBEDDED_UNITS, FILES, HYBRID, chunk_hits, ranked_lists
+from gleaner.plans.retrieval import CHUNK_HITS, EMBEDDED_DENSE, EMBEDDED_UNITS, FILES, HYBRID, WHOLE_LISTS, chunk_hits, ranked_lists, whole_ranked_lists
 from gleaner.plans.standins import Tables
 from gleaner.sources import results as rs
 from gleaner.sources.scratch import scratch_path
@@ -69,11 +69,7 @@ def _outputs(hits: DataFrame, provider: str) -> DataFrame:
     return answers.retrieved_files(named).withColumn("provider", F.lit(provider))
 
 
-@query(
-    "topk_accuracy",
-    v.with_(
-        EMBEDDED_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), EMBEDDED_DENSE, HYBRID, v.GOLDEN,
-        """ranked AS (
+ACCURACY = """ranked AS (
           SELECT 'rag/keyword' AS provider, query_id, chunk_id FROM hits
           UNION ALL SELECT 'rag/naive', query_id, chunk_id FROM dense
           UNION ALL SELECT 'rag/bm25', query_id, chunk_id FROM hybrid),
@@ -81,12 +77,21 @@ def _outputs(hits: DataFrame, provider: str) -> DataFrame:
           SELECT p.provider, g.query_id, max(CASE WHEN r.chunk_id IS NULL THEN 0 ELSE 1 END) AS passed
           FROM golden g CROSS JOIN (VALUES ('rag/keyword'), ('rag/naive'), ('rag/bm25')) p(provider)
           LEFT JOIN ranked r ON r.provider = p.provider AND r.query_id = g.query_id AND r.chunk_id = g.doc_id
-          GROUP BY ALL)""",
-        select="SELECT provider, count(*) AS questions, CAST(sum(passed) AS BIGINT) AS passed, round(avg(passed), 6) AS accuracy FROM verdicts GROUP BY provider",
-    ),
-)
+          GROUP BY ALL)"""
+ACCURACY_ROWS = "SELECT provider, count(*) AS questions, CAST(sum(passed) AS BIGINT) AS passed, round(avg(passed), 6) AS accuracy FROM verdicts GROUP BY provider"
+
+
+@query("topk_accuracy", v.with_(EMBEDDED_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), EMBEDDED_DENSE, HYBRID, v.GOLDEN, ACCURACY, select=ACCURACY_ROWS))
 def topk_accuracy(t: Tables) -> DataFrame:
-    dense, keyword = ranked_lists(t)
+    return _accuracy_of(t, *ranked_lists(t))
+
+
+@query("topk_accuracy_whole", v.with_(*WHOLE_LISTS, v.GOLDEN, ACCURACY, select=ACCURACY_ROWS))
+def topk_accuracy_whole(t: Tables) -> DataFrame:
+    return _accuracy_of(t, *whole_ranked_lists(t))
+
+
+def _accuracy_of(t: Tables, dense: DataFrame, keyword: DataFrame) -> DataFrame:
     lists = {"rag/keyword": keyword, "rag/naive": dense, "rag/bm25": r.reciprocal_rank_fusion([dense, keyword])}
     matrix = evaluation.eval_matrix(t.questions().select("query_id"), list(lists))
     outputs = None

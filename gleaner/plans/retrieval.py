@@ -56,18 +56,31 @@ hybrid AS {v.top("fused", "query_id", "score DESC, chunk_id", 5)}"""
 
 
 def ranked_lists(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Dense and keyword hits over the documents that have a vector."""
+    """Dense and keyword hits over the documents that have a vector, as the SQL of ``hybrid_rrf`` and ``topk_accuracy`` has it."""
     vectors = t.vectors().join(t.read("documents").select(F.col("doc_id").alias("vec_id")), "vec_id", "left_semi")
     dense = r.dense_topk(vectors, t.query_vectors())
     keyword = r.bm25_topk(keyword_index.build_index(embedded_documents(t)), t.questions())
     return dense, keyword
 
 
+def whole_ranked_lists(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Dense hits over all vectors and keyword hits over all documents; fusion needs no common ids."""
+    return r.dense_topk(t.vectors(), t.query_vectors()), r.bm25_topk(keyword_index.build_index(t.documents_as_chunks()), t.questions())
+
+
+WHOLE_LISTS = (v.DOC_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), v.DENSE, HYBRID)
+
+
 @query("hybrid_rrf", v.with_(EMBEDDED_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), EMBEDDED_DENSE, HYBRID, select=HITS + "hybrid"))
 def hybrid_rrf(t: Tables) -> DataFrame:
     return r.reciprocal_rank_fusion(list(ranked_lists(t)))
 
 
+@query("hybrid_rrf_whole", v.with_(*WHOLE_LISTS, select=HITS + "hybrid"))
+def hybrid_rrf_whole(t: Tables) -> DataFrame:
+    return r.reciprocal_rank_fusion(list(whole_ranked_lists(t)))
+
+
 @query(
     "query_variants",
     v.with_(

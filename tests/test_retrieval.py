@@ -9,6 +9,8 @@ from gleaner.operators import answers, enrich
 from gleaner.operators import keyword_index as ki
 from gleaner.operators import retrieval as r
 from gleaner.operators.common import broadcast_batches
+from gleaner.plans.retrieval import whole_ranked_lists
+from gleaner.plans.standins import Tables
 from tests.conftest import rows
 
 CHUNKS = "chunk_id string, doc_id bigint, file_name string, chunk_no bigint, text string"
@@ -206,3 +208,12 @@ def test_previous_summary_and_hot_terms(spark):
     assert rows(enrich.with_previous(numbered, "summary", "previous"), "doc_id", "chunk_no") == [
         (1, 0, "a", None), (1, 1, "b", "a"), (1, 2, None, "b"), (2, 0, "x", None)
     ]
+
+
+def test_whole_lists_find_documents_without_a_vector(spark):
+    tables = Tables(spark, "/root/testdata/sf0.01")
+    dense, keyword = whole_ranked_lists(tables)
+    vectors = tables.vectors().select(F.col("vec_id").alias("chunk_id"))
+    assert keyword.join(vectors, "chunk_id", "left_anti").count() > 0
+    fused = r.reciprocal_rank_fusion([dense, keyword])
+    assert fused.join(vectors, "chunk_id", "left_anti").count() > 0
