@@ -232,3 +232,16 @@ def test_units_find_their_odds():
         shuffled = np.random.default_rng(0).permutation(np.tile(keys, 3))
         places, _ = lm_scoring.path_steps(shuffled, code)
         assert (found.take(shuffled, places, np.bincount(places)) == made.along(shuffled)).all()
+
+
+def test_ends_are_counted_and_padding_is_not():
+    texts = [b"ab", b"", b"the cat sat on the mat.", b"x" * (lm_scoring.BATCH_BYTES + 5)]
+    keys, n = rows_of_counts(texts)[0]
+    symbols = (keys & np.uint64(511)).astype(int)
+    assert n[symbols == lm_scoring.END].sum() == len(texts)
+    assert n.sum() == sum(map(len, texts)) + len(texts)
+    code = lm_scoring.BitCode(np.ones((256, lm_scoring.SYMBOLS), np.int64))
+    for counts, (keys, n) in zip(counted_plainly(texts[:3], code), rows_of_counts(texts[:3])):
+        assert n.sum() == sum(len(t) + 1 for t in texts[:3])
+        places, steps = lm_scoring.path_steps(keys, code)
+        assert sum(counts.values()) == n[places].sum()
