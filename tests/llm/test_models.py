@@ -234,6 +234,14 @@ def test_units_find_their_odds():
         assert (found.take(shuffled, places, np.bincount(places)) == made.along(shuffled)).all()
 
 
+def test_texts_of_the_weights_are_counted_too(spark, monkeypatch):
+    """With the same weights, it makes no difference how many texts were set aside to fit them."""
+    docs = spark.createDataFrame([(n, f"w{n * 7919 % 1000:03d} " * 9) for n in range(64)], "doc_id bigint, text string")
+    monkeypatch.setattr(lm_scoring.Mixer, "fit", lambda self, texts: self)
+    some, none = ({r["doc_id"]: r["score"] for r in lm_scoring.score_texts(docs, F.lit(True), weight_texts=n).collect()} for n in (256, 0))
+    assert some == pytest.approx(none)
+
+
 def test_ends_are_counted_and_padding_is_not():
     texts = [b"ab", b"", b"the cat sat on the mat.", b"x" * (lm_scoring.BATCH_BYTES + 5)]
     keys, n = rows_of_counts(texts)[0]
