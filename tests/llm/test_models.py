@@ -253,3 +253,13 @@ def test_ends_are_counted_and_padding_is_not():
         assert n.sum() == sum(len(t) + 1 for t in texts[:3])
         places, steps = lm_scoring.path_steps(keys, code)
         assert sum(counts.values()) == n[places].sum()
+
+
+def test_short_texts_are_refined():
+    mixer = small_mixer()
+    text = [(np.concatenate([lm_scoring.PADDING, np.frombuffer(b"zqx jvk wqz pfy " * 12, np.uint8)]), True)]
+    none = np.zeros((1, lm_scoring.PREDICTORS), np.float32)
+    assert mixer.cost(text, none)[0][0] < mixer.cost(text, none, rate=0.0)[0][0]
+    for n in (0, 1, 16, 17, 1023, 2033, 5000):
+        edges = lm_scoring.block_edges(n)
+        assert edges[-1] == n and (np.diff(edges) > 0).all() and (np.diff(edges) <= lm_scoring.BLOCK).all()
