@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import decontamination, exact_dedup, jaccard_join, language_id, lm_scoring, mixing, pii, quality, token_counts, token_shards
+from gleaner.llm import (
+    conversations, decontamination, divergence, exact_dedup, jaccard_join, language_id, lm_scoring, mixing, page_text, pii, quality, token_counts, token_shards,
+)
 from gleaner.sources.scratch import scratch_path, stage
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -170,3 +172,114 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Unigram and mixing-model log probabilities of every document, learned from four of five folds."""
     scored = lm_scoring.score_texts(documents(spark, folder), remainder(5) != 1)
     return scored.select("doc_id", (~F.col("is_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+OP11 = r"""
+WITH given AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM given),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+uses AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+vocabulary AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+groups AS (
+  SELECT g.lang, g.source, coalesce(v, 0) AS v, coalesce(sum(u.n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM given) g LEFT JOIN vocabulary USING (lang) LEFT JOIN uses u ON u.lang = g.lang AND u.source = g.source
+  GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(u.n, 0) + 2)) // (g.total + 2 * g.v) AS p
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN uses u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+usual AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS q FROM kept JOIN vocabulary USING (lang)),
+near AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN near n ON n.lang = a.lang AND n.source = a.source AND n.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares JOIN usual USING (lang, term) WHERE n > 0 AND p > q),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM placed WHERE part = 'pair' OR rank <= 10"""
+
+
+@query("op11_source_divergence", OP11)
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that set a source apart."""
+    return divergence.audit_sources(documents(spark, folder))
+
+
+@query("op12_page_text")
+def op12_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return page_text.extract(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+def _step(value: str, cost: str, letter: str, line: str | None = None) -> str:
+    """One edit put before the repair ``value``."""
+    text = f"{value}.t" if line is None else f"chr(10) || {line} || {value}.t"
+    return f"{{'c': {value}.c + {cost}, 'a': '{letter}' || {value}.a, 't': {text}}}"
+
+
+def _least(*options: str) -> str:
+    return f"list_sort(list_filter([{', '.join(options)}], lambda o: o IS NOT NULL))[1]"
+
+
+def _row_edits(last: str) -> str:
+    """Cheapest repair from row ``r`` on, where ``last`` came last, before inserts; w0, ws, wu, wa hold those from the next row on."""
+    own, turn = "r.role || ':' || r.text", ("wa", "assistant") if last == "u" else ("wu", "user")
+    to = {"0": {"s": "ws", "u": "wu"}, "s": {"u": "wu"}, "u": {"a": "wa"}, "a": {"u": "wu"}}[last]
+    kept = [f"CASE WHEN NOT r.must AND r.role[1] = '{first}' THEN {_step(w, 'r.more', 'K', own)} END" for first, w in to.items()]
+    rerole = f"CASE WHEN NOT r.must THEN {_step(turn[0], '2 + r.more', 'R', chr(39) + turn[1] + ':' + chr(39) + ' || r.text')} END"
+    return _least(_step("w" + last, "3", "D"), *kept, rerole)
+
+
+OP13 = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')), ''),
+             lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM damaged),
+judged AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+         coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY i)[1] || role[1] NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM ordered),
+conv AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE NOT blank AND again) AS duplicate, count(*) FILTER (WHERE NOT blank AND NOT again AND cut) AS truncated,
+         count(*) FILTER (WHERE illegal) AS illegal,
+         list({{'role': role, 'text': text, 'must': blank OR again, 'more': CASE WHEN cut THEN 1 ELSE 0 END}} ORDER BY i) AS rs
+  FROM judged GROUP BY conv_id),
+steps AS (
+  SELECT conv_id, len(rs) AS i, rs, {{'c': 0, 'a': '', 't': ''}} AS w0, {{'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS ws,
+         {{'c': 2, 'a': 'I', 't': chr(10) || 'assistant:'}} AS wu, {{'c': 0, 'a': '', 't': ''}} AS wa
+  FROM conv
+  UNION ALL
+  SELECT conv_id, i, rs, {_least('b0', _step('iu', '2', 'I', "'user:'"))}, {_least('bs', _step('iu', '2', 'I', "'user:'"))}, iu,
+         {_least('ba', _step('bu', '2', 'I', "'user:'"))}
+  FROM (SELECT *, {_least('bu', _step('ba', '2', 'I', "'assistant:'"))} AS iu
+        FROM (SELECT conv_id, i - 1 AS i, rs, {', '.join(f'{_row_edits(q)} AS b{q}' for q in '0sua')} FROM (SELECT *, rs[i] AS r FROM steps WHERE i > 0))))
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(CAST(w0.c AS BIGINT), 0) AS cost, coalesce(w0.a, '') AS audit, sha256(substr(coalesce(w0.t, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN conv ON conv.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN (SELECT * FROM steps WHERE i = 0) s ON s.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
+@query("op13_conversation_repair", OP13)
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation."""
+    return conversations.repair(spark.read.parquet(f"{folder}/conversations.parquet"))
