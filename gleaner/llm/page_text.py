@@ -355,10 +355,12 @@ def in_order(keys: DataFrame) -> DataFrame:
 
 
 def compare_neighbours(ordered: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``(row, host, at, shared, votes)`` of ``ordered(row, host, at, lines)``, lines without text.
+    """``(row, host, at, shared, places, votes)`` of ``ordered(row, host, at, lines)``, lines without text.
 
-    ``votes`` counts per place outside the known frame the lines that were
-    compared and those found next door. Pages are dealt out in blocks of
+    ``shared`` marks the lines outside frame and declared main part that stand
+    next door, and is null where there is none. ``votes`` counts per place
+    outside the known frame the lines that were compared and those found next
+    door; ``places`` names these places of every page. Pages are dealt out in blocks of
     neighbours; the pages at a border go to both blocks, so that the result
     does not depend on how the table is partitioned.
     """
@@ -381,11 +383,13 @@ def compare_neighbours(ordered: DataFrame, block: int = BLOCK) -> DataFrame:
                     cell[1] += hit
             votes.append([{"place": place, "zone": zone, "lines": n, "hits": hits} for (place, zone), (n, hits) in tally.items()])
         kept = table.select(["row", "host", "at"]).take(pa.array(keep, pa.int64()))
-        flags = pa.array([shared[i] for i in keep], pa.list_(pa.bool_()))
+        dropped = [[hit and line["zone"] == OPEN for line, hit in zip(pages[i], shared[i])] for i in keep]
+        flags = pa.array([f if any(f) else None for f in dropped], pa.list_(pa.bool_()))
+        places = pa.array([sorted({line["place"] for line in pages[i] if line["zone"] != OUT}) for i in keep], pa.list_(pa.int64()))
         vote = pa.struct([("place", pa.int64()), ("zone", pa.int32()), ("lines", pa.int64()), ("hits", pa.int64())])
-        return kept.append_column("shared", flags).append_column("votes", pa.array(votes, pa.list_(vote)))
+        return kept.append_column("shared", flags).append_column("places", places).append_column("votes", pa.array(votes, pa.list_(vote)))
 
-    schema = "row bigint, host string, at bigint, shared array<boolean>, votes array<struct<place: bigint, zone: int, lines: bigint, hits: bigint>>"
+    schema = "row bigint, host string, at bigint, shared array<boolean>, places array<bigint>, votes array<struct<place: bigint, zone: int, lines: bigint, hits: bigint>>"
     return dealt.groupBy("block").applyInArrow(compare, schema)
 
 
@@ -404,6 +408,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     an empty table gives an empty one.
 
     Texts are written once and met again by row; what is compared are hashes.
+    Only pages that comparison takes a line from are joined to their texts.
     """
     named = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     parsed = stage(read_lines(named).withColumn("row", F.monotonically_increasing_id()), "page-lines")
@@ -424,9 +429,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     frames = common.groupBy("host").agg(F.array_sort(F.collect_set("place")).alias("frame"))
     reach = ordered.groupBy("host").agg(F.min("at").alias("low"), F.max("at").alias("high"))
     spread = frames.join(reach, "host").select("host", "frame", F.explode(F.sequence(stretch(F.col("low")), stretch(F.col("high")))).alias("stretch"))
-    judged = seen.withColumn("stretch", stretch(F.col("at"))).join(spread, ["host", "stretch"], "left").select("row", "shared", "frame")
-
     nowhere = F.array().cast("array<bigint>")
+    framed = F.array_intersect("places", F.coalesce("frame", nowhere))
+    judged = seen.withColumn("stretch", stretch(F.col("at"))).join(spread, ["host", "stretch"], "left").select("row", "shared", framed.alias("frame"))
+    # only pages that lose a line by comparison are met again; where they are few, the plan need not move the texts
+    judged = stage(judged.filter(F.col("shared").isNotNull() | (F.size("frame") > 0)), "page-judged")
     found = parsed.join(judged, "row", "left").withColumn("frame", F.coalesce("frame", nowhere))
     in_frame = lambda x: F.array_contains("frame", x["place"])
     own = F.filter("lines", lambda x, i: (x["zone"] != OUT) & ~in_frame(x) & ((x["zone"] == IN) | ~F.coalesce(F.get("shared", i), F.lit(False))))
