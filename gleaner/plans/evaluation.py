@@ -11,7 +11,7 @@ from gleaner.operators import retrieval as r
 from gleaner.plans import views as v
 from gleaner.plans.ingest import CLOZE, longest_word
 from gleaner.plans.registry import query
-from gleaner.plans.retrieval import CHUNK_HITS, EMBEDDED_DENSE, EMBEDDED_UNITS, FILES, HYBRID, WHOLE_LISTS, chunk_hits, ranked_lists, whole_ranked_lists
+from gleaner.plans.retrieval import CHUNK_HITS, FILES, TEXT_LISTS, WHOLE_LISTS, chunk_hits, text_ranked_lists, whole_ranked_lists
 from gleaner.plans.standins import Tables
 from gleaner.sources import results as rs
 from gleaner.sources.scratch import scratch_path
@@ -81,9 +81,9 @@ ACCURACY = """ranked AS (
 ACCURACY_ROWS = "SELECT provider, count(*) AS questions, CAST(sum(passed) AS BIGINT) AS passed, round(avg(passed), 6) AS accuracy FROM verdicts GROUP BY provider"
 
 
-@query("topk_accuracy", v.with_(EMBEDDED_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), EMBEDDED_DENSE, HYBRID, v.GOLDEN, ACCURACY, select=ACCURACY_ROWS))
+@query("topk_accuracy", v.with_(*TEXT_LISTS, v.GOLDEN, ACCURACY, select=ACCURACY_ROWS))
 def topk_accuracy(t: Tables) -> DataFrame:
-    return _accuracy_of(t, *ranked_lists(t))
+    return _accuracy_of(t, *text_ranked_lists(t))
 
 
 @query("topk_accuracy_whole", v.with_(*WHOLE_LISTS, v.GOLDEN, ACCURACY, select=ACCURACY_ROWS))

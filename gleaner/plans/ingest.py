@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.functions import text as tx
-from gleaner.operators import chunking, enrich, keyword_index, models
+from gleaner.operators import chunking, encoder, enrich, keyword_index, models
 from gleaner.plans import views as v
 from gleaner.plans.registry import query
 from gleaner.plans.standins import Tables
@@ -247,10 +247,18 @@ def chunk_summary_prev(t: Tables) -> DataFrame:
     return enrich.with_previous(enrich.summarize(chunks, index), "summary", "prev_summary").select("chunk_id", "summary", "prev_summary")
 
 
-@query("embed_chunks")
+@query(
+    "embed_chunks",
+    v.with_(v.CHUNK_UNITS, v.WEIGHTS, v.encoded("vectors", "units", "chunk_id"), select="SELECT chunk_id, CAST(slot AS BIGINT) AS slot, weight FROM vectors"),
+)
 def embed_chunks(t: Tables) -> DataFrame:
+    """Vectors of the chunks, as the entries that are not zero."""
     chunks = chunking.chunk_windows(t.corpus())
-    return models.fit_encoder(chunks)(chunks).select("chunk_id", "embedding")
+    path = scratch_path(t.spark, "chunk-encoder")
+    encoder.save_encoder(encoder.fit_table(chunks, v.ENCODER_DIM), path)
+    embedded = encoder.encode(chunks.select("chunk_id", "text"), encoder.load_encoder(t.spark, path))
+    entries = embedded.select("chunk_id", F.posexplode("embedding").alias("slot", "weight")).filter("weight <> 0")
+    return entries.select("chunk_id", F.col("slot").cast("bigint").alias("slot"), F.col("weight").cast("double").alias("weight"))
 
 
 def longest_word(rows: list[dict]) -> list[str]:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as tx
-from gleaner.operators import answers, chunking, enrich, keyword_index
+from gleaner.operators import answers, chunking, encoder, enrich, keyword_index, models, pruned_index, vector_index
 from gleaner.operators import retrieval as r
 from gleaner.plans import views as v
 from gleaner.plans.ingest import chunk_index
 from gleaner.plans.registry import query
 from gleaner.plans.standins import Tables
-from gleaner.sources.scratch import stage
+from gleaner.sources.scratch import scratch_path, stage
 
 LSH_BUCKET = 0.04
 HIT_COLUMNS = ["query_id", "rank", "chunk_id", "score"]
@@ -40,27 +40,33 @@ def bm25_topk(t: Tables) -> DataFrame:
     return r.bm25_topk(chunk_index(t)[1], t.questions())
 
 
-def embedded_documents(t: Tables) -> DataFrame:
-    """Documents that have a vector, one unit each."""
-    ids = t.read("embeddings").select(F.col("vec_id").alias("chunk_id"))
-    return t.documents_as_chunks().join(ids, "chunk_id", "left_semi")
-
-
-EMBEDDED_UNITS = v.CORPUS + """,
-units AS (SELECT doc_id AS chunk_id, doc_id, file_name, text FROM corpus WHERE doc_id IN (SELECT vec_id FROM embeddings))"""
-EMBEDDED_DENSE = v.DENSE.replace("FROM asked, embeddings", "FROM asked, embeddings WHERE vec_id IN (SELECT doc_id FROM documents)")
 HYBRID = f"""
 both_lists AS (SELECT query_id, chunk_id, rank FROM hits UNION ALL SELECT query_id, chunk_id, rank FROM dense),
 fused AS (SELECT query_id, chunk_id, round(sum(1.0::DOUBLE / (60 + rank - 1)), 6) AS score FROM both_lists GROUP BY ALL),
 hybrid AS {v.top("fused", "query_id", "score DESC, chunk_id", 5)}"""
 
 
-def ranked_lists(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Dense and keyword hits over the documents that have a vector, as the SQL of ``hybrid_rrf`` and ``topk_accuracy`` has it."""
-    vectors = t.vectors().join(t.read("documents").select(F.col("doc_id").alias("vec_id")), "vec_id", "left_semi")
-    dense = r.dense_topk(vectors, t.query_vectors())
-    keyword = r.bm25_topk(keyword_index.build_index(embedded_documents(t)), t.questions())
-    return dense, keyword
+def text_ranked_lists(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Dense and keyword hits of the questions' texts over all documents.
+
+    Documents and questions are encoded by one saved table of weights. Its
+    bag of terms would read an instruction as terms, so there is none.
+    """
+    units = t.documents_as_chunks()
+    weights = fitted_encoder(t, units)
+    vectors = encoder.encode(units, weights).select(F.col("chunk_id").alias("vec_id"), "embedding")
+    dense = r.dense_topk(vectors, encoder.encode_queries(t.questions(), weights, instruct=False))
+    return dense, r.bm25_topk(keyword_index.build_index(units), t.questions())
+
+
+def fitted_encoder(t: Tables, units: DataFrame) -> DataFrame:
+    """The encoder of ``units``, saved and loaded."""
+    path = scratch_path(t.spark, "encoder")
+    encoder.save_encoder(encoder.fit_table(units, v.ENCODER_DIM), path)
+    return encoder.load_encoder(t.spark, path)
+
+
+TEXT_LISTS = (v.DOC_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), v.WEIGHTS, v.text_dense(), HYBRID)
 
 
 def whole_ranked_lists(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -71,9 +77,80 @@ def whole_ranked_lists(t: Tables) -> tuple[DataFrame, DataFrame]:
 WHOLE_LISTS = (v.DOC_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), v.DENSE, HYBRID)
 
 
-@query("hybrid_rrf", v.with_(EMBEDDED_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), EMBEDDED_DENSE, HYBRID, select=HITS + "hybrid"))
+@query("hybrid_rrf", v.with_(*TEXT_LISTS, select=HITS + "hybrid"))
 def hybrid_rrf(t: Tables) -> DataFrame:
-    return r.reciprocal_rank_fusion(list(ranked_lists(t)))
+    """Questions against all documents, by keyword and by encoded text, fused."""
+    return r.reciprocal_rank_fusion(list(text_ranked_lists(t)))
+
+
+@query(
+    "dense_text_topk",
+    v.with_(
+        v.DOC_UNITS, v.QUESTIONS, f"instructed AS (SELECT query_id, '{models.QUERY_INSTRUCTION}' || text AS text FROM questions)".replace("\n", "' || chr(10) || '"),
+        v.WEIGHTS, v.text_dense(asked="instructed"), select=HITS + "dense",
+    ),
+)
+def dense_text_topk(t: Tables) -> DataFrame:
+    """Questions as an instruction-tuned encoder takes them, against all documents."""
+    units = t.documents_as_chunks()
+    weights = fitted_encoder(t, units)
+    vectors = encoder.encode(units, weights).select(F.col("chunk_id").alias("vec_id"), "embedding")
+    return r.dense_topk(vectors, encoder.encode_queries(t.questions(), weights))
+
+
+@query("bm25_saved", v.with_(v.DOC_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), select=HITS + "hits"))
+def bm25_saved(t: Tables) -> DataFrame:
+    """The index saved as tables, loaded and searched."""
+    path = scratch_path(t.spark, "saved-index")
+    name = "saved_" + path[-32:]
+    keyword_index.save_index(keyword_index.build_index(t.documents_as_chunks()), name, path, buckets=16)
+    return r.bm25_topk(keyword_index.load_index(t.spark, name), t.questions())
+
+
+@query("bm25_pruned", v.with_(v.CHUNK_UNITS, v.QUESTIONS, v.INDEX, v.bm25(), select=HITS + "hits"))
+def bm25_pruned(t: Tables) -> DataFrame:
+    """The index saved in blocks with bounds, of which only what can reach the hits is read."""
+    path = scratch_path(t.spark, "pruned-index")
+    pruned_index.save_pruned(chunk_index(t)[1], path, buckets=64, range_chunks=256)
+    return pruned_index.pruned_topk(pruned_index.open_pruned(t.spark, path), t.questions())
+
+
+def cell_index(t: Tables) -> vector_index.VectorIndex:
+    """All vectors in cells, saved and opened."""
+    path = scratch_path(t.spark, "vector-cells")
+    vectors = t.vectors()
+    first = vectors.filter(F.size("embedding") > 0).select(F.size("embedding").alias("dim")).first()
+    vector_index.save_vectors_in_cells(vectors, path, first["dim"])
+    return vector_index.open_cells(t.spark, path)
+
+
+@query("dense_topk_cells")
+def dense_topk_cells(t: Tables) -> DataFrame:
+    return vector_index.probed_topk(cell_index(t), t.query_vectors())
+
+
+@query("dense_cells_recall")
+def dense_cells_recall(t: Tables) -> DataFrame:
+    """Recall against the exact hits, and the share of all pairs that was scored."""
+    index = cell_index(t)
+    found = r.recall(vector_index.probed_topk(index, t.query_vectors()), r.dense_topk(t.vectors(), t.query_vectors()))
+    return found.withColumn("scored_share", F.lit(vector_index.scored_share(index, t.query_vectors())))
+
+
+@query("rejected_vectors", """
+SELECT vec_id, CASE WHEN embedding IS NULL THEN 'missing' WHEN len(embedding) <> 64 THEN 'length ' || len(embedding) ELSE 'not a number' END AS reason
+FROM (SELECT vec_id, CASE WHEN label = 0 THEN NULL WHEN label = 1 THEN embedding[1:3] WHEN label = 2 THEN list_concat(embedding[1:63], ['NaN'::FLOAT]) ELSE embedding END AS embedding FROM embeddings)
+WHERE embedding IS NULL OR len(embedding) <> 64 OR len(list_filter(embedding, lambda x: isnan(x))) > 0
+""")
+def rejected_vectors(t: Tables) -> DataFrame:
+    """Vectors that no index takes, told by reason; some are spoilt for the purpose."""
+    label, whole = F.col("label"), F.col("embedding")
+    spoilt = (
+        F.when(label == 1, F.slice(whole, 1, 3))
+        .when(label == 2, F.concat(F.slice(whole, 1, 63), F.array(F.lit(float("nan")).cast("float"))))
+        .when((label != 0) | label.isNull(), whole)
+    )
+    return vector_index.rejected_vectors(t.read("embeddings").select("vec_id", spoilt.alias("embedding")), 64)
 
 
 @query("hybrid_rrf_whole", v.with_(*WHOLE_LISTS, select=HITS + "hybrid"))

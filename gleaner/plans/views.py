@@ -124,3 +124,37 @@ sess AS (
 
 def with_(*parts: str, select: str) -> str:
     return "WITH " + ",\n".join(part.strip() for part in parts) + "\n" + select.strip()
+
+
+ENCODER_DIM = 512
+
+
+def encoded(name: str, source: str, key: str, text: str = "text") -> str:
+    """CTE ``name(key, slot, weight)``: the non-zero entries of the encoded texts of ``source``; ``weights`` must be there."""
+    return f"""
+{name}_slots AS (
+  SELECT {key}, CAST('0x' || substr(md5(term), 1, 6) AS INTEGER) % {ENCODER_DIM} AS slot, 1 - 2 * (CAST('0x' || substr(md5(term), 7, 1) AS INTEGER) % 2) AS sign
+  FROM (SELECT {key}, unnest({terms(text)}) AS term FROM {source})),
+{name}_values AS (SELECT {key}, slot, sum(sign) * any_value(idf) AS v FROM {name}_slots JOIN weights USING (slot) GROUP BY {key}, slot),
+{name} AS (
+  SELECT {key}, slot, CAST(CAST(round(v / sqrt(n), 6) AS FLOAT) AS DOUBLE) AS weight
+  FROM {name}_values JOIN (SELECT {key}, sum(v * v) AS n FROM {name}_values GROUP BY {key} HAVING sum(v * v) > 0) USING ({key})
+  WHERE round(v / sqrt(n), 6) <> 0)"""
+
+
+# the encoder's table, fitted on ``units``
+WEIGHTS = f"""
+weights AS (
+  SELECT CAST(slot AS INTEGER) AS slot, coalesce(df, 0) AS df, ln(((SELECT count(*) FROM units) + 1) / (coalesce(df, 0) + 1)) AS idf
+  FROM range({ENCODER_DIM}) r(slot) LEFT JOIN (
+    SELECT CAST('0x' || substr(md5(term), 1, 6) AS INTEGER) % {ENCODER_DIM} AS slot, count(DISTINCT chunk_id) AS df
+    FROM (SELECT chunk_id, unnest({terms()}) AS term FROM units) GROUP BY ALL) USING (slot))"""
+
+
+def text_dense(hits: str = "dense", asked: str = "questions", text: str = "text") -> str:
+    """CTEs from ``units``, ``weights`` and a question view to the dense hits of encoded texts."""
+    return f"""{encoded("encoded_units", "units", "chunk_id").strip()},{encoded("encoded_questions", asked, "query_id", text)},
+{hits}_scored AS (
+  SELECT query_id, chunk_id, round(sum(q.weight * u.weight), 6) AS score
+  FROM encoded_questions q JOIN encoded_units u USING (slot) GROUP BY ALL),
+{hits} AS {top(hits + "_scored", "query_id", "score DESC, chunk_id", 5)}"""
