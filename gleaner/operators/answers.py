@@ -85,13 +85,20 @@ def retrieved_files(hits: DataFrame) -> DataFrame:
     return hits.groupBy("query_id").agg(names.alias("output"))
 
 
-def with_fallback(queries: DataFrame, outputs: DataFrame, column: str = "output", message: str = NO_HITS) -> DataFrame:
-    """Every query of ``queries``; ``message`` and an empty file list where there was no hit."""
-    return (
-        queries.select("query_id")
-        .join(outputs, "query_id", "left")
-        .select("query_id", F.coalesce(column, F.lit(message)).alias(column), F.col(column).isNotNull().alias("has_hits"))
-    )
+def with_fallback(
+    queries: DataFrame, outputs: DataFrame, column: str = "output", message: str = NO_HITS, hits: DataFrame | None = None, blank_message: str = NO_VALID,
+) -> DataFrame:
+    """Every query of ``queries``; ``message`` and an empty file list where there was no hit.
+
+    With ``hits``, those before blank ones were dropped, a query all of whose
+    hits were blank gets ``blank_message``.
+    """
+    every = queries.select("query_id").join(outputs, "query_id", "left")
+    instead = F.lit(message)
+    if hits is not None:
+        every = every.join(hits.select("query_id").distinct().withColumn("_met", F.lit(True)), "query_id", "left")
+        instead = F.when(F.col("_met"), F.lit(blank_message)).otherwise(instead)
+    return every.select("query_id", F.coalesce(column, instead).alias(column), F.col(column).isNotNull().alias("has_hits"))
 
 
 def coverage(query_terms: Column, text_terms: Column) -> Column:

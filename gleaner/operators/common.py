@@ -7,8 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.sources.scratch import stage
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
+# Rows of one key that a single task joins, and the keys that are ever cut into parts.
+PART_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
@@ -61,6 +66,35 @@ def hinted(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def counted_parts(
+    rows: DataFrame, other: DataFrame, keys: Sequence[str], spread_by: Sequence[str], counts: DataFrame | None = None, part_rows: int = PART_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on ``keys``, with ``_part``: a key with many rows is cut into as many parts as it needs.
+
+    A first pass of counts, ``counts(keys, n)`` where they are known already,
+    gives each key above ``part_rows`` its own number of parts. Its rows are
+    dealt out by a hash of ``spread_by``, and the rows of ``other`` are
+    repeated for these parts only. At most ``MAX_HOT_KEYS`` keys are cut, since
+    the parts grow with the table, so that their list can travel to the tasks.
+    """
+    on = list(keys)
+    counted = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts.select(*on, "n")
+    counted = stage(counted.filter(F.col("n") > part_rows), "large-keys")
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    part_rows = max(part_rows, -(-total // MAX_HOT_KEYS))
+    hot = F.broadcast(counted.select(*on, F.ceil(F.col("n") / part_rows).cast("int").alias("_parts")))
+    dealt = rows.join(hot, on, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("_parts")), F.lit(0))).drop("_parts")
+    numbers = F.when(F.col("_parts").isNotNull(), F.sequence(F.lit(0), F.col("_parts") - 1)).otherwise(F.array(F.lit(0)))
+    repeated = other.join(hot, on, "left").withColumn("_part", F.explode(numbers)).drop("_parts")
+    return dealt, repeated
+
+
+def counted_join(rows: DataFrame, other: DataFrame, keys: Sequence[str], spread_by: Sequence[str], counts: DataFrame | None = None, part_rows: int = PART_ROWS) -> DataFrame:
+    """Inner join on ``keys`` with the parts of :func:`counted_parts`."""
+    dealt, repeated = counted_parts(rows, other, keys, spread_by, counts, part_rows)
+    return dealt.join(repeated, [*keys, "_part"]).drop("_part")
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name of one or more frames."""
     result = frames[0]

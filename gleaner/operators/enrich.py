@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as tx
-from gleaner.operators.common import top_k
+from gleaner.operators.common import PART_ROWS, counted_join, top_k
 from gleaner.operators.keyword_index import KeywordIndex
 
 TITLE_CHUNKS = 5
 QUESTIONS = 3
 KEYWORDS = 10
-SALTS = 16
-HOT_SHARE = 100
 SCORE_DIGITS = 6
 
 
@@ -31,24 +29,14 @@ def extract_title(chunks: DataFrame, first: int = TITLE_CHUNKS) -> DataFrame:
     return head.groupBy("doc_id").agg(F.coalesce(earliest("heading"), earliest("line")).alias("title"))
 
 
-def join_term_stats(rows: DataFrame, index: KeywordIndex, spread_by: str, salts: int = SALTS) -> DataFrame:
+def join_term_stats(rows: DataFrame, index: KeywordIndex, spread_by: str, part_rows: int = PART_ROWS) -> DataFrame:
     """Attach ``df`` to rows with a ``term``.
 
-    Terms found in more than one chunk in ``HOT_SHARE`` would fill single
-    partitions, so only their rows are spread over ``salts`` parts by
-    ``spread_by``, and only their statistics are repeated. The list of such
-    terms is safe to broadcast: with ``m`` distinct terms in a chunk on
-    average there are at most ``m * HOT_SHARE`` of them, however large the
-    corpus.
+    How many chunks have a term is known, so that a term in more than
+    ``part_rows`` of them is spread over the parts that this takes.
     """
-    n_chunks, _ = index.size_and_mean()
-    hot = F.col("df") * HOT_SHARE > n_chunks
-    hot_terms = index.term_stats.filter(hot).select("term", F.lit(True).alias("hot"))
-    parts = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_stats = index.term_stats.withColumn("salt", F.explode(parts))
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    salted_rows = rows.join(F.broadcast(hot_terms), "term", "left").withColumn("salt", salt).drop("hot")
-    return salted_rows.join(salted_stats, ["term", "salt"]).drop("salt")
+    counts = index.term_stats.select("term", F.col("df").alias("n"))
+    return counted_join(rows, index.term_stats, ["term"], [spread_by], counts, part_rows)
 
 
 def top_keywords(index: KeywordIndex, k: int = KEYWORDS) -> DataFrame:

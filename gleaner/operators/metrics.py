@@ -60,9 +60,15 @@ def latency_stats(results: DataFrame) -> DataFrame:
     )
 
 
+def _numbers(results: DataFrame) -> DataFrame:
+    """Rows whose latency is not NaN; a missing one stays."""
+    return results.filter(~F.coalesce(F.isnan("latency_ms"), F.lit(False)))
+
+
 def _fences(results: DataFrame) -> DataFrame:
     quartiles = exact_quantiles(results, ["provider"], "latency_ms", [0.25, 0.5, 0.75])
-    spread = F.col("q")[2] - F.col("q")[0]
+    # infinite quartiles of one sign have no spread
+    spread = F.when(F.col("q")[2] == F.col("q")[0], 0.0).otherwise(F.col("q")[2] - F.col("q")[0])
     return stage(
         quartiles.select(
             "provider", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
@@ -73,8 +79,8 @@ def _fences(results: DataFrame) -> DataFrame:
 
 
 def latency_box(results: DataFrame) -> DataFrame:
-    """Box-plot numbers: quartiles, whiskers at the last values inside 1.5 IQR, outlier count."""
-    fenced = results.join(_fences(results), "provider")
+    """Box-plot numbers: quartiles, whiskers at the last values inside 1.5 IQR, outlier count; NaN is left out."""
+    fenced = _numbers(results).join(_fences(results), "provider")
     inside = F.col("latency_ms").between(F.col("low"), F.col("high"))
     return fenced.groupBy("provider", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("latency_ms"))).alias("lower_whisker"),
@@ -86,9 +92,9 @@ def latency_box(results: DataFrame) -> DataFrame:
 
 
 def latency_outliers(results: DataFrame) -> DataFrame:
-    """The rows a box plot draws as points."""
+    """The rows a box plot draws as points; NaN is none."""
     return (
-        results.join(_fences(results), "provider")
+        _numbers(results).join(_fences(results), "provider")
         .filter(~F.col("latency_ms").between(F.col("low"), F.col("high")))
         .select("provider", "test_idx", "latency_ms")
     )
@@ -98,19 +104,23 @@ def latency_hist(results: DataFrame, max_bins: int = MAX_BINS) -> DataFrame:
     """Histogram per provider on one round bin width that gives at most ``max_bins`` bins.
 
     The width is 1, 2 or 5 times a power of ten, the least that serves, and
-    follows from the span whatever its size; without any span it is 1e-6.
+    follows from the span of the finite values whatever its size; without any
+    span it is 1e-6. Infinite values have a bin of their own, NaN is left out.
     """
-    span = results.agg((F.max("latency_ms") - F.min("latency_ms")).alias("span"))
+    results = _numbers(results)
+    infinite = F.abs("latency_ms") == float("inf")
+    finite = F.when(~infinite, F.col("latency_ms"))
+    span = results.agg((F.max(finite) - F.min(finite)).alias("span"))
     power = F.floor(F.log10(F.col("span") / max_bins))
     steps = F.array(*[F.concat(F.lit(f"{lead}e"), (power + shift).cast("string")).cast("double") for shift in (-1, 0, 1) for lead in (1, 2, 5)])
     fitting = F.array_min(F.filter(steps, lambda s: F.col("span") / s <= max_bins))
     step = span.select(F.when(F.col("span") > 0, fitting).when(F.col("span") == 0, F.lit(1e-6))).scalar()
-    start = _rounded(F.floor(F.col("latency_ms") / F.col("step")) * F.col("step"))
+    start = F.when(infinite, F.col("latency_ms")).otherwise(_rounded(F.floor(finite / F.col("step")) * F.col("step")))
     return (
         results.withColumn("step", step)
         .withColumn("bin_start", start)
         .groupBy("provider", "bin_start")
-        .agg(F.count(F.lit(1)).alias("count"), _rounded(F.avg("latency_ms")).alias("mean_latency"))
+        .agg(F.count(F.lit(1)).alias("count"), F.when(F.abs(F.avg("latency_ms")) < float("inf"), _rounded(F.avg(finite))).otherwise(F.avg("latency_ms")).alias("mean_latency"))
     )
 
 

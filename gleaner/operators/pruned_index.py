@@ -87,9 +87,13 @@ def open_pruned(spark: SparkSession, path: str) -> PrunedIndex:
     return PrunedIndex(table("postings"), table("blocks"), table("terms"), meta["n_chunks"], meta["mean_dl"], meta["buckets"])
 
 
-def _only(df: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``df`` in the folders that ``wanted`` names. The list holds at most one number per folder."""
-    folders = sorted(row["bucket"] for row in wanted.select("bucket").distinct().collect())
+def _folders(wanted: DataFrame) -> list[int]:
+    """The folders that ``wanted`` names: at most one number per folder of the index."""
+    return sorted(row["bucket"] for row in wanted.select("bucket").distinct().collect())
+
+
+def _only(df: DataFrame, folders: list[int]) -> DataFrame:
+    """Rows of ``df`` in these folders; the others are not listed, let alone opened."""
     return df.filter(F.col("bucket").isin(folders)) if folders else df.filter(F.lit(False))
 
 
@@ -108,26 +112,27 @@ def pruned_topk(index: PrunedIndex, queries: DataFrame, k: int = TOP_K, k1: floa
         .agg(F.count(F.lit(1)).alias("qtf"))
         .withColumn("bucket", _folder(index.buckets, "term"))
     )
-    asked = stage(query_terms, "asked-terms")
+    folders = _folders(query_terms)
     idf = F.log(1 + (F.lit(index.n_chunks) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = asked.join(_only(index.terms, asked), ["bucket", "term"]).select("bucket", "query_id", "term", (F.col("qtf") * idf).alias("weight"))
-    weights = stage(weights, "asked-weights")
+    weights = query_terms.join(_only(index.terms, folders), ["bucket", "term"]).select("bucket", "query_id", "term", (F.col("qtf") * idf).alias("weight"))
 
     def impact(tf: str, dl: str) -> Column:
         return F.col(tf) / (F.col(tf) + k1 * (1 - b + b * F.col(dl) / F.lit(index.mean_dl)))
 
+    weights = stage(weights, "asked-weights")
     bounded = (
-        _only(index.blocks, weights).join(weights, ["bucket", "term"])
+        _only(index.blocks, folders).join(weights, ["bucket", "term"])
         .select("query_id", "term", "range", "weight", (F.col("weight") * impact("max_tf", "min_dl")).alias("bound"))
     )
     bounded = stage(bounded.withColumn("bucket", _posting_folder(index.buckets)), "asked-blocks")
     ranges = bounded.groupBy("query_id", "range").agg(F.sum("bound").alias("bound"))
+
     ranges = stage(ranges, "asked-ranges")
 
     def score(chosen: DataFrame) -> DataFrame:
         blocks = stage(bounded.join(chosen.select("query_id", "range"), ["query_id", "range"]).drop("bound"), "chosen-blocks")
         scored = (
-            _only(index.postings, blocks).join(blocks, ["bucket", "term", "range"])
+            _only(index.postings, _folders(blocks)).join(blocks, ["bucket", "term", "range"])
             .groupBy("query_id", "chunk_id")
             .agg(F.round(F.sum(F.col("weight") * impact("tf", "dl")), SCORE_DIGITS).alias("score"))
         )

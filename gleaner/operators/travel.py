@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.operators.common import PART_ROWS, counted_join
+
+# Messages that callers see.
 FORMAT_MESSAGE = "start_date and end_date must be in ISO 8601 format, e.g. YYYY-MM-DD"
 ORDER_MESSAGE = "Start date must be before end date"
 TOP_EVENTS = 5
-PAGE = 50
 RANGE_LEVELS = 16
-RANGE_SALTS = 8
 
 
-def nest_offers(offers: DataFrame, flights: DataFrame, key: str, page: Column | None = None) -> DataFrame:
-    """``(key, page, current_price, flights)``: flights of an offer as an array.
+def nest_offers(offers: DataFrame, flights: DataFrame, key: str) -> DataFrame:
+    """``(key, current_price, flights)``: one row per offer, its flights as an array.
 
     A missing price stays null, an offer without flights gets an empty array.
-    ``page`` splits the flights of one offer into result pages, as a search
-    service returns them; every page carries the price.
     """
     fields = [c for c in flights.columns if c != key]
-    paged = flights.withColumn("page", F.lit(0).cast("bigint") if page is None else page)
-    nested = paged.groupBy(key, "page").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("flights"))
+    nested = flights.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("flights"))
     empty = F.array().cast(nested.schema["flights"].dataType)
-    return offers.join(nested, key, "left").select(
-        key, F.coalesce("page", F.lit(0).cast("bigint")).alias("page"), "current_price", F.coalesce("flights", empty).alias("flights")
-    )
+    return offers.join(nested, key, "left").select(key, "current_price", F.coalesce("flights", empty).alias("flights"))
 
 
 def best_offers(offers: DataFrame) -> DataFrame:
@@ -89,15 +87,20 @@ def date_bounds(df: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
-def rank_locations(events: DataFrame) -> DataFrame:
-    """``(location, n_events)``, most events first, then by name."""
-    return events.groupBy("location").agg(F.count(F.lit(1)).alias("n_events")).orderBy(F.desc("n_events"), "location")
+def rank_locations(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(by, location, n_events)``, most events first, then by name; ``by`` names the search."""
+    counted = events.groupBy(*by, "location").agg(F.count(F.lit(1)).alias("n_events"))
+    return counted.orderBy(*by, F.desc("n_events"), "location")
+
 
+def location_slugs(ranked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The ranking of every search as one comma-separated text, the form that an event search takes.
 
-def location_slugs(ranked: DataFrame) -> DataFrame:
-    """The ranking as one comma-separated text, the form that an event search takes."""
+    With ``by`` each search gets a row of its own, and Spark spreads the
+    searches; a ranking without it is that of a single search.
+    """
     pairs = F.array_sort(F.collect_list(F.struct((-F.col("n_events")).alias("order"), "location")))
-    return ranked.agg(F.array_join(F.transform(pairs, lambda p: p["location"]), ",").alias("location_slugs"))
+    return ranked.groupBy(*by).agg(F.array_join(F.transform(pairs, lambda p: p["location"]), ",").alias("location_slugs"))
 
 
 def top_events(events: DataFrame, sessions: DataFrame, locations: DataFrame, start: Column, end: Column, k: int = TOP_EVENTS) -> DataFrame:
@@ -123,15 +126,15 @@ def within_budget(trips: DataFrame, budget: float, start: Column, end: Column) -
     )
 
 
-def range_overlap_join(sessions: DataFrame, ranges: DataFrame, levels: int = RANGE_LEVELS, salts: int = RANGE_SALTS) -> DataFrame:
+def range_overlap_join(sessions: DataFrame, ranges: DataFrame, levels: int = RANGE_LEVELS, part_rows: int = PART_ROWS) -> DataFrame:
     """All pairs of ``sessions(session_id, starts, ends)`` and ``ranges(range_id, range_start, range_end)`` that overlap.
 
     Both ends are closed. Time is cut into cells of one day times a power of
     two. A pair meets at the level of the longer of the two and only in the
     cell where the later one begins, so no pair appears twice and an interval
     takes about two cells per level whatever its length. Sessions, the large
-    side, enter only the levels that some range calls for, and are spread over
-    ``salts`` parts.
+    side, enter only the levels that some range calls for. Cells are counted
+    first, and one with more than ``part_rows`` sessions is cut into parts.
     """
 
     def seconds(name: str) -> Column:
@@ -144,14 +147,14 @@ def range_overlap_join(sessions: DataFrame, ranges: DataFrame, levels: int = RAN
     def cell(name: str, level: Column) -> Column:
         return F.floor(seconds(name) / (F.pow(F.lit(2.0), level) * 86_400))
 
-    def placed(df: DataFrame, begin: str, finish: str, entered: Column) -> DataFrame:
-        at_level = df.withColumn("level", F.explode(entered))
+    def placed(df: DataFrame, begin: str, finish: str, entered: Column, side: str) -> DataFrame:
+        packed = df.select(F.struct(*[c for c in df.columns if c != "own_level"]).alias(side), begin, finish, "own_level")
+        at_level = packed.withColumn("level", F.explode(entered))
         first = cell(begin, F.col("level"))
         return (
             at_level.withColumn("first", first)
             .withColumn("cell", F.explode(F.sequence(F.col("first"), cell(finish, F.col("level")))))
-            .withColumn("begins", F.col("cell") == F.col("first"))
-            .drop("first")
+            .select("level", "cell", side, F.col("own_level").alias(f"{side}_level"), (F.col("cell") == F.col("first")).alias(f"{side}_begins"))
         )
 
     ordered = ranges.filter("range_start <= range_end").withColumn("own_level", own_level("range_start", "range_end"))
@@ -164,18 +167,11 @@ def range_overlap_join(sessions: DataFrame, ranges: DataFrame, levels: int = RAN
     entered = F.concat(
         F.when(own >= lowest, F.array(own)).otherwise(F.array().cast("array<int>")), F.filter(above, lambda level: level > own)
     )
-    a = placed(timed, "starts", "ends", entered).withColumn("salt", F.pmod(F.xxhash64("session_id"), F.lit(salts)).cast("int")).alias("a")
-    b = (
-        placed(ordered, "range_start", "range_end", F.sequence(own, F.lit(levels)))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        .alias("b")
-    )
+    a = placed(timed, "starts", "ends", entered, "a")
+    b = placed(ordered, "range_start", "range_end", F.sequence(own, F.lit(levels)), "b")
     together = (
-        (F.col("a.level") == F.col("b.level")) & (F.col("a.cell") == F.col("b.cell")) & (F.col("a.salt") == F.col("b.salt"))
-        & (F.col("a.level") == F.greatest("a.own_level", "b.own_level"))
-        & F.when(F.col("a.starts") >= F.col("b.range_start"), F.col("a.begins")).otherwise(F.col("b.begins"))
+        (F.col("level") == F.greatest("a_level", "b_level"))
+        & F.when(F.col("a.starts") >= F.col("b.range_start"), F.col("a_begins")).otherwise(F.col("b_begins"))
         & (F.col("a.starts") <= F.col("b.range_end")) & (F.col("a.ends") >= F.col("b.range_start"))
     )
-    return a.join(b, together).select(
-        *[F.col(f"a.{c}") for c in sessions.columns], *[F.col(f"b.{c}") for c in ranges.columns]
-    )
+    return counted_join(a, b, ["level", "cell"], ["a.session_id"], part_rows=part_rows).filter(together).select("a.*", "b.*")

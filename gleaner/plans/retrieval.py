@@ -111,7 +111,7 @@ def bm25_saved(t: Tables) -> DataFrame:
 def bm25_pruned(t: Tables) -> DataFrame:
     """The index saved in blocks with bounds, of which only what can reach the hits is read."""
     path = scratch_path(t.spark, "pruned-index")
-    pruned_index.save_pruned(chunk_index(t)[1], path, buckets=64, range_chunks=256)
+    pruned_index.save_pruned(chunk_index(t)[1], path, buckets=16, range_chunks=256)
     return pruned_index.pruned_topk(pruned_index.open_pruned(t.spark, path), t.questions())
 
 
@@ -298,6 +298,34 @@ def no_hit_fallback(t: Tables) -> DataFrame:
     return answers.with_fallback(asked, answers.retrieved_files(answers.attach_chunks(hits, chunks)))
 
 
+BLANKED = f"""
+masked AS (SELECT f.*, d.doc_id % 3 <> 0 AS blank FROM hits f JOIN units d USING (chunk_id)),
+shown AS (SELECT query_id, string_agg(concat('doc-', chunk_id, '.md'), chr(10) ORDER BY rank) AS output FROM masked WHERE NOT blank GROUP BY query_id)"""
+
+
+@query(
+    "no_valid_fallback",
+    v.with_(
+        v.DOC_UNITS, PART_QUESTIONS, v.INDEX, v.bm25(k=2), BLANKED,
+        select=f"""
+        SELECT query_id, coalesce(output, CASE WHEN query_id IN (SELECT query_id FROM masked) THEN '{answers.NO_VALID}' ELSE '{answers.NO_HITS}' END) AS output,
+               output IS NOT NULL AS has_hits
+        FROM questions LEFT JOIN shown USING (query_id)
+        """,
+    ),
+)
+def no_valid_fallback(t: Tables) -> DataFrame:
+    """Two documents in three are blank when they are shown: some questions meet blank hits only."""
+    asked = t.read("benchmark").select(F.concat(F.lit("item-"), F.col("item_id")).alias("query_id"), "text").union(
+        t.read("part").select(F.concat(F.lit("part-"), F.col("p_partkey")), "p_name")
+    )
+    units = t.documents_as_chunks()
+    shown = units.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.lit(" \n")))
+    hits = stage(answers.attach_chunks(r.bm25_topk(keyword_index.build_index(units), asked, 2), shown), "shown-hits")
+    visible = answers.drop_blank_hits(hits)
+    return answers.with_fallback(asked, answers.retrieved_files(visible), hits=hits)
+
+
 ANSWER = f"""
 spoken AS (
   SELECT f.query_id, f.rank, f.file_name, list_distinct({v.terms("q.text")}) AS wanted, {v.sentences("f.text")} AS ss

@@ -13,33 +13,32 @@ from gleaner.sources import results as rs
 from gleaner.sources.scratch import scratch_path
 
 OFFERS = """
-flights AS (SELECT l_orderkey AS offer_id, CAST(l_linenumber // 50 AS BIGINT) AS page, l_extendedprice AS price, coalesce(l_returnflag = 'R', false) AS is_best FROM lineitem),
+flights AS (SELECT l_orderkey AS offer_id, l_extendedprice AS price, coalesce(l_returnflag = 'R', false) AS is_best FROM lineitem),
 offers AS (SELECT o_orderkey AS offer_id, CASE WHEN o_orderkey % 5 <> 0 THEN concat('NZ$', printf('%.2f', o_totalprice)) END AS current_price FROM orders),
 nested AS (
-  SELECT offer_id, coalesce(page, 0) AS page, current_price, count(price) AS n_flights, count(*) FILTER (WHERE is_best) AS n_best,
+  SELECT offer_id, current_price, count(price) AS n_flights, count(*) FILTER (WHERE is_best) AS n_best,
          round(coalesce(sum(price), 0), 2) AS total_price, round(coalesce(sum(price) FILTER (WHERE is_best), 0), 2) AS best_price
   FROM offers LEFT JOIN flights USING (offer_id) GROUP BY ALL)"""
 
 
 def nested_offers(t: Tables) -> DataFrame:
-    page = F.floor(F.col("l_linenumber") / travel.PAGE).cast("bigint")
-    return travel.nest_offers(t.offers(), t.flights(), "offer_id", page)
+    return travel.nest_offers(t.offers(), t.flights(), "offer_id")
 
 
 def _total(price: str) -> F.Column:
     return F.round(F.aggregate("flights", F.lit(0.0), lambda total, f: total + f["price"]), 2).alias(price)
 
 
-@query("offers_nested", v.with_(OFFERS, select="SELECT offer_id, page, current_price, n_flights, total_price FROM nested"))
+@query("offers_nested", v.with_(OFFERS, select="SELECT offer_id, current_price, n_flights, total_price FROM nested"))
 def offers_nested(t: Tables) -> DataFrame:
     n = F.size("flights").cast("bigint").alias("n_flights")
-    return nested_offers(t).select("offer_id", "page", "current_price", n, _total("total_price"))
+    return nested_offers(t).select("offer_id", "current_price", n, _total("total_price"))
 
 
-@query("best_offers", v.with_(OFFERS, select="SELECT offer_id, page, current_price, n_best, best_price FROM nested"))
+@query("best_offers", v.with_(OFFERS, select="SELECT offer_id, current_price, n_best, best_price FROM nested"))
 def best_offers(t: Tables) -> DataFrame:
     n = F.size("flights").cast("bigint").alias("n_best")
-    return travel.best_offers(nested_offers(t)).select("offer_id", "page", "current_price", n, _total("best_price"))
+    return travel.best_offers(nested_offers(t)).select("offer_id", "current_price", n, _total("best_price"))
 
 
 START, END = "TIMESTAMP '1998-03-01 00:00:00'", "TIMESTAMP '1998-03-31 23:59:59.999999'"
@@ -164,12 +163,14 @@ def location_ranking(t: Tables) -> DataFrame:
 @query(
     "location_slugs",
     v.with_(
-        v.EVENTS, "ranked AS (SELECT location, count(*) AS n FROM evs GROUP BY location)",
-        select="SELECT string_agg(location, ',' ORDER BY n DESC, location) AS location_slugs FROM ranked",
+        v.EVENTS, "ranked AS (SELECT strftime(day, '%Y-%m') AS month, location, count(*) AS n FROM evs GROUP BY ALL)",
+        select="SELECT month, string_agg(location, ',' ORDER BY n DESC, location) AS location_slugs FROM ranked GROUP BY month",
     ),
 )
 def location_slugs(t: Tables) -> DataFrame:
-    return travel.location_slugs(travel.rank_locations(t.events()))
+    """The ranking of every search, a search being a month."""
+    searched = t.events().withColumn("month", F.date_format("day", "yyyy-MM"))
+    return travel.location_slugs(travel.rank_locations(searched, ["month"]), ["month"])
 
 
 @query(

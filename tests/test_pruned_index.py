@@ -48,7 +48,7 @@ def test_other_constants(spark, chunks, questions, tmp_path):
 def test_only_named_folders_are_opened(spark, chunks, tmp_path):
     stored = saved(chunks, tmp_path / "i", buckets=64, range_chunks=10_000)
     wanted = spark.createDataFrame([("w250",)], "term string").withColumn("bucket", pruned_index._folder(64, "term"))
-    kept = pruned_index._only(stored.terms, wanted)
+    kept = pruned_index._only(stored.terms, pruned_index._folders(wanted))
     plan = kept._jdf.queryExecution().toString()
     assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
     read = {row[0] for row in kept.select(F.input_file_name()).distinct().collect()}

@@ -200,7 +200,7 @@ def test_rerank_by_coverage_keeps_old_order_on_ties(spark):
 def test_previous_summary_and_hot_terms(spark):
     chunks, data = random_chunks(spark, 200)
     index = ki.build_index(chunks)
-    joined = enrich.join_term_stats(index.postings, index, "chunk_id", salts=4)
+    joined = enrich.join_term_stats(index.postings, index, "chunk_id", part_rows=4)
     assert rows(joined.select("chunk_id", "term", "tf", "df"), "chunk_id", "term") == rows(
         index.postings.join(index.term_stats, "term").select("chunk_id", "term", "tf", "df"), "chunk_id", "term"
     )
