@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as tx
@@ -15,8 +10,8 @@ from gleaner.functions import text as tx
 CHUNK_SIZE = 1024
 CHUNK_OVERLAP = 204
 
-_SENTENCE_BREAK = re.compile(tx.SENTENCE_BREAK, re.ASCII)
-_SPACED_WORD = re.compile(tx.SPACED_WORD_PATTERN, re.ASCII)
+# A sentence with the white space that ends it, or the rest of the text.
+SENTENCE = rf"[\s\S]+?(?:{tx.SENTENCE_BREAK}|\z)"
 
 
 def chunk_windows(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
@@ -43,60 +38,77 @@ def chunk_windows(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = C
     )
 
 
-def _units(text: str, size: int, overlap: int) -> Iterator[tuple[str, int]]:
+def _units(text: Column, size: int, overlap: int) -> Column:
     """Sentences with their word counts; one above ``size`` words becomes windows.
 
     Every unit keeps the white space after it.
     """
-    breaks = [match.end() for match in _SENTENCE_BREAK.finditer(text)]
-    for start, stop in zip([0, *breaks], [*breaks, len(text)]):
-        found = _SPACED_WORD.findall(text, start, stop)
-        if len(found) > size:
-            for first in range(0, len(found) - overlap, size - overlap):
-                window = found[first : first + size]
-                yield "".join(window), len(window)
-        elif found:
-            yield "".join(found), len(found)
-
-
-def _pack(lengths: list[int], size: int, overlap: int) -> Iterator[tuple[int, int]]:
-    """Half-open unit ranges of the chunks.
-
-    A chunk takes units while they fit. The next one reopens with the longest
-    run of closing units that stays within ``overlap`` words and leaves room
-    for the first new unit.
+
+    def cut(sentence: Column) -> Column:
+        found = tx.spaced_words(sentence)
+        starts = F.sequence(F.lit(0), F.greatest(F.size(found) - overlap - 1, F.lit(0)), F.lit(size - overlap))
+        windows = F.transform(starts, lambda i: F.slice(found, i + 1, size))
+        long = F.transform(windows, lambda w: F.struct(F.array_join(w, "").alias("text"), F.size(w).alias("n")))
+        short = F.array(F.struct(F.array_join(found, "").alias("text"), F.size(found).alias("n")))
+        return F.when(F.size(found) > size, long).otherwise(short)
+
+    sentences = F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
+    return F.filter(F.flatten(F.transform(sentences, cut)), lambda unit: unit["n"] > 0)
+
+
+def _borders(units: Column, size: int, overlap: int) -> Column:
+    """Half-open unit ranges of the chunks, as an array of (first, last).
+
+    A fold over the units: a chunk takes units while they fit. The next one
+    reopens with the longest run of closing units that stays within
+    ``overlap`` words and leaves room for the first new unit. The state holds
+    the lengths of the open chunk's units only.
     """
-    ends = np.concatenate(([0], np.cumsum(lengths)))
-    start, last = 0, len(lengths)
-    while start < last:
-        stop = int(np.searchsorted(ends, ends[start] + size, side="right")) - 1
-        yield start, stop
-        if stop == last:
-            return
-        floor = max(ends[stop] - overlap, ends[stop + 1] - size)
-        start = max(start + 1, int(np.searchsorted(ends, floor, side="left")))
+    number = lambda value: F.lit(value).cast("int")
+    total = lambda lengths: F.aggregate(lengths, number(0), lambda n, x: n + x)
+
+    def step(state: Column, unit: Column) -> Column:
+        n, held = unit["n"], state["held"]
+        limit = F.least(number(overlap), number(size) - n)
+        # how many closing units fit into the limit, never all of the chunk
+        run = F.aggregate(
+            F.reverse(held), F.struct(number(0).alias("sum"), number(0).alias("count"), F.lit(True).alias("open")),
+            lambda r, x: F.struct(
+                F.when(r["open"] & (r["sum"] + x <= limit), r["sum"] + x).otherwise(r["sum"]).alias("sum"),
+                F.when(r["open"] & (r["sum"] + x <= limit), r["count"] + 1).otherwise(r["count"]).alias("count"),
+                (r["open"] & (r["sum"] + x <= limit)).alias("open"),
+            ),
+        )
+        kept = F.least(run["count"], F.size(held) - 1)
+        fits = total(held) + n <= size
+        return F.struct(
+            (state["next"] + 1).alias("next"),
+            F.when(fits, state["first"]).otherwise(state["next"] - kept).alias("first"),
+            F.concat(F.when(fits, held).otherwise(F.slice(held, F.size(held) - kept + 1, F.greatest(kept, number(0)))), F.array(n)).alias("held"),
+            F.when(fits, state["out"]).otherwise(F.concat(state["out"], F.array(F.struct(state["first"].alias("first"), state["next"].alias("last"))))).alias("out"),
+        )
+
+    start = F.struct(
+        number(0).alias("next"), number(0).alias("first"), F.array().cast("array<int>").alias("held"),
+        F.array().cast("array<struct<first: int, last: int>>").alias("out"),
+    )
+    closing = lambda state: F.concat(state["out"], F.array(F.struct(state["first"].alias("first"), state["next"].alias("last"))))
+    return F.when(F.size(units) > 0, F.aggregate(units, start, step, closing)).otherwise(F.array().cast("array<struct<first: int, last: int>>"))
 
 
 def chunk_sentences(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """Chunks of whole sentences up to ``size`` words, overlapping by whole sentences.
 
-    Packing is a running decision over the sentences of one document, so it
-    runs in Arrow batches; documents are independent of each other.
+    Packing is a running decision over the sentences of one document, made by
+    a fold inside the row: no shuffle, and no Python.
     """
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, file_name, text in zip(batch["doc_id"], batch["file_name"], batch["text"]):
-                units = list(_units(text or "", size, overlap))
-                for number, (start, stop) in enumerate(_pack([n for _, n in units], size, overlap)):
-                    chunk = "".join(piece for piece, _ in units[start:stop]).rstrip(" \t\n\x0b\f\r")
-                    rows.append((f"{doc_id}#{number}", doc_id, file_name, number, chunk, sum(n for _, n in units[start:stop])))
-            yield pd.DataFrame(rows, columns=["chunk_id", "doc_id", "file_name", "chunk_no", "text", "n_words"])
-
-    key = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "file_name", "text").mapInPandas(
-        cut, f"chunk_id string, doc_id {key}, file_name string, chunk_no bigint, text string, n_words bigint"
+    units = documents.select("doc_id", "file_name", _units(F.col("text"), size, overlap).alias("_units"))
+    cut = units.select("doc_id", "file_name", "_units", F.posexplode(_borders(F.col("_units"), size, overlap)).alias("_no", "_border"))
+    held = F.slice("_units", F.col("_border.first") + 1, F.col("_border.last") - F.col("_border.first"))
+    return cut.select("doc_id", "file_name", F.col("_no").cast("bigint").alias("chunk_no"), held.alias("_held")).select(
+        F.concat_ws("#", F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"), "doc_id", "file_name", "chunk_no",
+        tx.strip_end(F.array_join("_held.text", "")).alias("text"),
+        F.aggregate("_held.n", F.lit(0).cast("bigint"), lambda n, x: n + x).alias("n_words"),
     )
 
 

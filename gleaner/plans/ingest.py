@@ -36,10 +36,47 @@ def convert_pending(t: Tables) -> DataFrame:
     return corpus.pending(t.read("pages").select("page_id", "url"), done, "page_id")
 
 
-@query("markdown_sections")
+# every fourth line of a document as a heading, every ninth as a fence
+MARKED = r"""
+marked AS (
+  SELECT doc_id, list_transform(list_zip(ls, range(len(ls))), lambda p: CASE WHEN p[2] % 9 = 2 THEN CASE WHEN p[2] % 2 = 0 THEN '```' ELSE '~~~~ x' END
+    WHEN p[2] % 4 = 0 THEN repeat('#', (1 + p[2] % 3)::INTEGER) || ' ' || p[1] ELSE p[1] END) AS ls
+  FROM (SELECT doc_id, string_split(replace(text, '. ', '.' || chr(10)), chr(10)) AS ls FROM documents))"""
+SECTIONS = r"""
+folded AS (
+  SELECT doc_id, ls, list_reduce(list_prepend({'line': 0, 'fence': '', 'path': []::STRUCT(level INTEGER, heading VARCHAR)[], 'out': []::STRUCT(line INTEGER, heading VARCHAR, path VARCHAR)[]},
+    list_transform(list_zip(ls, range(len(ls))), lambda p: {'line': p[2]::INTEGER, 'fence': p[1], 'path': []::STRUCT(level INTEGER, heading VARCHAR)[], 'out': []::STRUCT(line INTEGER, heading VARCHAR, path VARCHAR)[]})),
+    lambda s, x: {
+      'line': x.line,
+      'fence': CASE WHEN s.fence = '' THEN regexp_extract(x.fence, '^ {0,3}(`{3,}|~{3,})', 1)
+                    WHEN len(regexp_extract(x.fence, '^ {0,3}(`{3,}|~{3,})[ 	]*$', 1)) >= len(s.fence) AND regexp_extract(x.fence, '^ {0,3}(`{3,}|~{3,})[ 	]*$', 1)[1] = s.fence[1] THEN ''
+                    ELSE s.fence END,
+      'path': CASE WHEN s.fence = '' AND regexp_matches(x.fence, '^#{1,6}[ 	]+\S')
+                   THEN list_append(list_filter(s.path, lambda q: q.level < len(regexp_extract(x.fence, '^(#+)', 1))),
+                                    {'level': len(regexp_extract(x.fence, '^(#+)', 1))::INTEGER, 'heading': regexp_extract(x.fence, '^#+[ 	]+(.*)$', 1)})
+                   ELSE s.path END,
+      'out': CASE WHEN s.fence = '' AND regexp_matches(x.fence, '^#{1,6}[ 	]+\S')
+                  THEN list_append(s.out, {'line': x.line, 'heading': regexp_extract(x.fence, '^#+[ 	]+(.*)$', 1),
+                       'path': array_to_string(list_append(list_transform(list_filter(s.path, lambda q: q.level < len(regexp_extract(x.fence, '^(#+)', 1))), lambda q: q.heading),
+                                               regexp_extract(x.fence, '^#+[ 	]+(.*)$', 1)), ' > ')})
+                  ELSE s.out END}).out AS hs
+  FROM marked),
+parted AS (
+  SELECT doc_id, ls, list_prepend({'line': -1, 'heading': NULL::VARCHAR, 'path': ''}, hs) AS ps FROM folded),
+sections AS (
+  SELECT doc_id, CAST(n AS BIGINT) AS section_no, ps[n + 1].heading AS heading, ps[n + 1].path AS path,
+         regexp_replace(array_to_string(ls[ps[n + 1].line + 2 : coalesce(ps[n + 2].line, len(ls))], chr(10)), '^\s+|\s+$', '', 'g') AS text
+  FROM (SELECT *, unnest(range(len(ps))) AS n FROM parted))""".replace("\\\\", "\\")
+
+
+@query("markdown_sections", v.with_(MARKED, SECTIONS, select="SELECT doc_id, section_no, heading, path, text FROM sections WHERE text <> '' OR heading IS NOT NULL"))
 def markdown_sections(t: Tables) -> DataFrame:
-    pages = corpus.convert_pages(t.spread(t.read("pages"), "page_id")).filter(F.col("error").isNull())
-    return corpus.markdown_sections(pages, "page_id")
+    """Sections of the documents, some lines of which are made headings and fences."""
+    lines = F.split(F.replace("text", F.lit(". "), F.lit(".\n")), "\n", -1)
+    fence = lambda i: F.when(i % 2 == 0, F.lit("```")).otherwise(F.lit("~~~~ x"))
+    mark = lambda line, i: F.when(i % 9 == 2, fence(i)).when(i % 4 == 0, F.concat(F.repeat(F.lit("#"), 1 + i % 3), F.lit(" "), line)).otherwise(line)
+    marked = t.corpus().select("doc_id", F.array_join(F.transform(lines, mark), "\n").alias("text"))
+    return corpus.markdown_sections(marked).select("doc_id", "section_no", "heading", F.array_join("path", " > ").alias("path"), "text")
 
 
 @query(

@@ -1,7 +1,9 @@
+import re
 import random
 
 import pytest
 
+from gleaner.functions import text as tx
 from gleaner.operators import chunking
 from tests.conftest import rows
 
@@ -27,9 +29,21 @@ def test_windows_are_exact_pieces_of_the_text(spark):
     assert rows(df.select("chunk_id", "text", "n_words"), "chunk_id") == [("0#0", "A b.\n\nC", 3), ("0#1", "C  d\te", 3)]
 
 
+def plain_units(text, size, overlap):
+    """Sentences with their word counts; one above ``size`` words becomes windows."""
+    breaks = [match.end() for match in re.finditer(tx.SENTENCE_BREAK, text, re.ASCII)]
+    for start, stop in zip([0, *breaks], [*breaks, len(text)]):
+        found = re.compile(tx.SPACED_WORD_PATTERN, re.ASCII).findall(text, start, stop)
+        if len(found) > size:
+            for first in range(0, len(found) - overlap, size - overlap):
+                yield "".join(found[first : first + size]), len(found[first : first + size])
+        elif found:
+            yield "".join(found), len(found)
+
+
 def by_hand(text, size, overlap):
     """Chunks by trying every start: the rules stated on lists of sentences."""
-    units = list(chunking._units(text, size, overlap))
+    units = list(plain_units(text, size, overlap))
     chunks, start = [], 0
     while start < len(units):
         stop, total = start, 0
@@ -68,3 +82,15 @@ def test_every_word_is_in_some_chunk(spark):
 def test_long_sentence_becomes_windows(spark):
     got = chunking.chunk_sentences(documents(spark, "a b. " + "x " * 3000 + "end. c d."))
     assert [r["n_words"] for r in got.orderBy("chunk_no").collect()] == [2, 1024, 1024, 1024, 543]
+
+
+def test_sentences_are_packed_without_python(spark):
+    plan = chunking.chunk_sentences(documents(spark, "One. Two."))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
+    assert chunking.chunk_sentences(spark.createDataFrame([(1, "a", None), (2, "b", ""), (3, "c", " \n")], "doc_id bigint, file_name string, text string")).count() == 0
+
+
+def test_a_long_text_of_short_sentences(spark):
+    text = "It is so. " * 60_000
+    chunks = chunking.chunk_sentences(documents(spark, text), size=1000, overlap=100).collect()
+    assert len(chunks) == 1 + -(-(180_000 - 999) // 900) and max(r["n_words"] for r in chunks) <= 1000

@@ -122,3 +122,12 @@ def test_stores(spark, tmp_path):
 def test_scratch_is_the_configured_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert rows(stage(spark.range(3), "three"), "id") == [(0,), (1,), (2,)]
+
+
+def test_headings_in_code_fences_are_text(spark):
+    text = "# A\nx\n```py\n# no heading\n``\n~~~\n````\n## B\ny\n~~~\n# also none\n```\n~~~\n### C\n# D\n ```\n# open to the end"
+    got = corpus.markdown_sections(spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "#none\n  # none")], "doc_id bigint, text string"))
+    assert rows(got.select("doc_id", "section_no", "level", "heading", F.array_join("path", "/"), "text"), "doc_id", "section_no") == [
+        (1, 1, 1, "A", "A", "x\n```py\n# no heading\n``\n~~~\n````"), (1, 2, 2, "B", "A/B", "y\n~~~\n# also none\n```\n~~~"),
+        (1, 3, 3, "C", "A/B/C", ""), (1, 4, 1, "D", "D", "```\n# open to the end"), (4, 0, 0, None, "", "#none\n  # none"),
+    ]
