@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.llm.memo import Memo, per_worker
+
 # The costs of the edits, and what an undeleted truncated row adds.
 REROLE, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
 
@@ -129,14 +130,9 @@ class Auction:
             front = heads[letter]
 
 
-@lru_cache(maxsize=REMEMBERED)
-def _short_repair(codes: str) -> tuple[int, str]:
-    return Auction(codes).solve()
-
-
 def cheapest_repair(codes: str) -> tuple[int, str]:
     """Cost and edits of a conversation told by ``codes``, see :func:`row_code`."""
-    return _short_repair(codes) if len(codes) <= SHORT else Auction(codes).solve()
+    return Auction(codes).solve()
 
 
 def fault_counts(codes: str) -> tuple[int, int, int, int]:
@@ -214,10 +210,11 @@ def plan_repairs(coded: DataFrame) -> DataFrame:
     """``(conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit)`` of ``coded(conv_id, codes, gaps)``."""
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = per_worker("repairs", lambda: Memo(cheapest_repair, REMEMBERED, SHORT))
         for batch in batches:
             codes = batch.column(1).to_pylist()
             faults = [fault_counts(c) for c in codes]
-            repairs = [cheapest_repair(c) for c in codes]
+            repairs = [known[c] for c in codes]
             numbers = [pa.array(column, pa.int64()) for column in (zip(*faults) if faults else [[]] * 4)]
             cost, audit = pa.array([r[0] for r in repairs], pa.int64()), pa.array([r[1] for r in repairs], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *numbers, cost, audit], ["conv_id", *COLUMNS])

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gleaner.llm.memo import per_worker
 
@@ -288,6 +289,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     schema = f"doc_id {id_type}, item_id {item_type}, distance int, item_chars int"
+    item_arrow = to_arrow_type(benchmark.schema[item_col].dataType)
     table = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     result = None
     for block in _blocks(benchmark, item_col, item_text_col):
@@ -300,13 +302,12 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                 rows = [(row, n, distance, size) for row, own in enumerate(hits) for n, distance, size in own]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([numbered.value[r[1]][0] for r in rows]).cast(item_arrow),
+                        batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([numbered.value[r[1]][0] for r in rows], item_arrow),
                         pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int32()),
                     ],
                     ["doc_id", "item_id", "distance", "item_chars"],
                 )
 
-        item_arrow = pa.array([block[0][0]]).type if block[0][0] is not None else pa.int64()
         part = table.mapInArrow(search, schema)
         result = part if result is None else result.unionByName(part)
     return docs.sparkSession.createDataFrame([], schema) if result is None else result

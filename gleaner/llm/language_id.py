@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gleaner.llm.memo import fresh, per_worker
+from gleaner.llm.memo import fresh, per_worker, received, sent
 from gleaner.operators.common import top_k
 
 UNKNOWN = "und"
@@ -138,11 +138,11 @@ def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_
     known = Profiles(rows, length)
     inner = fresh("_text", docs.columns)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(known)
+    shared = sent(spark.sparkContext, known)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = per_worker("letters", letters_table)
-        profiles_here = shared.value
+        profiles_here = received(shared)
         for batch in batches:
             found = [profiles_here.nearest(ranked(*grams(t.as_py() or "", table), own)) if t.is_valid and len(t.as_py()) else (UNKNOWN, 0.0) for t in batch.column(inner)]
             columns = [batch.column(n) for n in batch.schema.names if n != inner]

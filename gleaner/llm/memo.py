@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 from collections.abc import Callable, Hashable
 
+from pyspark import Broadcast, SparkContext, cloudpickle
+
 
 def per_worker(key: Hashable, make: Callable[[], object]) -> object:
     """The object made for ``key`` in this worker; made anew where it is not there.
@@ -21,6 +24,16 @@ def per_worker(key: Hashable, make: Callable[[], object]) -> object:
     return store.held
 
 
+def sent(context: SparkContext, thing: object) -> Broadcast:
+    """``thing`` on its way to the tasks together with the code of its class, for executors without this package."""
+    return context.broadcast(cloudpickle.dumps(thing))
+
+
+def received(parcel: Broadcast) -> object:
+    """What :func:`sent` sent."""
+    return pickle.loads(parcel.value)
+
+
 class Memo(dict):
     """``memo[key]`` is ``compute(key)``; long keys are not kept.
 

@@ -11,13 +11,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.memo import received, sent
+
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # outside, then opening and inside of each kind
@@ -113,6 +117,10 @@ def logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis=axis)) + np.squeeze(top, axis)
 
 
+# Seeds to train from, and the share of held-out windows that must be right for the first of them to do.
+SEEDS, GOOD_AGREEMENT = (3, 5, 7), 0.97
+
+
 class Tagger:
     def __init__(self, size: int = 12, seed: int = 3):
         random = np.random.default_rng(seed)
@@ -201,7 +209,14 @@ class Tagger:
             grads[f"in{d}"], grads[f"re{d}"] = d_table, d_recurrent
         return loss, grads
 
-    def fit(self, symbols: np.ndarray, tags: np.ndarray, epochs: int = 9, batch: int = 48, rate: float = 0.03, seed: int = 3) -> "Tagger":
+    def fit(self, symbols: np.ndarray, tags: np.ndarray, epochs: int = 14, batch: int = 48, rate: float = 0.02, seed: int = 3, patience: int = 3) -> "Tagger":
+        """Train on seven of eight windows, until the eighth ones have not improved for ``patience`` rounds; the best round's weights stay.
+
+        ``agreement`` is the share of held-out windows with all their tags right.
+        """
+        aside = np.arange(len(symbols)) % 8 == 7
+        held, held_tags, symbols, tags = symbols[aside], tags[aside], symbols[~aside], tags[~aside]
+        best, best_loss, waited = self.params, np.inf, 0
         random, moments, turn = np.random.default_rng(seed), {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.params.items()}, 0
         for epoch in range(epochs):
             for part in np.array_split(random.permutation(len(symbols)), max(1, len(symbols) // batch)):
@@ -212,8 +227,17 @@ class Tagger:
                     m, v = moments[name]
                     m += 0.1 * (grad - m)
                     v += 0.01 * (grad * grad - v)
-                    self.params[name] -= rate / (1 + 0.3 * epoch) * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-8)
-        self.params = {k: v.astype(np.float32) for k, v in self.params.items()}
+                    self.params[name] = self.params[name] - rate / (1 + 0.3 * epoch) * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-8)
+            loss = self._crf(self._scores(held)[0], held_tags)[0] if len(held) else 0.0
+            if loss < best_loss or not len(held):
+                best, best_loss, waited = dict(self.params), loss, 0
+            else:
+                waited += 1
+                if waited == patience:
+                    break
+        self.params = {k: v.astype(np.float32) for k, v in best.items()}
+        right = [self.decode(s) == t for s, t in zip(self.scores(held), held_tags.tolist())]
+        self.agreement = sum(right) / len(right) if right else 1.0
         return self
 
     def decode(self, scores: np.ndarray) -> list[int]:
@@ -283,7 +307,14 @@ def tagged_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
 
 def all_spans(base: list[Span], tagged: list[Span]) -> list[Span]:
     """The base and those tagged spans that touch no base span, by kind, then start."""
-    added = [s for s in tagged if all(s[2] <= b[1] or s[1] >= b[2] for b in base)]
+    by_start = sorted(base, key=lambda s: s[1])
+    starts, reach = [s[1] for s in by_start], list(accumulate((s[2] for s in by_start), max))
+
+    def touches(span: Span) -> bool:
+        before = bisect_left(starts, span[2])
+        return before > 0 and reach[before - 1] > span[1]
+
+    added = [s for s in tagged if not touches(s)]
     return sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
@@ -295,7 +326,9 @@ def train_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Tagger from at most ``sample`` texts of at most ``longest`` characters with a digit or at sign, those with the smallest hash of id and text.
 
     The labelled spans are those of the patterns; of the texts' windows at
-    most ``windows`` are used. None when no text has such a character.
+    most ``windows`` are used. Training starts anew from other weights, twice
+    at most, while held-out windows come out worse than ``GOOD_AGREEMENT``.
+    None when no text has such a character.
     """
     usable = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")).filter(
         F.col("text").rlike("[0-9@]") & (F.char_length("text") <= longest)
@@ -311,7 +344,16 @@ def train_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         size += len(own)
         symbols.append(windows_of(encode(row["text"]), own))
         tags.append(tag_windows(row["text"], own, base_spans(row["text"])))
-    return Tagger().fit(np.concatenate(symbols), np.concatenate(tags)) if symbols else None
+    if not symbols:
+        return None
+    best = None
+    for seed in SEEDS:
+        tagger = Tagger(seed=seed).fit(np.concatenate(symbols), np.concatenate(tags), seed=seed)
+        if best is None or tagger.agreement > best.agreement:
+            best = tagger
+        if best.agreement >= GOOD_AGREEMENT:
+            break
+    return best
 
 
 def find_pii(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -322,10 +364,10 @@ def find_pii(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", tex
     Repeated rows, null ids and other columns need no care; an empty table
     gives an empty one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tagger)
+    shared = sent(docs.sparkSession.sparkContext, tagger)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = received(shared)
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(1)]
             some = [n for n, t in enumerate(texts) if ANCHOR.search(t)]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gleaner.llm.memo import Memo, fresh, per_worker
+from gleaner.llm.memo import Memo, fresh, per_worker, received, sent
 
 WORDS = 1 << 16
 BINS = 12
@@ -150,11 +150,11 @@ def score_quality(docs: DataFrame, machine: Machine, text_col: str = "text", n_c
     their statistics. A null n_chars is the text's length.
     """
     inner, inner_chars = fresh("_text", docs.columns), fresh("_chars", docs.columns)
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = sent(docs.sparkSession.sparkContext, machine)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = per_worker("quality features", Features)
-        model = shared.value
+        model = received(shared)
         for batch in batches:
             margins = [model.margin(*make.of(t.as_py(), c)) for t, c in zip(batch.column(inner), batch.column(inner_chars).to_pylist())]
             scores = 1 / (1 + np.exp(-np.clip(np.array(margins, np.float64), -30, 30)))

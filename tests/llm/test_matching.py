@@ -159,3 +159,13 @@ def test_items_of_messy_tables(spark):
     assert decontamination.find_items(messy(spark), benchmark.limit(0)).collect() == []
     assert decontamination.find_items(empty(spark), benchmark).collect() == []
     assert decontamination.without_items(messy(spark), benchmark.limit(0)).count() == len(ROWS)
+
+
+@pytest.mark.parametrize("kind,ids", [("int", [1, 2]), ("string", [None, "b"]), ("bigint", [None, 7]), ("smallint", [3, None])])
+def test_item_ids_of_any_type(spark, kind, ids):
+    text = "a benchmark item that is long enough to be looked for by its grams"
+    items = spark.createDataFrame([(ids[0], text), (ids[1], text.replace("long", "wide enough"))], f"item_id {kind}, text string")
+    docs = spark.createDataFrame([(1, f"before {text} after")], "doc_id bigint, text string")
+    found = decontamination.find_items(docs, items)
+    assert found.schema["item_id"].dataType == items.schema["item_id"].dataType
+    assert ids[0] in [r["item_id"] for r in found.collect()]

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -263,3 +264,14 @@ def test_short_texts_are_refined():
     for n in (0, 1, 16, 17, 1023, 2033, 5000):
         edges = lm_scoring.block_edges(n)
         assert edges[-1] == n and (np.diff(edges) > 0).all() and (np.diff(edges) <= lm_scoring.BLOCK).all()
+
+
+def test_spans_that_touch_no_base_span_are_added():
+    rng = random.Random(5)
+    for _ in range(200):
+        draw = lambda n: [(rng.choice(pii.KINDS), s, s + rng.randrange(1, 6)) for s in (rng.randrange(60) for _ in range(n))]
+        base, tagged = draw(6), draw(6)
+        plain = [t for t in tagged if all(t[2] <= b[1] or t[1] >= b[2] for b in base)]
+        assert pii.all_spans(base, tagged) == sorted(base + plain, key=lambda s: (pii.KINDS.index(s[0]), s[1], s[2]))
+    many = [("ip", 16 * i, 16 * i + 8) for i in range(100_000)]
+    assert len(pii.all_spans(many, [(k, s + 8, e + 4) for k, s, e in many])) == 200_000
