@@ -5,9 +5,11 @@ tokens is kept. For a query set the overlap with a union bounds its overlap
 with every member, so only groups whose bound reaches the threshold are opened
 and compared set by set. The join is exact: it finds every link.
 
-Groups are stars. Documents with the same smallest hash of a shingle are
-compared with one leader, the one whose tokens are the most frequent, and those that link to it form its group; others
-are groups of their own. Columns of the matrix are met by their rarest tokens
+Groups are stars that hang together. Under each of several hash functions,
+documents with the same smallest hash of a shingle are compared with one
+leader, the one whose tokens are the most frequent; those that link to it join
+its group, and groups that share a document are one. Others are groups of their
+own. Columns of the matrix are met by their rarest tokens
 first: a set that links with another shares one of its rarest tokens with it,
 and the number of such tokens that two groups share bounds any overlap between
 members. Texts are read again for the few documents of qualifying groups, so
@@ -27,11 +29,13 @@ from pyspark.sql import functions as F
 from gleaner.llm.components import components
 from gleaner.llm.memo import Memo, per_worker
 from gleaner.llm.stripes import SCHEMA, stripes_of, sum_stripes
-from gleaner.sources.scratch import stage
+from gleaner.sources.scratch import release, stage
 
 MEMO_WORDS = 100_000
 CELLS = 1 << 20
 CHUNK_SETS = 64
+# Hash functions under which documents may meet a leader.
+STAR_HASHES = 4
 # Each group is compared with its likeliest partners first; later ones only where they are not connected by then.
 ROUNDS = ((0, 4), (4, 64), (64, 1 << 31))
 ODD = [np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * k & 0xFFFFFFFFFFFFFFFF | 1) for k in range(64)]
@@ -107,7 +111,7 @@ def _frequency_classes(texts: DataFrame, width: int) -> np.ndarray:
 
 
 def _digested(docs: DataFrame, id_type: str, classes: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Per document: set size, digest of the set, smallest hash, how frequent its tokens are, and the rarest tokens."""
+    """Per document: set size, digest of the set, smallest hashes, how frequent its tokens are, and the rarest tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +124,7 @@ def _digested(docs: DataFrame, id_type: str, classes: np.ndarray, width: int, pe
                 n = len(tokens)
                 sizes.append(n)
                 digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                lowest.append(int(mixed(tokens + ODD[5]).min().view(np.int64)) if n else None)
+                lowest.append([int(mixed(tokens + ODD[5 + k]).min().view(np.int64)) for k in range(STAR_HASHES)] if n else None)
                 often = frequency[(tokens & np.uint64(CELLS - 1)).astype(np.int64)]
                 common.append(int(1000 * often.mean()) if n else 0)
                 order = (often.astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8))
@@ -128,11 +132,11 @@ def _digested(docs: DataFrame, id_type: str, classes: np.ndarray, width: int, pe
             lengths = np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32)
             tokens = pa.array(np.concatenate(rare) if rare else np.empty(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(lowest, pa.int64()), pa.array(common, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), tokens)],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(lowest, pa.list_(pa.int64())), pa.array(common, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), tokens)],
                 ["doc_id", "n", "digest", "lowest", "common", "rare"],
             )
 
-    return docs.mapInArrow(digest, f"doc_id {id_type}, n bigint, digest binary, lowest bigint, common bigint, rare array<bigint>")
+    return docs.mapInArrow(digest, f"doc_id {id_type}, n bigint, digest binary, lowest array<bigint>, common bigint, rare array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -264,21 +268,25 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         sets.filter(F.col("n") > 0).groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.min("n").alias("n"), F.min("lowest").alias("lowest"), F.min("common").alias("common")), "classes"
     )
     # an original has fewer tokens of its own than its edited copies, so the set of the most frequent tokens leads
+    met = classes.select("digest", "common", F.posexplode("lowest").alias("hash", "low"))
     leaders = (
-        classes.groupBy("lowest").agg(F.max(F.struct("common", "digest"))["digest"].alias("leader"), F.count(F.lit(1)).alias("size"))
+        met.groupBy("hash", "low").agg(F.max(F.struct("common", "digest"))["digest"].alias("leader"), F.count(F.lit(1)).alias("size"))
         .filter(F.col("size") > 1).drop("size")
     )
-    classes = classes.drop("common")
-
     # stars: every class of a bucket against the bucket's leader
-    bucket_sets = stage(_sets(texts, stage(classes.join(leaders, "lowest"), "buckets"), width), "bucket-sets")
-    heads = bucket_sets.filter(F.col("digest") == F.col("leader")).select("lowest", F.array("tokens").alias("right"))
-    members = bucket_sets.filter(F.col("digest") != F.col("leader"))
-    against = members.join(heads, "lowest").select(F.col("digest").alias("x"), F.col("leader").alias("y"), F.array("tokens").alias("left"), "right")
+    rays = stage(met.join(leaders, ["hash", "low"]).filter(F.col("digest") != F.col("leader")).select("digest", "leader").distinct(), "rays")
+    concerned = rays.select("digest").unionByName(rays.select(F.col("leader").alias("digest"))).distinct()
+    classes = classes.drop("common", "lowest")
+    star_sets = stage(_sets(texts, classes.join(concerned, "digest").select("digest", "first_id"), width), "star-sets")
+    members = star_sets.select("digest", F.array("tokens").alias("left"))
+    heads = star_sets.select(F.col("digest").alias("leader"), F.array("tokens").alias("right"))
+    against = rays.join(members, "digest").join(heads, "leader").select(F.col("digest").alias("x"), F.col("leader").alias("y"), "left", "right")
     stars = stage(_linked(against, percent), "stars")
+    release(star_sets, rays)
+    hung = stage(components(stars.select(F.col("x").alias("a"), F.col("y").alias("b"))), "star-groups")
 
     labelled = stage(
-        classes.join(stars.select(F.col("x").alias("digest"), F.col("y").alias("label")), "digest", "left").withColumn("label", F.coalesce("label", "digest")), "labelled"
+        classes.join(hung.select(F.col("node").alias("digest"), F.col("component").alias("label")), "digest", "left").withColumn("label", F.coalesce("label", "digest")), "labelled"
     )
     short = F.conv(F.substring(F.hex("label"), 1, 15), 16, 10).cast("bigint")
     groups = labelled.groupBy("label").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("members")).withColumn("grp", short)
@@ -301,32 +309,39 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "qualifying",
     )
 
-    # open the groups that qualify, their leaders first
+    rows = stage(sets.select("doc_id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest")), "rows")
+    release(sets)
+
+    # open the groups that qualify, one set of each first
     concerned = qualifying.select(F.col("x").alias("label")).unionByName(qualifying.select(F.col("y").alias("label"))).distinct()
-    opened_sets = stage(_sets(texts, labelled.join(concerned, "label").select("digest", "first_id", "label"), width), "opened")
-    head = opened_sets.filter(F.col("digest") == F.col("label")).select("label", F.array("tokens").alias("set"))
+    named = labelled.select("digest", "first_id", "label")
+    opened = stage(_sets(texts, named.filter(F.col("digest") == F.col("label")).join(concerned, "label").select("digest", "first_id", "label"), width), "opened")
+    head = opened.select("label", F.array("tokens").alias("set"))
     found, known = None, None
     for first, last in ROUNDS:
         some = qualifying.filter((F.col("place") > first) & (F.col("place") <= last))
         links_now = stage(_linked(_with_sets(_between_components(some, known), head, head), percent), "leader-links")
         found = links_now if found is None else found.unionByName(links_now)
         known = stage(components(found.select(F.col("x").alias("a"), F.col("y").alias("b"))), "known")
-    apart = _between_components(qualifying.filter(F.col("members") > 2), known)
+    release(opened)
+    # all members of those groups only that are still apart and have more than one
+    apart = stage(_between_components(qualifying.filter(F.col("members") > 2), known).select("x", "y"), "apart")
+    concerned = apart.select(F.col("x").alias("label")).unionByName(apart.select(F.col("y").alias("label"))).distinct()
     sizes = groups.select("label", "members")
     bundles = stage(
-        opened_sets.join(sizes, "label")
+        _sets(texts, named.join(concerned, "label").select("digest", "first_id", "label"), width).join(sizes, "label")
         .withColumn("chunk", F.pmod(F.xxhash64("digest"), F.ceil(F.col("members") / CHUNK_SETS)))
         .groupBy("label", "chunk").agg(F.collect_list("tokens").alias("set")),
         "bundles",
     )
     more = stage(_linked(_with_sets(apart, bundles, bundles), percent), "member-links")
+    release(bundles)
 
     all_links = found.unionByName(more).select(F.col("x").alias("a"), F.col("y").alias("b"))
     final = stage(components(all_links), "components")
     placed = labelled.join(final, labelled["label"] == final["node"], "left").select("digest", "first_id", F.coalesce("component", "label").alias("component"))
     smallest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_digest = placed.join(smallest, "component").select("digest", "component_id")
-    rows = sets.select("doc_id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest"))
     return rows.join(by_digest, "digest", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
