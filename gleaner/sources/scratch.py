@@ -38,4 +38,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables once everything made of them is staged itself.
+
+    A table that some unfinished frame still reads must stay: Spark goes back
+    to it when an executor is lost. What else the finished jobs left on disk
+    is dropped with them.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        # exchanges of finished jobs are removed when the driver forgets them
+        spark._jvm.System.gc()
