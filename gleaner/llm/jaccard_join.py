@@ -161,56 +161,21 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 def _shared_tokens(postings: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups and the number of rare tokens that both have: x, y, shared.
 
-    ``postings(token, grp, lo, hi)`` arrives sorted by token. Groups whose sizes
-    cannot link are not paired.
+    ``postings(token, grp, lo, hi, leading)``: the sizes of a group's sets with
+    the token among their rare ones, and the smallest size of those with it
+    among their leading ones, null without any. Of two sets that link, one of
+    the smaller one's leading tokens is a rare one of the other; sets that
+    merely resemble each other share rare tokens, but no leading ones. Groups
+    whose sizes cannot link are not paired. The tokens meet in a join, whose
+    crowded partitions Spark splits.
     """
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(token, grp, lo, hi):
-            """All pairs within the runs of equal tokens, summed, in bounded pieces."""
-            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            lengths = np.diff(np.append(starts, len(token)))
-            xs, ys, size = [], [], 0
-            for gap in range(1, int(lengths.max()) if len(lengths) else 0):
-                # partners ``gap`` places further on, for all runs that are long enough
-                long = lengths > gap
-                starts, lengths = starts[long], lengths[long]
-                counts = lengths - gap
-                left = np.repeat(starts - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-                right = left + gap
-                keep = (100 * hi[left] >= percent * lo[right]) & (100 * hi[right] >= percent * lo[left]) & (grp[left] != grp[right])
-                xs.append(np.minimum(grp[left[keep]], grp[right[keep]]))
-                ys.append(np.maximum(grp[left[keep]], grp[right[keep]]))
-                size += len(xs[-1])
-                if size > 1 << 20:
-                    yield counted(xs, ys)
-                    xs, ys, size = [], [], 0
-            if size:
-                yield counted(xs, ys)
-
-        def counted(xs, ys):
-            both = np.stack([np.concatenate(xs), np.concatenate(ys)], axis=1)
-            order = np.lexsort((both[:, 1], both[:, 0]))
-            both = both[order]
-            new = np.concatenate([[True], (both[1:] != both[:-1]).any(axis=1)])
-            first = np.flatnonzero(new)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(both[first, 0]), pa.array(both[first, 1]), pa.array(np.diff(np.append(first, len(both))), pa.int64())], ["x", "y", "shared"]
-            )
-
-        rest = [np.empty(0, np.int64)] * 4
-        for batch in batches:
-            rest = [np.concatenate([old, new.to_numpy()]) for old, new in zip(rest, batch.columns)]
-            if not len(rest[0]) or rest[0][-1] == rest[0][0]:
-                continue
-            cut = np.searchsorted(rest[0], rest[0][-1])
-            yield from made(*(part[:cut] for part in rest))
-            rest = [part[cut:] for part in rest]
-        if len(rest[0]):
-            yield from made(*rest)
-
-    each = postings.mapInArrow(pairs, "x bigint, y bigint, shared bigint")
-    return each.groupBy("x", "y").agg(F.sum("shared").alias("shared"))
+    small = postings.filter(F.col("leading").isNotNull()).select("token", *[F.col(c).alias(f"small_{c}") for c in ("grp", "lo", "hi", "leading")])
+    leads = lambda leading, hi: F.coalesce(F.col(leading) <= F.col(hi), F.lit(False))
+    fits = (F.lit(100) * F.col("hi") >= percent * F.col("small_lo")) & (F.lit(100) * F.col("small_hi") >= percent * F.col("lo"))
+    # where either could be the smaller one, the pair counts once
+    once = (F.col("small_grp") < F.col("grp")) | ~leads("leading", "small_hi")
+    met = small.join(postings, "token").filter((F.col("small_grp") != F.col("grp")) & leads("small_leading", "hi") & fits & once)
+    return met.groupBy(F.least("small_grp", "grp").alias("x"), F.greatest("small_grp", "grp").alias("y")).agg(F.count(F.lit(1)).alias("shared"))
 
 
 def _ceil_share(n: Column, percent: int, of: int = 100) -> Column:
@@ -292,13 +257,16 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = labelled.groupBy("label").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count(F.lit(1)).alias("members")).withColumn("grp", short)
 
     # the matrix by its rare columns
-    by_class = labelled.select("digest", short.alias("grp"), "label").join(groups.select("label", "lo", "hi"), "label").drop("label")
-    entries = sets.select("digest", "rare").join(by_class, "digest").select(F.explode("rare").alias("token"), "grp", "lo", "hi")
-    postings = entries.groupBy("token", "grp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).repartition("token").sortWithinPartitions("token", "lo")
+    of_both = 100 + percent
+    by_class = labelled.select("digest", "n", short.alias("grp"))
+    held = sets.select("digest", "rare").join(by_class, "digest").select("grp", "n", F.posexplode("rare").alias("place", "token"))
+    # a set's rare tokens are those before the last of any overlap with a larger set, its leading ones with a set of its size
+    leading = F.col("place") <= F.col("n") - _ceil_share(2 * F.col("n"), percent, of_both)
+    postings = held.groupBy("token", "grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(F.when(leading, F.col("n"))).alias("leading"))
     shared = _shared_tokens(postings, percent)
     x, y = (groups.select(*(F.col(c).alias(f"{side}_{c}") for c in ("grp", "label", "lo", "hi", "members"))) for side in "xy")
-    reach = _ceil_share(F.col("x_lo") + F.col("y_lo"), percent, 100 + percent)
-    beyond = F.greatest(_ceil_share(F.col("x_hi"), percent), _ceil_share(F.col("y_hi"), percent)) - 1
+    reach = _ceil_share(F.col("x_lo") + F.col("y_lo"), percent, of_both)
+    beyond = F.greatest(_ceil_share(F.greatest("x_hi", "y_hi"), percent), _ceil_share(2 * F.least("x_hi", "y_hi"), percent, of_both)) - 1
     qualifying = stage(
         shared.join(x, F.col("x") == F.col("x_grp")).join(y, F.col("y") == F.col("y_grp"))
         .filter(F.col("shared") >= reach - beyond)
