@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,9 @@ from gleaner.sources.scratch import stage
 ANCHOR_WORDS = 3
 SHORT_KEY = 3
 F1_THRESHOLD = 0.5
+# The kinds of assertion.
+RUBRIC = "llm-rubric"
+KINDS = ("contains", "icontains", "equals", "regex", RUBRIC)
 
 
 def eval_matrix(cases: DataFrame, providers: Sequence[str]) -> DataFrame:
@@ -148,6 +151,61 @@ def answer_f1(answers: DataFrame, threshold: float = F1_THRESHOLD) -> DataFrame:
     return totals.select("id", score.alias("score")).withColumn("pass", F.col("score") >= threshold)
 
 
+Judge = Callable[[DataFrame], DataFrame]
+"""Plug-in point: ``(id, answer, expected)`` to ``(id, score, pass)``."""
+
+
+def case_assertions(cases: DataFrame) -> DataFrame:
+    """``(case_id, assertion_no, kind, needle)``: the assertions of each case, from its columns ``__expected``, ``__expected1`` and so on.
+
+    Blank ones are none. A text without a kind is one to be found in the output.
+    """
+    named = sorted((c for c in cases.columns if c.startswith("__expected")), key=lambda c: (len(c), c))
+    listed = cases.select("case_id", F.posexplode(F.array(*[F.col(c) for c in named])).alias("assertion_no", "assertion")).filter(tx.is_nonblank(F.col("assertion")))
+    kind, needle = parse_assertion(F.col("assertion"))
+    known = F.regexp_replace(kind, "^not-", "").isin(*KINDS)
+    return listed.select(
+        "case_id", F.col("assertion_no").cast("bigint").alias("assertion_no"),
+        F.when(known, kind).otherwise(F.lit("contains")).alias("kind"), F.when(known, needle).otherwise(F.col("assertion")).alias("needle"),
+    )
+
+
+def grade(assertions: DataFrame, outputs: DataFrame, judge: Judge | None = None) -> DataFrame:
+    """``(case_id, assertion_no, kind, needle, score, pass)`` of ``assertions`` against ``outputs(case_id, output)``.
+
+    Each kind has its check: a needle in the output, whatever its case with
+    ``icontains``, the whole output with ``equals``, a pattern with ``regex``;
+    ``llm-rubric`` goes to the judge, by default the overlap of
+    :func:`answer_f1`. ``not-`` before a kind turns it round. A case without
+    an output fails, also what should not be in it.
+    """
+    plain = F.regexp_replace("kind", "^not-", "")
+    rows = assertions.join(outputs.select("case_id", "output"), "case_id", "left").withColumn("_plain", plain)
+    checks = {
+        "contains": F.contains("output", F.col("needle")), "icontains": F.contains(F.lower("output"), F.lower("needle")),
+        "equals": F.col("output") == F.col("needle"), "regex": F.regexp_like("output", F.col("needle")),
+    }
+    passed = F.lit(None).cast("boolean")
+    for kind, check in checks.items():
+        passed = F.when(F.col("_plain") == kind, check).otherwise(passed)
+    key = F.struct("case_id", "assertion_no")
+    rubric = rows.filter(F.col("_plain") == RUBRIC).select(key.alias("id"), F.col("output").alias("answer"), F.col("needle").alias("expected"))
+    judged = (judge or answer_f1)(rubric).select(F.col("id.case_id").alias("case_id"), F.col("id.assertion_no").alias("assertion_no"), F.col("score").alias("_score"), F.col("pass").alias("_pass"))
+    met = rows.join(judged, ["case_id", "assertion_no"], "left").withColumn("_met", F.when(F.col("_plain") == RUBRIC, F.col("_pass")).otherwise(passed))
+    turned = F.when(F.col("kind").startswith("not-"), ~F.col("_met")).otherwise(F.col("_met"))
+    verdict = F.col("output").isNotNull() & F.coalesce(turned, F.lit(False))
+    score = F.when(F.col("kind") == RUBRIC, F.coalesce("_score", F.lit(0.0))).otherwise(verdict.cast("double"))
+    return met.select("case_id", "assertion_no", "kind", "needle", score.alias("score"), verdict.alias("pass"))
+
+
+def case_verdicts(graded: DataFrame) -> DataFrame:
+    """``(case_id, assertions, failed, score, pass)``: a case passes when all its assertions do."""
+    return graded.groupBy("case_id").agg(
+        F.count(F.lit(1)).alias("assertions"), F.count(F.when(~F.col("pass"), F.lit(1))).alias("failed"),
+        F.round(F.avg("score"), 6).alias("score"), F.min("pass").alias("pass"),
+    )
+
+
 def check_structure(responses: DataFrame, column: str, schema: T.StructType | T.ArrayType) -> DataFrame:
     """Adds ``parsed`` and ``valid``: whether the JSON text fits the schema with no field missing at any depth."""
 

@@ -12,17 +12,19 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gleaner.functions import text as tx
 
 EMBED_BATCH = 10
-WORKERS = 8
+# Fixed value: the published instruction of the usual encoder.
 QUERY_INSTRUCTION = "Instruct: Given a web search query, retrieve relevant passages that answer the query\nQuery:"
 
 Model = Callable[[list[dict[str, Any]]], Sequence[Any]]
@@ -30,15 +32,17 @@ Model = Callable[[list[dict[str, Any]]], Sequence[Any]]
 
 def map_model(
     df: DataFrame, model: Model, inputs: Sequence[str], output: str, output_type: T.DataType,
-    batch_size: int = EMBED_BATCH, attempts: int = 3, pause: float = 0.0, workers: int | None = WORKERS,
+    batch_size: int = EMBED_BATCH, attempts: int = 3, pause: float = 0.0, workers: int | None = None,
 ) -> DataFrame:
     """Adds ``output`` and ``error`` by calling ``model`` on batches of rows.
 
     A batch that keeps failing is retried row by row, so that one bad row costs
     neither the run nor its neighbours: its ``output`` is null and ``error``
-    holds the reason. ``workers`` sets the number of concurrent callers; None
-    leaves the partitioning as it is.
+    holds the reason. Columns that the model does not read pass through as they
+    are. A running task is one open call: ``workers`` deals the rows to that
+    many callers, None leaves the partitioning as it is.
     """
+    arrow_type = to_arrow_type(output_type)
     fields = [*df.schema.fields, T.StructField(output, output_type), T.StructField("error", T.StringType())]
     columns = list(inputs)
 
@@ -56,9 +60,9 @@ def map_model(
                     time.sleep(pause * 2**attempt)
         return [None] * len(rows), reason
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            rows = frame[columns].to_dict("records")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select(columns).to_pylist()
             results: list[Any] = []
             errors: list[str | None] = []
             for start in range(0, len(rows), batch_size):
@@ -72,10 +76,10 @@ def map_model(
                         answer, reason = call([row])
                         results += answer
                         errors.append(reason)
-            yield frame.assign(**{output: pd.Series(results, index=frame.index, dtype=object), "error": pd.Series(errors, index=frame.index, dtype=object)})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(results, arrow_type), pa.array(errors, pa.string())], [*batch.schema.names, output, "error"])
 
     source = df if workers is None else df.repartition(workers)
-    return source.mapInPandas(run, T.StructType(fields))
+    return source.mapInArrow(run, T.StructType(fields))
 
 
 def split_failures(df: DataFrame) -> tuple[DataFrame, DataFrame]:

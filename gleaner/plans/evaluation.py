@@ -11,7 +11,7 @@ from gleaner.operators import retrieval as r
 from gleaner.plans import views as v
 from gleaner.plans.ingest import CLOZE, longest_word
 from gleaner.plans.registry import query
-from gleaner.plans.retrieval import CHUNK_HITS, FILES, TEXT_LISTS, WHOLE_LISTS, chunk_hits, text_ranked_lists, whole_ranked_lists
+from gleaner.plans.retrieval import ANSWER, CHUNK_HITS, FILES, TEXT_LISTS, WHOLE_LISTS, chunk_hits, text_ranked_lists, whole_ranked_lists
 from gleaner.plans.standins import Tables
 from gleaner.sources import results as rs
 from gleaner.sources.scratch import scratch_path
@@ -197,6 +197,45 @@ def answer_f1(t: Tables) -> DataFrame:
     return evaluation.answer_f1(pairs)
 
 
+GRADED = f"""
+asserted AS (
+  SELECT query_id AS case_id, 0 AS assertion_no, 'contains' AS kind, '[file=' || file_name || ']' AS needle FROM golden
+  UNION ALL SELECT query_id, 1, 'llm-rubric', text FROM questions WHERE query_id IN (SELECT query_id FROM golden)
+  UNION ALL SELECT query_id, 2, 'not-icontains', 'FILE=DOC-1' FROM golden),
+overlap AS (
+  SELECT case_id, needle, list_transform(list_distinct({v.terms("needle")}), lambda x: {{'n': least(len(list_filter({v.terms("needle")}, lambda y: y = x)), len(list_filter({v.terms("answer")}, lambda y: y = x)))}}.n) AS ns,
+         len({v.terms("needle")}) + len({v.terms("answer")}) AS size
+  FROM asserted JOIN answered ON query_id = case_id WHERE kind = 'llm-rubric'),
+rubrics AS (SELECT case_id, round(coalesce(2.0::DOUBLE * list_sum(ns) / nullif(size, 0), 0), 6) AS f1 FROM overlap),
+graded AS (
+  SELECT a.case_id, a.assertion_no,
+         CASE kind WHEN 'contains' THEN contains(answer, needle) WHEN 'not-icontains' THEN NOT contains(lower(answer), lower(needle)) ELSE f1 >= 0.5 END AS pass, f1, kind
+  FROM asserted a JOIN answered ON query_id = a.case_id LEFT JOIN rubrics r ON r.case_id = a.case_id)"""
+
+
+@query(
+    "graded_cases",
+    v.with_(
+        *CHUNK_HITS, ANSWER, v.GOLDEN.replace("SELECT b.item_id AS query_id, d.doc_id, concat('doc-', d.doc_id, '.md') AS file_name", "SELECT b.item_id AS query_id, concat('doc-', min(d.doc_id), '.md') AS file_name")
+        .replace("contains(d.text, b.text))", "contains(d.text, b.text) GROUP BY b.item_id)"), GRADED,
+        select="""
+        SELECT case_id, count(*) AS assertions, count(*) FILTER (WHERE NOT pass) AS failed,
+               round(avg(CASE WHEN kind = 'llm-rubric' THEN f1 ELSE CAST(pass AS INTEGER) END), 6) AS score, bool_and(pass) AS pass
+        FROM graded GROUP BY case_id
+        """,
+    ),
+)
+def graded_cases(t: Tables) -> DataFrame:
+    """Cases with three assertions each, graded together on the cited answers."""
+    first = golden(t).groupBy("query_id").agg(F.concat(F.lit("doc-"), F.min("doc_id"), F.lit(".md")).alias("file_name"))
+    cases = t.questions().join(first, "query_id").select(
+        F.col("query_id").alias("case_id"), F.concat(F.lit("contains: [file="), "file_name", F.lit("]")).alias("__expected1"),
+        F.concat(F.lit("llm-rubric: "), "text").alias("__expected2"), F.lit("not-icontains: FILE=DOC-1").alias("__expected3"),
+    )
+    outputs = answers.extractive_answer(chunk_hits(t), t.questions()).select(F.col("query_id").alias("case_id"), F.col("answer").alias("output"))
+    return evaluation.case_verdicts(evaluation.grade(evaluation.case_assertions(cases), outputs))
+
+
 @query(
     "failed_rows",
     r"SELECT doc_id, 'ValueError: text is too short' AS error FROM documents WHERE len(regexp_extract_all(text, '\S+')) < 2",

@@ -11,7 +11,7 @@ from gleaner.operators import chunking, encoder, enrich, keyword_index, models
 from gleaner.plans import views as v
 from gleaner.plans.registry import query
 from gleaner.plans.standins import Tables
-from gleaner.sources import corpus, tables
+from gleaner.sources import corpus, store, tables
 from gleaner.sources.scratch import scratch_path
 
 NL = "chr(10)"
@@ -298,6 +298,29 @@ def embed_chunks(t: Tables) -> DataFrame:
     return entries.select("chunk_id", F.col("slot").cast("bigint").alias("slot"), F.col("weight").cast("double").alias("weight"))
 
 
+@query(
+    "store_replaced",
+    v.with_(
+        v.CHUNKS.replace("FROM documents)", """FROM (
+          SELECT doc_id, CASE WHEN quality = 0 THEN text || ' Changed.' ELSE text END AS text FROM documents LEFT JOIN labels USING (doc_id) WHERE toxic IS NULL OR toxic = 0))"""),
+        select=f"SELECT chunk_id, file_name, {HASH} AS content_hash FROM chunks",
+    ),
+)
+def store_replaced(t: Tables) -> DataFrame:
+    """A store after some documents changed and others were removed."""
+    path = scratch_path(t.spark, "replaced-store")
+    labels = t.read("labels")
+    documents = t.corpus()
+    store.ingest_documents(documents, chunking.chunk_windows, path, "first")
+    low, toxic = (labels.filter(condition).select("doc_id") for condition in ("quality = 0", "toxic = 1"))
+    # all low ones again, in another form, and some that did not change
+    again = documents.join(low, "doc_id", "left_semi").withColumn("text", F.concat("text", F.lit(" Changed.")))
+    same = documents.join(low, "doc_id", "left_anti").filter("doc_id % 10 = 0")
+    store.ingest_documents(again.unionByName(same), chunking.chunk_windows, path, "second")
+    store.remove_documents(documents.join(toxic, "doc_id", "left_semi"), path, "third")
+    return store.read_store(t.spark, path).select("chunk_id", "file_name", "content_hash")
+
+
 def longest_word(rows: list[dict]) -> list[str]:
     """Model stand-in that fails on texts of fewer than two words."""
     answers = []

@@ -11,6 +11,7 @@ from gleaner.plans.ingest import HASH
 from gleaner.plans.registry import ORACLES, query
 from gleaner.plans.standins import Tables
 from gleaner.plans.usage import last_sql
+from gleaner.sources import store
 from gleaner.sources.scratch import scratch_path
 from gleaner.streaming import jobs
 
@@ -68,6 +69,6 @@ def stream_memory(t: Tables) -> DataFrame:
 def stream_ingest(t: Tables) -> DataFrame:
     s = _sibling(t)
     documents = jobs.replay(s.spark, s.corpus().repartition(8, "doc_id"), "document-files")
-    store = scratch_path(t.spark, "stream-ingest")
-    jobs.ingest_stream(documents, chunking.chunk_windows, store, scratch_path(t.spark, "stream-ingest-checkpoint"))
-    return t.spark.read.parquet(store).select("chunk_id", "doc_id", "n_words", "content_hash")
+    path = scratch_path(t.spark, "stream-ingest")
+    jobs.ingest_stream(documents, chunking.chunk_windows, path, scratch_path(t.spark, "stream-ingest-checkpoint"))
+    return store.read_store(t.spark, path).select("chunk_id", "doc_id", "n_words", "content_hash")

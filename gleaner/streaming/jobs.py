@@ -6,20 +6,18 @@ gives one that shares the context and leaves the caller's settings alone.
 
 from __future__ import annotations
 
-import json
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from gleaner.functions import results as rs
-from gleaner.operators.chunking import with_content_hash
 from gleaner.operators.usage import MEMORY
+from gleaner.sources import store
 from gleaner.sources.scratch import scratch_path
-from gleaner.sources.tables import ingest_delta
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -161,25 +159,18 @@ def latest_memory(versions: DataFrame) -> DataFrame:
     return versions.join(newest, ["session_id", "version"]).drop("version")
 
 
-def ingest_stream(documents: DataFrame, chunker: Callable[[DataFrame], DataFrame], store: str, checkpoint: str) -> None:
-    """Chunk newly arrived documents and append the chunks that the store lacks, then stop.
+def ingest_stream(documents: DataFrame, chunker: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, run: str | None = None) -> None:
+    """Chunk newly arrived and changed documents into the store at ``path``, then stop.
 
-    Each micro-batch owns one folder and overwrites it when it is repeated, so
-    a failed run leaves no duplicates. The folder's name holds the id that the
-    checkpoint gives the run: with a new checkpoint an existing store stays,
-    and what it holds is not stored again.
+    Each micro-batch is a version of the store and overwrites itself when it
+    is repeated, so a failed run leaves no duplicates. ``run`` names the runs
+    that share a checkpoint, by default after the checkpoint's path: with a new
+    checkpoint an existing store stays, and what it holds is not stored again.
     """
+    named = run or hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        run = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-        own = f"{run}-{batch_id}"
-        chunks = with_content_hash(chunker(batch)).dropDuplicates(["content_hash"])
-        try:
-            stored = spark.read.parquet(store).filter(F.col("batch").cast("string") != own)
-        except AnalysisException:  # nothing is stored yet
-            stored = None
-        ingest_delta(chunks, stored).write.mode("overwrite").parquet(f"{store}/batch={own}")
+        store.ingest_documents(batch, chunker, path, f"{named}-{batch_id}")
 
     (
         documents.writeStream.foreachBatch(ingest)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.sources.store import read_store
 from gleaner.operators import chunking, evaluation, metrics, quantiles, retrieval, travel
 from gleaner.sources import results
 from gleaner.streaming import jobs
@@ -84,5 +85,5 @@ def test_a_new_checkpoint_keeps_the_store(spark, tmp_path):
         spark.createDataFrame([(number, name, f"Text of {name}.")], schema).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         jobs.ingest_stream(stream, chunking.chunk_windows, str(tmp_path / "store"), str(tmp_path / f"check{number}"))
-    stored = spark.read.parquet(str(tmp_path / "store"))
+    stored = read_store(spark, str(tmp_path / "store"))
     assert sorted(r["file_name"] for r in stored.collect()) == ["a.md", "b.md"]

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from gleaner.operators import chunking, usage
+from gleaner.sources.store import read_store
 from gleaner.sources.scratch import scratch_path
 from gleaner.streaming import jobs
 from tests.conftest import rows
@@ -50,7 +51,7 @@ def test_ingest_takes_new_documents_once(spark):
         s.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(folder)
         stream = s.readStream.schema(schema).parquet(folder)
         jobs.ingest_stream(stream, chunking.chunk_windows, store, checkpoint)
-        return rows(spark.read.parquet(store).select("chunk_id", "text"), "chunk_id", "text")
+        return rows(read_store(spark, store).select("chunk_id", "text"), "chunk_id", "text")
 
     assert land((1, "a.md", "one")) == [("1#0", "one")]
     assert land((1, "a.md", "one"), (2, "b.md", "two")) == [("1#0", "one"), ("2#0", "two")]
