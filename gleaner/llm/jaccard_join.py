@@ -27,11 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.components import components
-from gleaner.llm.memo import Memo, per_worker
+from gleaner.llm.memo import Memo, per_worker, tidy
 from gleaner.llm.stripes import SCHEMA, stripes_of, sum_stripes
 from gleaner.sources.scratch import release, stage
 
-MEMO_WORDS = 100_000
+MEMO_WORDS = 50_000
 CELLS = 1 << 20
 CHUNK_SETS = 64
 # Hash functions under which documents may meet a leader.
@@ -106,7 +106,7 @@ def _frequency_classes(texts: DataFrame, width: int) -> np.ndarray:
                 total += np.bincount(np.concatenate(held), minlength=CELLS)
         yield from stripes_of(total)
 
-    cells = sum_stripes(texts.mapInArrow(count, SCHEMA), CELLS)
+    cells = sum_stripes(texts.mapInArrow(tidy(count), SCHEMA), CELLS)
     return (4 * np.log2(1.0 + cells)).astype(np.uint8)
 
 
@@ -117,7 +117,7 @@ def _digested(docs: DataFrame, id_type: str, classes: np.ndarray, width: int, pe
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = per_worker(("shingles", width), lambda: Shingler(width))
         frequency = shared.value
-        for batch in batches:
+        for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
             sizes, digests, lowest, common, rare = [], [], [], [], []
             for text in batch.column(1):
                 tokens = shingler.of(text.as_py())
@@ -136,7 +136,7 @@ def _digested(docs: DataFrame, id_type: str, classes: np.ndarray, width: int, pe
                 ["doc_id", "n", "digest", "lowest", "common", "rare"],
             )
 
-    return docs.mapInArrow(digest, f"doc_id {id_type}, n bigint, digest binary, lowest array<bigint>, common bigint, rare array<bigint>")
+    return docs.mapInArrow(tidy(digest), f"doc_id {id_type}, n bigint, digest binary, lowest array<bigint>, common bigint, rare array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -144,7 +144,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = per_worker(("shingles", width), lambda: Shingler(width))
-        for batch in batches:
+        for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
             made = [shingler.of(t.as_py()) for t in batch.column("text")]
             right = [xxhash.xxh3_128_digest(m.tobytes()) == d for m, d in zip(made, batch.column("digest").to_pylist())]
             columns = [batch.column(c) for c in batch.schema.names if c != "text"]
@@ -152,7 +152,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array([m.tobytes() for m in made], pa.binary())], [*names, "tokens"]).filter(pa.array(right, pa.bool_()))
 
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"])).select("text", *wanted.columns)
-    made = found.mapInArrow(tokens, ", ".join(f"{c} {t}" for c, t in found.drop("text").dtypes) + ", tokens binary")
+    made = found.mapInArrow(tidy(tokens), ", ".join(f"{c} {t}" for c, t in found.drop("text").dtypes) + ", tokens binary")
     return made.dropDuplicates(["digest"])
 
 
@@ -209,7 +209,7 @@ def _linked(opened: DataFrame, percent: int) -> DataFrame:
                 hit.append(found)
             yield batch.select(["x", "y"]).filter(pa.array(hit, pa.bool_()))
 
-    return opened.select("x", "y", "left", "right").mapInArrow(compare, "x binary, y binary").distinct()
+    return opened.select("x", "y", "left", "right").mapInArrow(tidy(compare), "x binary, y binary").distinct()
 
 
 def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import sys
 import types
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
+
+import pyarrow as pa
 
 from pyspark import Broadcast, SparkContext, cloudpickle
 
@@ -34,6 +38,26 @@ def received(parcel: Broadcast) -> object:
     return pickle.loads(parcel.value)
 
 
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``task`` as a task function that leaves no memory behind: a worker that waits for other stages to end holds nothing of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            store = sys.modules.get("_gleaner_worker_memo")
+            if store is not None:
+                store.held = store.key = None
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library keeps its own counsel
+                pass
+
+    return run
+
+
 class Memo(dict):
     """``memo[key]`` is ``compute(key)``; long keys are not kept.
 
