@@ -67,8 +67,9 @@ def build_index(chunks: DataFrame, stop_words: list[str] | None = None, partitio
 def save_index(index: KeywordIndex, name: str, path: str, buckets: int = 64) -> None:
     """Persist the index as tables ``{name}_postings``, ``{name}_chunks`` and ``{name}_terms``.
 
-    Postings and chunk lengths are bucketed by chunk, postings are sorted by
-    term inside a bucket so that a term filter skips row groups.
+    Postings and chunk lengths are bucketed by chunk, so that a search needs no
+    exchange of postings; it reads all of them. An index that is read in part
+    is written by ``pruned_index.save_pruned``.
     """
     for table, frame, key, order in (
         ("postings", index.postings, "chunk_id", "term"),

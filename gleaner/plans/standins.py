@@ -1,6 +1,6 @@
 """The test tables in the shape of the library's inputs.
 
-The views of ``oracles.py`` define the same inputs in SQL.
+The fragments of ``views.py`` define the same inputs in SQL.
 """
 
 from __future__ import annotations
