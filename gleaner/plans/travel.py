@@ -12,6 +12,9 @@ from gleaner.plans.standins import Tables
 from gleaner.sources import results as rs
 from gleaner.sources.scratch import scratch_path
 
+# Sessions that one event payload of a search service carries.
+PAYLOAD_PAGE = 50
+
 OFFERS = """
 flights AS (SELECT l_orderkey AS offer_id, l_extendedprice AS price, coalesce(l_returnflag = 'R', false) AS is_best FROM lineitem),
 offers AS (SELECT o_orderkey AS offer_id, CASE WHEN o_orderkey % 5 <> 0 THEN concat('NZ$', printf('%.2f', o_totalprice)) END AS current_price FROM orders),
@@ -67,7 +70,7 @@ def session_overlap(t: Tables) -> DataFrame:
 def payloads(t: Tables) -> DataFrame:
     """Event search results as JSON texts, one event page each."""
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-    sessions = t.sessions().withColumn("page", F.floor(F.split_part("session_id", F.lit("-"), F.lit(2)).cast("int") / travel.PAGE))
+    sessions = t.sessions().withColumn("page", F.floor(F.split_part("session_id", F.lit("-"), F.lit(2)).cast("int") / PAYLOAD_PAGE))
     listed = sessions.groupBy("event_id", "page").agg(
         F.collect_list(
             F.struct(
