@@ -74,11 +74,12 @@ class AnswerAssembler(StatefulProcessor):
         self._pieces = handle.getListState("pieces", _PIECE_SCHEMA)
         self._progress = handle.getValueState("progress", "arrived bigint, closing bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def _add(self, frames) -> dict | None:
+        """Take in chunks; the pieces of the whole answer by number once it can be closed."""
         whole = lambda value: None if pd.isna(value) else int(value)
         new = [
             (int(seq), None if pd.isna(delta) else delta, whole(prompt), whole(cached), whole(completion))
-            for frame in rows
+            for frame in frames
             for seq, delta, prompt, cached, completion in frame[["seq", "delta", "prompt", "cached", "completion"]].itertuples(index=False, name=None)
         ]
         arrived, closing = self._progress.get() if self._progress.exists() else (0, None)
@@ -87,33 +88,102 @@ class AnswerAssembler(StatefulProcessor):
         self._pieces.appendList(new)
         self._progress.update((arrived, closing))
         if closing is None or arrived <= closing:
-            return
+            return None
         pieces = {p[0]: tuple(p) for p in self._pieces.get() if p[0] <= closing}
-        if len(pieces) <= closing:
-            return
+        return pieces if len(pieces) > closing else None
+
+    def _drop(self) -> None:
         self._pieces.clear()
         self._progress.clear()
-        text = "".join(pieces[seq][1] or "" for seq in range(closing + 1))
-        prompt, cached, completion = pieces[closing][2:]
-        yield pd.DataFrame({
-            "session_id": [key[0]], "turn": [key[1]], "answer": [text], "prompt": [prompt], "cached": [cached], "completion": [completion],
-        })
+
+    def _row(self, key, pieces: dict, **more) -> pd.DataFrame:
+        text = "".join(pieces[seq][1] or "" for seq in sorted(pieces))
+        prompt, cached, completion = pieces[max(pieces)][2:]
+        usage = pd.DataFrame({"prompt": [prompt], "cached": [cached], "completion": [completion]}, dtype="Int64")
+        return pd.concat([pd.DataFrame({"session_id": [key[0]], "turn": [key[1]], "answer": [text]}), usage], axis=1).assign(**more)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pieces = self._add(rows)
+        if pieces is not None:
+            self._drop()
+            yield self._row(key, pieces)
 
     def close(self) -> None:
         pass
 
 
+class ExpiringAssembler(AnswerAssembler):
+    """Like the above, but nothing of an answer stays for longer than ``keep_ms`` after its last chunk.
+
+    A closed answer leaves a mark that swallows repeats. When the watermark
+    passes the deadline the mark goes, or the answer is given as far as it came.
+    """
+
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self._handle = handle
+        self._deadline = handle.getValueState("deadline", "at bigint, closed boolean")
+
+    def _defer(self, frames: list[pd.DataFrame], closed: bool) -> None:
+        """One timer per answer, at the last event time and ``keep_ms``."""
+        at = max(int(frame["ts"].max().timestamp() * 1000) for frame in frames) + self.keep_ms
+        if self._deadline.exists():
+            earlier = self._deadline.get()[0]
+            at = max(at, earlier)
+            self._handle.deleteTimer(earlier)
+        self._deadline.update((at, closed))
+        self._handle.registerTimer(at)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        frames = [frame for frame in rows if len(frame)]
+        if self._deadline.exists() and self._deadline.get()[1]:
+            return
+        pieces = self._add(frames)
+        self._defer(frames, pieces is not None)
+        if pieces is not None:
+            self._drop()
+            yield self._row(key, pieces, complete=True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        pieces = {p[0]: tuple(p) for p in self._pieces.get()}
+        self._drop()
+        self._deadline.clear()
+        if pieces:
+            yield self._row(key, pieces, complete=False)
+
+
 def assemble_stream(chunks: DataFrame) -> DataFrame:
     """Answers from a stream of ``chunks(session_id, turn, seq, delta, prompt, cached, completion)``.
 
     ``seq`` counts from 0 and the last chunk carries the usage. State is kept
-    per answer, so a busy session spreads over its answers.
+    per answer, so a busy session spreads over its answers. An answer whose end
+    never comes stays in the state; :func:`assemble_expiring` lets it go.
     """
     return chunks.groupBy("session_id", "turn").transformWithStateInPandas(
         statefulProcessor=AnswerAssembler(), outputStructType=ANSWER_SCHEMA, outputMode="Append", timeMode="None"
     )
 
 
+def assemble_expiring(chunks: DataFrame, delay: str = "10 minutes", keep_ms: int = 3_600_000) -> DataFrame:
+    """Answers from ``chunks`` with an event time ``ts`` besides, and a column ``complete``.
+
+    Chunks may come ``delay`` late. ``keep_ms`` after the last chunk of an
+    answer, by the watermark, its state goes: an unfinished answer is then given
+    with the chunks that came, in order, and with ``complete`` false. A repeat
+    that comes after the close changes nothing, and neither does one that
+    is older than the watermark; one that comes after the mark of the close
+    is gone opens the answer anew and expires in turn. A chunk without ``ts``
+    has no place in event time and is left out.
+    """
+    timed = chunks.filter(F.col("ts").isNotNull()).withWatermark("ts", delay)
+    return timed.groupBy("session_id", "turn").transformWithStateInPandas(
+        statefulProcessor=ExpiringAssembler(keep_ms), outputStructType=f"{ANSWER_SCHEMA}, complete boolean", outputMode="Append", timeMode="EventTime"
+    )
+
+
 MEMORY_SCHEMA = "session_id bigint, version bigint, position bigint, turn bigint, role string, text string"
 
 
@@ -155,8 +225,21 @@ def memory_stream(messages: DataFrame, n: int = MEMORY) -> DataFrame:
 
 def latest_memory(versions: DataFrame) -> DataFrame:
     """The newest version per session of a table written by :func:`memory_stream`."""
+    return _newest(versions).drop("version")
+
+
+def _newest(versions: DataFrame) -> DataFrame:
     newest = versions.groupBy("session_id").agg(F.max("version").alias("version"))
-    return versions.join(newest, ["session_id", "version"]).drop("version")
+    return versions.join(newest, ["session_id", "version"])
+
+
+def compact_memory(versions: DataFrame, path: str) -> None:
+    """Write the newest version of each session to a new folder, where a later stream may append.
+
+    Versions keep their numbers, so what is appended later still counts as newer.
+    The old folder may go when the new one is written; a run that stops half way leaves the old one whole.
+    """
+    _newest(versions).write.mode("errorifexists").parquet(path)
 
 
 def ingest_stream(documents: DataFrame, chunker: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, run: str | None = None) -> None:

@@ -1,3 +1,5 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from gleaner.operators import chunking, usage
@@ -32,6 +34,48 @@ def test_answers_wait_for_late_chunks(spark):
     assert rows(got) == [(1, 1, "Hello world!", 10, 0, 5)]
 
 
+TIMED = "session_id bigint, turn bigint, seq bigint, delta string, prompt bigint, cached bigint, completion bigint, ts timestamp"
+
+
+def test_expired_answers_leave_no_state(spark):
+    s = jobs.streaming_session(spark, 2)
+    folder, out, checkpoint = (scratch_path(spark, n) for n in ("timed", "timed-out", "timed-cp"))
+    sizes = []
+
+    def land(*data):
+        made = s.createDataFrame([(*d[:-1], None if d[-1] is None else dt.datetime(2024, 1, 1) + dt.timedelta(minutes=d[-1])) for d in data], TIMED)
+        made.coalesce(1).write.mode("append").parquet(folder)
+        stream = jobs.assemble_expiring(s.readStream.schema(TIMED).parquet(folder), "1 minute", 10 * 60_000)
+        query = (
+            stream.writeStream.format("parquet").outputMode("append").option("path", out)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        return rows(spark.read.schema(stream.schema).parquet(out), "session_id", "turn", "complete")
+
+    whole, part = (1, 1, "Hello", 9, 0, 2, True), (2, 1, "open end", None, None, None, False)
+    assert land((1, 1, 0, "Hello", None, None, None, 0), (1, 1, 1, None, 9, 0, 2, 1), (2, 1, 1, " end", None, None, None, 0), (2, 1, 0, "open", None, None, None, 1), (3, 1, 0, "x", None, None, None, None)) == [whole]
+    # a repeat of a closed answer is swallowed, and the clock runs on
+    assert land((1, 1, 0, "Hello", None, None, None, 3), (9, 9, 0, "clock", None, None, None, 5)) == [whole]
+    assert land((9, 9, 1, " runs", None, None, None, 40)) == [whole, part]
+    # a repeat older than the watermark opens nothing
+    before = sizes[-1]
+    assert land((1, 1, 0, "Hello", None, None, None, 2)) == [whole, part]
+    assert sizes[-1] <= before < sizes[0]
+
+
+def test_compacted_memory_takes_later_versions(spark):
+    schema = "session_id bigint, version bigint, position bigint, turn bigint, role string, text string"
+    versions = spark.createDataFrame([(1, v, 1, v, "user", f"m{v}") for v in range(1, 6)] + [(2, 1, 1, 1, "user", None)], schema)
+    path = scratch_path(spark, "compacted")
+    jobs.compact_memory(versions, path)
+    compacted = spark.read.schema(schema).parquet(path)
+    assert rows(compacted, "session_id") == [(1, 5, 1, 5, "user", "m5"), (2, 1, 1, 1, "user", None)]
+    spark.createDataFrame([(1, 6, 1, 6, "user", "m6")], schema).write.mode("append").parquet(path)
+    assert rows(jobs.latest_memory(spark.read.schema(schema).parquet(path)).select("session_id", "text"), "session_id") == [(1, "m6"), (2, None)]
+
+
 def test_memory_equals_the_batch_form(spark):
     s = jobs.streaming_session(spark, 2)
     data = [(k, t, "user", f"{k}-{t}") for k in (1, 2) for t in range(12 if k == 1 else 2)]
