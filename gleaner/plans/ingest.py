@@ -11,7 +11,7 @@ from gleaner.operators import chunking, encoder, enrich, keyword_index, models
 from gleaner.plans import views as v
 from gleaner.plans.registry import query
 from gleaner.plans.standins import Tables
-from gleaner.sources import corpus, store, tables
+from gleaner.sources import corpus, files, store, tables
 from gleaner.sources.scratch import scratch_path
 
 NL = "chr(10)"
@@ -36,6 +36,41 @@ def convert_pending(t: Tables) -> DataFrame:
     return corpus.pending(t.read("pages").select("page_id", "url"), done, "page_id")
 
 
+SYNCED = """
+WITH marks AS (SELECT doc_id, coalesce(bool_or(toxic = 1), FALSE) AS toxic FROM labels GROUP BY doc_id),
+lines AS (SELECT concat('docs-', doc_id // 8) AS name, doc_id, coalesce(text, '') AS text, toxic FROM documents LEFT JOIN marks USING (doc_id)),
+landed AS (
+  SELECT 1 AS round, name, 'new' AS change, string_agg(text || chr(10), '' ORDER BY doc_id) AS body FROM lines GROUP BY name
+  UNION ALL
+  SELECT 2, name, CASE WHEN bool_or(coalesce(toxic, FALSE)) THEN 'changed' ELSE 'touched' END,
+         string_agg(text || CASE WHEN toxic THEN ' Revised.' ELSE '' END || chr(10), '' ORDER BY doc_id)
+  FROM lines GROUP BY name HAVING count(toxic) > 0)
+SELECT round, name, change, sha256(body) AS hash FROM landed
+"""
+
+
+@query("sync_files", SYNCED)
+def sync_files(t: Tables) -> DataFrame:
+    """Files of eight documents, read in three rounds: all of them, those with a labelled document written again and its toxic texts revised, nothing."""
+    folder, memory = scratch_path(t.spark, "files"), scratch_path(t.spark, "file-memory")
+    marks = t.read("labels").groupBy("doc_id").agg(F.coalesce(F.bool_or(F.col("toxic") == 1), F.lit(False)).alias("toxic"))
+    documents = t.corpus().join(marks, "doc_id", "left").select(
+        F.expr("concat('docs-', doc_id div 8)").alias("file"), "doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic"
+    )
+    again = documents.filter(F.col("toxic").isNotNull()).select("file").distinct()
+    revised = documents.join(again, "file", "left_semi").withColumn("text", F.concat("text", F.when(F.col("toxic"), " Revised.").otherwise("")))
+    told = []
+    for round_no, landing in enumerate((documents, revised, None), 1):
+        if landing is not None:
+            # a written file replaces the earlier one of its name
+            placed = landing.repartition("file").sortWithinPartitions("file", "doc_id").select("file", "text")
+            placed.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("file").text(folder)
+        changes = files.changed_files(t.spark, folder, memory, str(round_no), "*.txt", F.regexp_extract("path", "/file=([^/]+)/", 1))
+        files.remember(changes, memory, str(round_no))
+        told.append(changes.select(F.lit(round_no).alias("round"), "name", "change", "hash"))
+    return told[0].unionAll(told[1]).unionAll(told[2])
+
+
 # every fourth line of a document as a heading, every ninth as a fence
 MARKED = r"""
 marked AS (

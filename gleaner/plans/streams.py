@@ -57,6 +57,33 @@ def stream_answers(t: Tables) -> DataFrame:
     return _finished(t, jobs.assemble_stream(jobs.replay(s.spark, chunks, "chunk-files")), "stream-answers")
 
 
+@query(
+    "stream_expired_answers",
+    v.with_(
+        v.MESSAGES,
+        r"""
+spoken AS (
+  SELECT session_id, turn, session_id % 3 <> 0 AS whole, w[1 : len(w) - CASE WHEN session_id % 3 = 0 THEN 1 ELSE 0 END] AS w
+  FROM (SELECT session_id, turn, regexp_extract_all(text, '\S+\s*') AS w FROM messages WHERE role = 'assistant')),
+timed AS (SELECT *, session_id * 60 + CASE WHEN whole THEN 0 ELSE 20 END AS sec FROM spoken WHERE len(w) > 0)""",
+        select="""
+        SELECT session_id, turn, array_to_string(w, '') AS answer, whole AS complete,
+               CASE WHEN whole THEN CAST(len(w) * 10 AS BIGINT) END AS prompt, CASE WHEN whole THEN CAST(len(w) * 5 AS BIGINT) END AS cached,
+               CASE WHEN whole THEN CAST(len(w) AS BIGINT) END AS completion
+        FROM timed WHERE whole OR sec + 3600 <= (SELECT max(sec) FROM timed) - 610
+        """,
+    ),
+)
+def stream_expired_answers(t: Tables) -> DataFrame:
+    """Each session a minute later; every third breaks off before its usage, and is given up an hour of event time later."""
+    s = _sibling(t)
+    broken = F.col("session_id") % 3 == 0
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("session_id") * 60 + F.when(broken, 20).otherwise(0))
+    chunks = s.stream_chunks().filter(~broken | F.col("completion").isNull()).withColumn("ts", at).repartition(8, "seq")
+    stream = jobs.assemble_expiring(jobs.replay(s.spark, chunks, "timed-chunk-files", files_per_trigger=1000), "610 seconds", 3_600_000)
+    return _finished(t, stream, "stream-expired-answers")
+
+
 @query("stream_memory", last_sql(3))
 def stream_memory(t: Tables) -> DataFrame:
     s = _sibling(t)
