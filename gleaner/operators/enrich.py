@@ -128,3 +128,38 @@ def run_transformations(df: DataFrame, steps) -> DataFrame:
     for step in steps:
         df = df.transform(step)
     return df
+
+
+def metadata_steps(index: KeywordIndex, keywords: int = KEYWORDS, questions: int = QUESTIONS) -> list:
+    """The enrichments as a list for :func:`run_transformations` over ``chunks(chunk_id, doc_id, chunk_no, text, ...)``.
+
+    They add ``title``, ``keywords`` (best first), ``questions`` (one a line),
+    ``summary`` and ``prev_summary``, null where a chunk has none. Every chunk
+    stays, and ``index`` is the one over the plain chunks. Rows of a document with very many
+    chunks are joined with its title by Spark's skew join.
+    """
+
+    def listed(rows: DataFrame, rank: str, column: str, name: str, separator: str) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct(rank, column)))
+        return rows.groupBy("chunk_id").agg(F.array_join(F.transform(ordered, lambda r: r[column]), separator).alias(name))
+
+    def titles(chunks: DataFrame) -> DataFrame:
+        return chunks.join(extract_title(chunks), "doc_id", "left")
+
+    def terms(chunks: DataFrame) -> DataFrame:
+        best = top_keywords(index, max(keywords, questions))
+        asked = cloze_questions(chunks, best, questions)
+        named = listed(best.filter(F.col("rank") <= keywords), "rank", "term", "keywords", ", ")
+        return chunks.join(named, "chunk_id", "left").join(listed(asked, "question_no", "question", "questions", "\n"), "chunk_id", "left")
+
+    def summaries(chunks: DataFrame) -> DataFrame:
+        made = summarize(chunks, index).select("chunk_id", "summary")
+        return with_previous(chunks.join(made, "chunk_id", "left"), "summary", "prev_summary")
+
+    return [titles, terms, summaries]
+
+
+def metadata_text(chunks: DataFrame) -> DataFrame:
+    """``chunks`` with their metadata, one line each, in front of ``text``, as they are indexed and embedded."""
+    ahead = [F.col(name) for name in ("title", "keywords", "questions", "prev_summary", "summary") if name in chunks.columns]
+    return chunks.withColumn("text", F.concat_ws("\n", *ahead, "text"))

@@ -12,7 +12,7 @@ from gleaner.plans import views as v
 from gleaner.plans.registry import query
 from gleaner.plans.standins import Tables
 from gleaner.sources import corpus, files, store, tables
-from gleaner.sources.scratch import scratch_path
+from gleaner.sources.scratch import scratch_path, stage
 
 NL = "chr(10)"
 
@@ -238,21 +238,18 @@ def truncate_long_docs(t: Tables) -> DataFrame:
     return t.corpus().select("doc_id", tx.truncate_long(F.col("text"), 1000).alias("text"))
 
 
-@query(
-    "extract_title",
-    v.with_(
-        v.CHUNKS,
-        r"""lines AS (
-          SELECT doc_id, chunk_no, nullif(regexp_extract(text, '(?m)^#{1,6}[ \t]+(\S[^\n]*)', 1), '') AS heading,
-                 nullif(regexp_extract(text, '(\S[^\n]*)', 1), '') AS line
-          FROM chunks WHERE chunk_no < 5)""",
-        select="""
-        SELECT doc_id, coalesce(arg_min(heading, chunk_no) FILTER (WHERE heading IS NOT NULL),
-                                arg_min(line, chunk_no) FILTER (WHERE line IS NOT NULL)) AS title
-        FROM lines GROUP BY doc_id
-        """,
-    ),
-)
+TITLES = r"""
+lines AS (
+  SELECT doc_id, chunk_no, nullif(regexp_extract(text, '(?m)^#{1,6}[ \t]+(\S[^\n]*)', 1), '') AS heading,
+         nullif(regexp_extract(text, '(\S[^\n]*)', 1), '') AS line
+  FROM chunks WHERE chunk_no < 5),
+titles AS (
+  SELECT doc_id, coalesce(arg_min(heading, chunk_no) FILTER (WHERE heading IS NOT NULL),
+                          arg_min(line, chunk_no) FILTER (WHERE line IS NOT NULL)) AS title
+  FROM lines GROUP BY doc_id)"""
+
+
+@query("extract_title", v.with_(v.CHUNKS, TITLES, select="SELECT doc_id, title FROM titles"))
 def extract_title(t: Tables) -> DataFrame:
     return enrich.extract_title(chunking.chunk_windows(t.corpus()))
 
@@ -298,16 +295,19 @@ def chunk_questions(t: Tables) -> DataFrame:
     return enrich.cloze_questions(chunks, enrich.top_keywords(index, enrich.QUESTIONS))
 
 
+SUMMARIES = f"""
+listed AS (SELECT chunk_id, doc_id, chunk_no, {v.sentences()} AS ss FROM units),
+numbered AS (SELECT chunk_id, doc_id, chunk_no, generate_subscripts(ss, 1) AS no, unnest(ss) AS sentence FROM listed),
+spoken AS (SELECT chunk_id, no, unnest({v.terms("sentence")}) AS term FROM numbered),
+rarity AS (SELECT chunk_id, no, round(avg(ln((SELECT count(*) FROM stats) / df)), 6) AS r FROM spoken JOIN dfs USING (term) GROUP BY ALL),
+best AS {v.top("rarity", "chunk_id", "r DESC, no", 1, "pick")},
+summaries AS (SELECT chunk_id, doc_id, chunk_no, sentence AS summary FROM best JOIN numbered USING (chunk_id, no))"""
+
+
 @query(
     "chunk_summary_prev",
     v.with_(
-        v.CHUNK_UNITS, v.INDEX,
-        f"""listed AS (SELECT chunk_id, doc_id, chunk_no, {v.sentences()} AS ss FROM units),
-        numbered AS (SELECT chunk_id, doc_id, chunk_no, generate_subscripts(ss, 1) AS no, unnest(ss) AS sentence FROM listed),
-        spoken AS (SELECT chunk_id, no, unnest({v.terms("sentence")}) AS term FROM numbered),
-        rarity AS (SELECT chunk_id, no, round(avg(ln((SELECT count(*) FROM stats) / df)), 6) AS r FROM spoken JOIN dfs USING (term) GROUP BY ALL),
-        best AS {v.top("rarity", "chunk_id", "r DESC, no", 1, "pick")},
-        summaries AS (SELECT chunk_id, doc_id, chunk_no, sentence AS summary FROM best JOIN numbered USING (chunk_id, no))""",
+        v.CHUNK_UNITS, v.INDEX, SUMMARIES,
         select="""
         SELECT s.chunk_id, s.summary, p.summary AS prev_summary
         FROM summaries s LEFT JOIN summaries p ON s.doc_id = p.doc_id AND s.chunk_no = p.chunk_no + 1
@@ -319,6 +319,35 @@ def chunk_summary_prev(t: Tables) -> DataFrame:
     return enrich.with_previous(enrich.summarize(chunks, index), "summary", "prev_summary").select("chunk_id", "summary", "prev_summary")
 
 
+ENRICHED = """
+enriched AS (
+  SELECT u.chunk_id, u.text, title, k.keywords, q.questions, s.summary, p.summary AS prev_summary
+  FROM units u LEFT JOIN titles USING (doc_id)
+  LEFT JOIN (SELECT chunk_id, string_agg(term, ', ' ORDER BY rank) AS keywords FROM keywords GROUP BY chunk_id) k USING (chunk_id)
+  LEFT JOIN (SELECT chunk_id, string_agg(question, chr(10) ORDER BY question_no) AS questions FROM questions_made GROUP BY chunk_id) q USING (chunk_id)
+  LEFT JOIN summaries s ON s.chunk_id = u.chunk_id
+  LEFT JOIN summaries p ON p.doc_id = u.doc_id AND p.chunk_no = u.chunk_no - 1),
+told AS (SELECT chunk_id, concat_ws(chr(10), title, keywords, questions, prev_summary, summary, text) AS text FROM enriched)"""
+ENRICHING = (v.CHUNK_UNITS, v.INDEX, v.KEYWORDS, CLOZE, TITLES, SUMMARIES, ENRICHED)
+
+
+def enriched(t: Tables) -> DataFrame:
+    chunks = stage(chunking.chunk_windows(t.corpus()), "plain-chunks")
+    return enrich.run_transformations(chunks, enrich.metadata_steps(keyword_index.build_index(chunks)))
+
+
+@query("enriched_chunks", v.with_(*ENRICHING, select="SELECT chunk_id, title, keywords, questions, summary, prev_summary FROM enriched"))
+def enriched_chunks(t: Tables) -> DataFrame:
+    return enriched(t).select("chunk_id", "title", "keywords", "questions", "summary", "prev_summary")
+
+
+@query("enriched_postings", v.with_(*ENRICHING, f"said AS (SELECT chunk_id, unnest({v.terms('text')}) AS term FROM told)", select="SELECT chunk_id, term, count(*) AS tf FROM said GROUP BY ALL"))
+def enriched_postings(t: Tables) -> DataFrame:
+    """The keyword index over chunks with their metadata in front."""
+    told = stage(enrich.metadata_text(enriched(t)).select("chunk_id", "text"), "enriched-chunks")
+    return keyword_index.build_index(told).postings.select("chunk_id", "term", "tf")
+
+
 @query(
     "embed_chunks",
     v.with_(v.CHUNK_UNITS, v.WEIGHTS, v.encoded("vectors", "units", "chunk_id"), select="SELECT chunk_id, CAST(slot AS BIGINT) AS slot, weight FROM vectors"),

@@ -5,6 +5,8 @@ import pytest
 
 from gleaner.functions import text as tx
 from gleaner.operators import chunking
+from gleaner.operators import enrich
+from gleaner.operators.keyword_index import build_index
 from tests.conftest import rows
 
 SCHEMA = "doc_id bigint, file_name string, text string"
@@ -94,3 +96,17 @@ def test_a_long_text_of_short_sentences(spark):
     text = "It is so. " * 60_000
     chunks = chunking.chunk_sentences(documents(spark, text), size=1000, overlap=100).collect()
     assert len(chunks) == 1 + -(-(180_000 - 999) // 900) and max(r["n_words"] for r in chunks) <= 1000
+
+
+def test_metadata_stays_with_every_chunk(spark):
+    data = [("a#0", "a", 0, "# Herbs\nSage grows slowly. Mint spreads."), ("a#1", "a", 1, "Mint wants shade."), ("b#0", "b", 0, "?!"), ("c#0", "c", 0, None)]
+    chunks = spark.createDataFrame(data, "chunk_id string, doc_id string, chunk_no bigint, text string")
+    got = enrich.run_transformations(chunks, enrich.metadata_steps(build_index(chunks), keywords=2, questions=1))
+    found = {r["chunk_id"]: r for r in got.collect()}
+    assert set(found) == {"a#0", "a#1", "b#0", "c#0"}
+    assert [found[c]["title"] for c in ("a#0", "a#1", "b#0", "c#0")] == ["Herbs", "Herbs", "?!", None]
+    assert found["a#1"]["keywords"] == "shade, wants" and found["a#1"]["questions"] == "Mint wants ____"
+    assert found["a#1"]["prev_summary"] == found["a#0"]["summary"] is not None
+    assert found["c#0"]["keywords"] is None and found["c#0"]["questions"] is None and found["c#0"]["summary"] is None
+    told = {r["chunk_id"]: r["text"] for r in enrich.metadata_text(got).collect()}
+    assert told["a#1"].startswith("Herbs\nshade, wants\n") and told["a#1"].endswith("\nMint wants shade.") and told["c#0"] == ""
