@@ -114,6 +114,18 @@ def _hit_rows(best: _Best, query_ids: np.ndarray) -> dict[str, list]:
     }
 
 
+def sort_out_vectors(vectors: DataFrame, dim: int, key: str = "vec_id") -> tuple[DataFrame, DataFrame]:
+    """Vectors that a search takes, and ``(key, reason)`` of those it would fail on.
+
+    Reasons are ``null``, ``length n`` and ``not finite`` (a null, NaN or
+    infinite entry), the first that holds. Both frames read ``vectors`` once each and move nothing.
+    """
+    size = F.size("embedding")
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    reason = F.when(F.col("embedding").isNull(), "null").when(size != dim, F.concat(F.lit("length "), size)).when(bad, "not finite")
+    return vectors.filter(reason.isNull()), vectors.select(key, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def dense_topk(
     vectors: DataFrame, queries: DataFrame, k: int = TOP_K, max_broadcast_queries: int = 4096, block_rows: int = 100_000
 ) -> DataFrame:

@@ -217,3 +217,12 @@ def test_whole_lists_find_documents_without_a_vector(spark):
     assert keyword.join(vectors, "chunk_id", "left_anti").count() > 0
     fused = r.reciprocal_rank_fusion([dense, keyword])
     assert fused.join(vectors, "chunk_id", "left_anti").count() > 0
+
+
+def test_vectors_that_a_search_cannot_take_are_listed(spark):
+    data = [(1, [1.0, 0.0]), (2, [1.0]), (3, None), (4, [float("nan"), 0.0]), (5, [None, 1.0]), (6, [0.5, 0.5]), (7, []), (8, [float("inf"), 1.0])]
+    vectors = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    good, rejected = r.sort_out_vectors(vectors, 2)
+    assert rows(rejected, "vec_id") == [(2, "length 1"), (3, "null"), (4, "not finite"), (5, "not finite"), (7, "length 0"), (8, "not finite")]
+    queries = spark.createDataFrame([(9, [1.0, 0.0])], "query_id bigint, embedding array<double>")
+    assert [hit["chunk_id"] for hit in r.dense_topk(good, queries, 5).orderBy("rank").collect()] == [1, 6]
