@@ -8,12 +8,15 @@ same bucket in any of several repetitions is verified by exact edit distance.
 
 Windows are placed where the document can hold an item at all: a passage
 within k edits of an item of n characters has n - q + 1 - kq of its q-grams.
-No place that could hold one is left out by this.
+Where that is less than two grams (items of up to 40 characters at a tenth),
+the item is cut into k + 1 pieces, one of which the passage holds unchanged.
+No place that could hold one is left out by either.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,7 @@ SAMPLED = 4
 SHORT = 16
 GROUP = 64
 BLOCK_CHARS = 4 << 20
+PLACES = 1 << 18
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -45,11 +49,12 @@ def symbols(text: str) -> np.ndarray:
     return (points ^ (points >> np.uint32(8)) ^ (points >> np.uint32(16))).astype(np.uint8)
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the q-gram at every position, one to one; its high bits are its table slot."""
-    if len(data) < GRAM:
+def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
+    """Hash of the gram of ``size`` characters, 8 at most, at every position, one to one; its high bits are its table slot."""
+    if len(data) < size:
         return np.empty(0, np.uint64)
-    return np.ndarray((len(data) - GRAM + 1,), "<u8", data.tobytes(), 0, (1,)) * GOLDEN
+    padded = data.tobytes() + bytes(GRAM - size)
+    return (np.ndarray((len(data) - size + 1,), "<u8", padded, 0, (1,)) & np.uint64((1 << 8 * size) - 1)) * GOLDEN
 
 
 def slots_of(hashes: np.ndarray) -> np.ndarray:
@@ -57,8 +62,13 @@ def slots_of(hashes: np.ndarray) -> np.ndarray:
 
 
 def allowed_edits(n: int, share: float) -> int:
-    """Edits that an item of ``n`` characters may differ by; two q-grams at least must remain."""
-    return max(0, min(int(share * n + 1e-9), (n - GRAM - 1) // GRAM))
+    """Edits that an item of ``n`` characters may differ by."""
+    return int(share * n + 1e-9)
+
+
+def grams_suffice(n: int, share: float) -> bool:
+    """Whether two q-grams at least remain of an item of ``n`` characters after all edits."""
+    return n - GRAM + 1 - GRAM * allowed_edits(n, share) >= 2
 
 
 def best_distance(item: str, text: str) -> int:
@@ -96,23 +106,33 @@ class Items:
         self.share = share
         texts = [(item_id, normal_text(text)) for item_id, text in items]
         self.short: dict[int, dict[str, list]] = {}
-        sized: dict[int, list[tuple[object, str]]] = {}
+        sized: dict[tuple[int, bool], list[tuple[object, str]]] = {}
         for item_id, text in texts:
             if not text:
                 continue
             if len(text) < SHORT:
                 self.short.setdefault(text.count(" ") + 1, {}).setdefault(text, []).append(item_id)
             else:
-                sized.setdefault(int(np.log(len(text) / SHORT) / np.log(STEP) + 1e-9), []).append((item_id, text))
+                number = int(np.log(len(text) / SHORT) / np.log(STEP) + 1e-9)
+                sized.setdefault((number, grams_suffice(len(text), share)), []).append((item_id, text))
         self.table = np.zeros(1 << TABLE_BITS, np.uint64)
         self.classes = []
         self.ordered: list[list[tuple[np.ndarray, np.ndarray]]] = []
+        pieces: dict[int, list[tuple[int, int, int, int]]] = {}
         random = np.random.default_rng(seed)
-        for number, members in ((n, sized[n][at : at + GROUP]) for n in sorted(sized) for at in range(0, len(sized[n]), GROUP)):
+        for (number, by_grams), members in ((n, sized[n][at : at + GROUP]) for n in sorted(sized) for at in range(0, len(sized[n]), GROUP)):
             low, high = min(len(t) for _, t in members), max(len(t) for _, t in members)
-            bit = np.uint64(1) << np.uint64(number % 64)
+            bit = np.uint64(1) << np.uint64(number % 64) if by_grams else np.uint64(0)
+            if not by_grams:
+                for m, (_, text) in enumerate(members):
+                    parts = min(allowed_edits(len(text), share) + 1, len(text))
+                    size = min(GRAM, len(text) // parts)
+                    for part in range(parts):
+                        at = part * len(text) // parts
+                        piece = int(gram_hashes(symbols(text)[at : at + size], size)[0])
+                        pieces.setdefault(size, []).append((piece, len(self.classes), m, at))
             own_grams = [np.unique(gram_hashes(symbols(text))) for _, text in members]
-            for grams in own_grams:
+            for grams in own_grams:  # no slot holds the bit of a class that is looked for by pieces
                 self.table[slots_of(grams)] |= bit
             grams = np.unique(np.concatenate(own_grams))
             has = np.zeros(len(grams), np.uint64)
@@ -132,6 +152,10 @@ class Items:
             keys = self.embed(own.reshape(-1), np.arange(len(members)) * low, low, moves, places)
             order = np.argsort(keys, axis=-1, kind="stable")
             self.classes.append((bit, members, low, high, grams, has, least, allowed_edits(high, share), moves, places, np.take_along_axis(keys, order, -1), order))
+        self.pieces = {}
+        for size, known in pieces.items():
+            known.sort()
+            self.pieces[size] = (np.array([k[0] for k in known], np.uint64), np.array([k[1:] for k in known], np.int64))
 
     @staticmethod
     def embed(data: np.ndarray, starts: np.ndarray, length: int, moves: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -171,6 +195,8 @@ class Items:
         hits = np.flatnonzero(masks)
         masks = masks[hits]
         for number, (bit, members, low, high, grams, has, least, edits, *_) in enumerate(self.classes):
+            if not bit:
+                continue
             at = hits[(masks & bit) != 0]
             fewest = min(least)
             if len(at) < fewest or not (at[fewest - 1 :] - at[: len(at) - fewest + 1] < high + edits).any():
@@ -207,11 +233,38 @@ class Items:
             if opens:
                 yield number, np.unique(np.concatenate(opens)), candidates
 
+    def _windows_by_pieces(self, own: np.ndarray) -> Iterator[tuple[int, np.ndarray, int]]:
+        """As :meth:`_windows` for the items that are looked for by an unchanged piece."""
+        classes: dict[int, tuple[list[np.ndarray], int]] = {}
+        for size, (known, facts) in self.pieces.items():
+            hashes = gram_hashes(own, size)
+            left = np.searchsorted(known, hashes, "left")
+            hits = np.flatnonzero(known[np.minimum(left, len(known) - 1)] == hashes)
+            left = left[hits]
+            times = np.searchsorted(known, hashes[hits], "right") - left
+            # a piece may stand in many items, so that places are taken some at a time
+            for some in np.split(np.arange(len(hits)), np.flatnonzero(np.diff(np.cumsum(times) // PLACES)) + 1):
+                which = np.repeat(left[some] - (np.cumsum(times[some]) - times[some]), times[some]) + np.arange(times[some].sum())
+                number, member, offset = facts[which].T
+                start = np.repeat(hits[some], times[some]) - offset
+                key = number * GROUP + member
+                order = np.argsort(key, kind="stable")
+                bounds = np.flatnonzero(np.diff(key[order])) + 1
+                for mine in np.split(order, bounds) if len(order) else ():
+                    n, m = divmod(int(key[mine[0]]), GROUP)
+                    limit = allowed_edits(len(self.classes[n][1][m][1]), self.share)
+                    near = np.unique(start[mine][:, None] + np.arange(-limit, limit + 1))
+                    opens, candidates = classes.get(n, ([], 0))
+                    opens.append(near[(near >= 0) & (near < len(own))])
+                    classes[n] = (opens, candidates | 1 << m)
+        for number, (opens, candidates) in classes.items():
+            yield number, np.unique(np.concatenate(opens)), candidates
+
     def _find_long(self, texts: list[str], found: list[dict]) -> None:
         data = [symbols(t) for t in texts]
         windows: list[tuple[list, list, dict]] = [([], [], {}) for _ in self.classes]
         for number, own in enumerate(data):
-            for which, opens, candidates in self._windows(own):
+            for which, opens, candidates in chain(self._windows(own), self._windows_by_pieces(own)):
                 windows[which][2][number] = candidates
                 windows[which][0].append(np.full(len(opens), number))
                 windows[which][1].append(opens)

@@ -149,6 +149,48 @@ def test_recall_against_all_pairs(spark):
     assert len(got) / len(want) > 0.95 and len(want) >= 140
 
 
+def test_short_items_with_the_full_tenth_of_edits():
+    rng = random.Random(9)
+    letters = "etaoinshrdlucm "
+
+    def prose(n):
+        return decontamination.normal_text("".join(rng.choice(letters) for _ in range(n)))
+
+    items = []
+    for size in range(16, 42):
+        for _ in range(6):
+            text = ""
+            while len(text) != size:
+                text = prose(size)
+            items.append((len(items), text))
+    texts = [f"{prose(60)}x{edited(rng, text, int(len(text) * 0.1))}x{prose(50)}" for _, text in items] + [prose(300) for _ in range(30)] + ["", "a"]
+    texts = [decontamination.normal_text(t) for t in texts]
+    got = {(n, i): d for n, hits in enumerate(decontamination.Items(items, 0.1).find(texts)) for i, d, _ in hits}
+    want = {}
+    for n, text in enumerate(texts):
+        for i, item in items:
+            if (distance := decontamination.best_distance(item, text)) <= int(len(item) * 0.1 + 1e-9):
+                want[n, i] = distance
+    assert set(got) <= set(want) and all(got[k] >= want[k] for k in got)
+    assert len(want) >= len(items) and len(got) / len(want) > 0.95
+    by_size = {size: [(n, i) for n, i in want if len(items[i][1]) == size] for size in (16, 20, 24, 30, 32, 40)}
+    assert all(sum(k in got for k in keys) >= len(keys) - 1 for keys in by_size.values())
+
+
+def test_windows_by_pieces_lose_no_place():
+    rng = random.Random(12)
+    for share in (0.1, 0.25):
+        text = "".join(rng.choice("abcdefghij ") for _ in range(24)).strip("  ").ljust(20, "k")
+        text = decontamination.normal_text(text)
+        limit = decontamination.allowed_edits(len(text), share)
+        found = decontamination.Items([(0, text)], share)
+        for _ in range(80):
+            before = "".join(rng.choice("uvwxyz") for _ in range(30))
+            whole = before + edited(rng, text, limit) + "uvwxyz" * 4
+            opens = [p for _, places, _ in found._windows_by_pieces(decontamination.symbols(whole)) for p in places]
+            assert any(abs(p - len(before)) <= limit for p in opens)
+
+
 def test_items_of_messy_tables(spark):
     benchmark = spark.createDataFrame([(1, "brown fox jumps"), (2, None), (3, ""), (4, "QUICK  brown fox jumps over the lazy dog"), (4, "word"), (None, "lazy dog,")], "item_id bigint, text string")
     got = sorted(((r["doc_id"], r["item_id"], r["distance"]) for r in decontamination.find_items(messy(spark), benchmark).collect()), key=repr)
