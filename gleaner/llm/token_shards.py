@@ -1,13 +1,17 @@
 """Token ids in binary shards, with a minimal perfect hash index over the document keys.
 
-A folder holds two tables. ``payload`` has one row per block of some megabytes:
+A folder holds three tables. ``payload`` has one row per block of some megabytes:
 the raw little-endian ids of neighbouring documents, as the width of the
 vocabulary asks (2 or 4 bytes), with the documents' ids and lengths beside
 them. A shard is the run of blocks that one task wrote, shards and blocks are
-in ascending order of the document id. ``index`` has one row per bucket of
-keys: the bit levels of a minimal perfect hash, and at each key's slot a
-fingerprint, the shard, the block and the offset. Spark's own writers commit
-both, so that a task may be repeated at any time.
+in ascending order of the document id. ``shards`` has one row per shard: its
+files, its blocks and the ids before it. ``index`` has one folder per bucket of
+keys with one row: the bit levels of a minimal perfect hash, and at each key's
+slot a fingerprint, the shard, the block and the offset. Spark's own writers
+commit all three, so that a task may be repeated at any time.
+
+A search by key reads the buckets of its keys and then the files of the shards
+that these name, in which only row groups with a named block are opened.
 """
 
 from __future__ import annotations
@@ -17,6 +21,8 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -29,11 +35,14 @@ from pyspark.sql import functions as F
 from gleaner.llm.memo import Memo, per_worker
 from gleaner.llm.pretokens import Pieces, special_strings
 from gleaner.llm.token_counts import byte_letters
+from gleaner.sources.scratch import stage
 
 MEMO_WORDS = 300_000
 GROUP_CHARS = 8 << 20
 BLOCK_BYTES = 1 << 20
 BUCKET_KEYS = 1 << 16
+ROWS_OPENED = 8  # blocks in a row group
+PUSHED = 64
 LEVELS = 40
 PAYLOAD = "shard int, block int, first bigint, ids binary, doc_ids array<{0}>, lengths array<bigint>"
 
@@ -153,18 +162,22 @@ def write_payload(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
     ranged = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     schema = PAYLOAD.format(docs.schema[id_col].dataType.simpleString())
-    ranged.mapInArrow(encode, schema).withColumn("width", F.lit(width)).write.parquet(f"{folder}/payload")
+    ranged.mapInArrow(encode, schema).withColumn("width", F.lit(width)).write.option("parquet.block.row.count.limit", ROWS_OPENED).parquet(f"{folder}/payload")
 
 
 def read_payload(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/payload")
 
 
-def shard_starts(payload: DataFrame) -> DataFrame:
-    """Ids in all shards before each one; one row per shard that holds anything."""
-    lengths = payload.groupBy("shard").agg(F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("n"))
+def write_shard_table(spark: SparkSession, folder: str) -> None:
+    """One row per shard that holds anything: shard, files, blocks, shard_start (ids in all shards before it)."""
+    blocks = read_payload(spark, folder).select("shard", "block", "lengths", F.col("_metadata.file_name").alias("file"))
+    shards = blocks.groupBy("shard").agg(
+        F.collect_set("file").alias("files"), (F.max("block") + 1).alias("blocks"),
+        F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("n"),
+    )
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return lengths.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start"))
+    shards.select("shard", "files", "blocks", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start")).write.parquet(f"{folder}/shards")
 
 
 def directory(payload: DataFrame) -> DataFrame:
@@ -236,12 +249,14 @@ def find_numbers(levels: list[bytes], hashes: np.ndarray) -> np.ndarray:
     return numbers
 
 
-FIELDS = {"print": "<i4", "shard": "<i4", "block": "<i4", "at": "<i8", "n_ids": "<i8", "n_rows": "<i8"}
-INDEX = "bucket int, buckets int, levels array<binary>, " + ", ".join(f"`{f}` binary" for f in FIELDS) + ", rest array<struct<hash:bigint,print:int,shard:int,block:int,at:bigint,n_ids:bigint,n_rows:bigint>>"
+FIELDS = {"print": "<i4", "shard": "<i4", "block": "<i4", "at": "<i8", "last_shard": "<i4", "last_block": "<i4", "n_ids": "<i8", "n_rows": "<i8"}
+FOUND = {name: {"<i4": "int", "<i8": "bigint"}[kind] for name, kind in FIELDS.items() if name != "print"}
+REST = ",".join(f"{name}:{kind}" for name, kind in {"hash": "bigint", "print": "int", **FOUND}.items())
+INDEX = "bucket int, buckets int, levels array<binary>, " + ", ".join(f"`{f}` binary" for f in FIELDS) + f", rest array<struct<{REST}>>"
 
 
 def write_index(spark: SparkSession, folder: str, bucket_keys: int = BUCKET_KEYS) -> None:
-    """Index of the payload in ``folder``: each key's first shard, block and offset, its ids and its rows.
+    """Index of the payload in ``folder``: each key's first shard, block and offset, its last block, its ids and its rows.
 
     Keys are dealt into buckets of about ``bucket_keys`` by hash, and each
     bucket is built in one task. An id that occurs in several rows is one key;
@@ -249,8 +264,9 @@ def write_index(spark: SparkSession, folder: str, bucket_keys: int = BUCKET_KEYS
     """
     entries = directory(read_payload(spark, folder))
     keys = entries.groupBy("doc_id").agg(
-        F.min(F.struct("shard", "block", "at")).alias("first"), F.sum("n_tokens").alias("n_ids"), F.count(F.lit(1)).alias("n_rows")
-    ).select("doc_id", "first.*", "n_ids", "n_rows")
+        F.min(F.struct("shard", "block", "at")).alias("first"), F.max(F.struct("shard", "block")).alias("last"),
+        F.sum("n_tokens").alias("n_ids"), F.count(F.lit(1)).alias("n_rows"),
+    ).select("doc_id", "first.*", F.col("last.shard").alias("last_shard"), F.col("last.block").alias("last_block"), "n_ids", "n_rows")
     buckets = max(1, -(-entries.count() // bucket_keys))
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
@@ -264,26 +280,35 @@ def write_index(spark: SparkSession, folder: str, bucket_keys: int = BUCKET_KEYS
         row["rest"] = rows.loc[~placed, ["hash", *FIELDS]].to_dict("records")
         return pd.DataFrame([row])
 
-    _hashes(keys, buckets).groupBy("bucket").applyInPandas(build, INDEX).write.parquet(f"{folder}/index")
+    _hashes(keys, buckets).groupBy("bucket").applyInPandas(build, INDEX).write.partitionBy("bucket").parquet(f"{folder}/index")
+
+
+def asked_buckets(asked: DataFrame, folder: str, buckets: int) -> DataFrame:
+    """Rows of the index for the buckets that ``asked`` names; the folders of others are not listed."""
+    index = asked.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")
+    named = [r["bucket"] for r in asked.select("bucket").distinct().collect()]
+    return index if len(named) == buckets else index.filter(F.col("bucket").isin(named))
 
 
 def lookup(keys: DataFrame, folder: str) -> DataFrame:
-    """For the distinct doc_ids of ``keys``: shard, block, at, n_ids and n_rows; keys that are not stored give no row.
+    """For the distinct doc_ids of ``keys``: shard, block and at of the first row, last_shard and last_block, n_ids and
+    n_rows; keys that are not stored give no row.
 
     A key costs one hash, one place per level and one fingerprint, whatever
     the number of stored keys. A fingerprint of 32 bits lets a foreign key
-    pass once in 4 * 10^9; :func:`fetch` compares the stored id as well.
+    pass once in 4 * 10^9; :func:`fetch` compares the stored id as well. The
+    numbers of the asked buckets, of which there are as many as 65,536 go into
+    the stored keys, pass through the driver.
     """
     spark = keys.sparkSession
-    index = spark.read.parquet(f"{folder}/index")
-    size = index.select("buckets").first()
+    size = spark.read.schema(INDEX).parquet(f"{folder}/index").select("buckets").first()
     id_type = keys.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, shard int, block int, at bigint, n_ids bigint, n_rows bigint"
+    out = list(FOUND)
+    schema = f"doc_id {id_type}, " + ", ".join(f"{name} {kind}" for name, kind in FOUND.items())
     if size is None:
         return spark.createDataFrame([], schema)
 
     def find(index_rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = ["shard", "block", "at", "n_ids", "n_rows"]
         if not len(index_rows) or not len(asked):
             return pd.DataFrame({"doc_id": asked["doc_id"].iloc[:0], **{c: pd.Series(dtype="int64") for c in out}})
         row = index_rows.iloc[0]
@@ -298,6 +323,7 @@ def lookup(keys: DataFrame, folder: str) -> DataFrame:
         return found
 
     asked = _hashes(keys.select("doc_id").distinct(), size[0])
+    index = asked_buckets(asked, folder, size[0])
     return index.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(find, schema)
 
 
@@ -339,41 +365,75 @@ def checksums(payload: DataFrame) -> DataFrame:
     return payload.select(*STORED).mapInArrow(digest, f"doc_id {id_type}, shard int, block int, at bigint, n_tokens bigint, ids_crc32 bigint")
 
 
-def located(stored: DataFrame, found: DataFrame, starts: DataFrame) -> DataFrame:
-    """Rows of ``stored`` at the places that the index gave in ``found``, with their global ``start``."""
-    place = found.join(F.broadcast(starts), "shard").select(
-        F.col("doc_id").alias("_key"), (F.col("shard_start") + F.col("at")).alias("_from"), "n_ids"
+def opened(found: DataFrame, folder: str) -> DataFrame:
+    """Rows of the payload that ``found`` names: of each named shard the blocks from the first to the last named one.
+
+    Only the files of named shards are read. Up to ``PUSHED`` named blocks are
+    a condition on the scan, which then passes over all other row groups. The
+    named shards, at most one for each task that wrote, pass through the
+    driver with their files.
+    """
+    spark = found.sparkSession
+    payload, shards = read_payload(spark, folder), spark.read.parquet(f"{folder}/shards")
+    named = named_blocks(found, shards)
+    ranges = named.groupBy("shard").agg(F.min("block").alias("_low"), F.max("block").alias("_high"))
+    files = ranges.join(shards, "shard").select("shard", "files").collect()
+    if not files:
+        return payload.filter(F.lit(False))
+    if len(files) < shards.count():
+        payload = spark.read.schema(payload.schema).parquet(*(f"{folder}/payload/{name}" for r in files for name in r["files"]))
+    few = named.select("shard", "block").distinct().limit(PUSHED + 1).collect()
+    if len(few) <= PUSHED:
+        return payload.filter(reduce(or_, ((F.col("shard") == r["shard"]) & (F.col("block") == r["block"]) for r in few)))
+    near = payload.join(F.broadcast(ranges), "shard").filter(F.col("block").between(F.col("_low"), F.col("_high")))
+    return near.drop("_low", "_high")
+
+
+def named_blocks(found: DataFrame, shards: DataFrame) -> DataFrame:
+    """Every block that may hold a row of a found key: its key, shard, block, shard_start, and the global places _from and _to.
+
+    The rows of one key are neighbours, so they fill all blocks from its first to its last one.
+    """
+    places = shards.select("shard", "blocks", "shard_start")
+    first = places.select(F.col("shard"), F.col("shard_start").alias("_before"))
+    spans = found.join(F.broadcast(first), "shard").select(
+        F.col("doc_id").alias("_key"), F.explode(F.sequence("shard", "last_shard")).alias("_shard"), F.col("shard").alias("_first"), "block", "last_shard", "last_block",
+        (F.col("_before") + F.col("at")).alias("_from"), (F.col("_before") + F.col("at") + F.col("n_ids")).alias("_to"),
+    )
+    within = spans.join(F.broadcast(places), F.col("_shard") == F.col("shard"))
+    low = F.when(F.col("_shard") == F.col("_first"), F.col("block")).otherwise(F.lit(0))
+    high = F.when(F.col("_shard") == F.col("last_shard"), F.col("last_block")).otherwise(F.col("blocks") - 1)
+    return within.select("_key", "shard", "shard_start", "_from", "_to", F.explode(F.sequence(low, high)).alias("block"))
+
+
+def located(stored: DataFrame, found: DataFrame, shards: DataFrame) -> DataFrame:
+    """Rows of ``stored`` at the places that the index gave in ``found``, with their global ``start``; the stored id is compared."""
+    start = F.col("shard_start") + F.col("at")
+    rows = stored.join(named_blocks(found, shards), ["shard", "block"]).filter(
+        F.col("doc_id").eqNullSafe(F.col("_key")) & (start >= F.col("_from")) & (start < F.col("_to"))
     )
-    here = stored.join(F.broadcast(starts), "shard").withColumn("start", F.col("shard_start") + F.col("at"))
-    return here.join(
-        place,
-        F.col("doc_id").eqNullSafe(F.col("_key")) & (F.col("start") >= F.col("_from")) & (F.col("start") < F.col("_from") + F.col("n_ids")),
-    ).drop("_key", "_from", "n_ids", "shard_start")
+    return rows.withColumn("start", start)
 
 
 def fetch(keys: DataFrame, folder: str) -> DataFrame:
-    """Ids of the asked documents, one row per stored row: doc_id, start, ids (array of int).
+    """Ids of the asked documents, one row per stored row: doc_id, start, ids (array of bigint).
 
-    Only the blocks that the index names are opened.
+    Only the buckets of the keys and the blocks that these name are opened.
     """
-    spark = keys.sparkSession
-    payload = read_payload(spark, folder)
-    found = lookup(keys, folder)
-    starts = shard_starts(payload)
-    blocks = payload.select("shard", "block", F.explode("doc_ids").alias("doc_id")).join(found.select("doc_id"), "doc_id", "left_semi")
-    blocks = blocks.unionByName(found.select("shard", "block", "doc_id")).select("shard", "block").distinct()
-    rows = located(documents_in(payload.join(blocks, ["shard", "block"], "left_semi")), found, starts)
-    return rows.select("doc_id", "start", "ids")
+    found = stage(lookup(keys, folder), "found-keys")
+    shards = keys.sparkSession.read.parquet(f"{folder}/shards")
+    return located(documents_in(opened(found, folder)), found, shards).select("doc_id", "start", "ids")
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, **options) -> None:
-    """Payload and index of ``docs`` in ``folder``. An empty table gives an empty payload and index."""
+    """Payload, shard table and index of ``docs`` in ``folder``. An empty table gives empty ones."""
     write_payload(docs, folder, tokenizer_path, end_id, **options)
+    write_shard_table(docs.sparkSession, folder)
     write_index(docs.sparkSession, folder)
 
 
 def digests(keys: DataFrame, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of the asked documents, from the files in ``folder``."""
-    payload = read_payload(keys.sparkSession, folder)
-    found = lookup(keys.select("doc_id"), folder)
-    return located(checksums(payload), found, shard_starts(payload)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    """doc_id, start, n_tokens and ids_crc32 of the asked documents, read through the index from the files in ``folder``."""
+    found = stage(lookup(keys.select("doc_id"), folder), "found-keys")
+    shards = keys.sparkSession.read.parquet(f"{folder}/shards")
+    return located(checksums(opened(found, folder)), found, shards).select("doc_id", "start", "n_tokens", "ids_crc32")
