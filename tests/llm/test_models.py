@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import re
@@ -26,6 +27,47 @@ def test_language_of_held_out_documents(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in got) / len(got) > 0.98
 
 
+def plain_grams(text):
+    """1- to 3-grams of the letters of a text, one blank for whatever lies between words; none without letters."""
+    padded = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+    if not padded.strip():
+        return Counter()
+    found = Counter(c for c in padded if c != " ")
+    for n in (2, 3):
+        found.update(padded[i : i + n] for i in range(len(padded) - n + 1))
+    return found
+
+
+def plain_ranks(counts, length):
+    """Most frequent first, ties by the code that packs a gram, in which a gap is the least character."""
+    def code(gram):
+        number = 0
+        for c in gram:
+            number = number << 21 | (1 if c == " " else ord(c))
+        return number
+
+    return [g for g, _ in sorted(counts.items(), key=lambda kv: (-kv[1], code(kv[0])))[:length]]
+
+
+def test_distances_are_those_of_a_plain_count(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    summed = {}
+    for r in rows:
+        if held(r["doc_id"], 4) != 2 and r["lang"] is not None and r["text"] is not None:
+            summed.setdefault(r["lang"], Counter()).update(plain_grams(r["text"]))
+    length, own_length = language_id.PROFILE, language_id.OWN
+    profiles = {lang: {g: n for n, g in enumerate(plain_ranks(c, length))} for lang, c in summed.items()}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in queries.op4_language_id(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        own = plain_ranks(plain_grams(r["text"] or ""), own_length)
+        apart = {lang: sum(min(abs(ranks[g] - n), length) if g in ranks else length for n, g in enumerate(own)) for lang, ranks in profiles.items()}
+        best = min(sorted(apart), key=apart.get) if own else language_id.UNKNOWN
+        assert got[r["doc_id"]][0] == best
+        assert got[r["doc_id"]][1] == pytest.approx(1 - apart[best] / (length * len(own)) if own else 0.0)
+
+
 def test_language_of_messy_rows(spark):
     profiles = language_id.learn_profiles(messy(spark))
     got = language_id.identify(messy(spark), profiles)
@@ -114,6 +156,54 @@ def test_gradients():
         assert (up - down) / 2e-5 == pytest.approx(grad[at], rel=1e-3, abs=1e-4)
 
 
+def test_decoding_finds_the_best_of_all_tag_rows():
+    rng = np.random.default_rng(4)
+    for _ in range(5):
+        tagger = pii.Tagger(4)
+        tagger.params["trans"], tagger.params["first"] = rng.normal(0, 2, (pii.TAGS, pii.TAGS)), rng.normal(0, 2, pii.TAGS)
+        scores = rng.normal(0, 2, (4, pii.TAGS))
+
+        def value(tags):
+            steps = sum(tagger.params["trans"][a, b] for a, b in zip(tags, tags[1:]))
+            return tagger.params["first"][tags[0]] + steps + sum(scores[n, t] for n, t in enumerate(tags))
+
+        assert tuple(tagger.decode(scores)) == max(itertools.product(range(pii.TAGS), repeat=4), key=value)
+
+
+def test_overlapping_windows_are_decoded_as_one(monkeypatch):
+    """A plain average of all windows over each character, decoded at once, gives the same spans."""
+    monkeypatch.setattr(pii, "plausible", lambda kind, text: True)
+    rng = random.Random(8)
+    tagger = pii.Tagger(6, seed=9)
+    tagger.params["out"] *= 8
+    texts = ["".join(rng.choice("ab 1@.2") for _ in range(n)) for n in (1, 40, pii.WINDOW, pii.WINDOW + 1, 5 * pii.WINDOW + 3)]
+    texts = [t if pii.ANCHOR.search(t) else t + "1" for t in texts]
+    found = pii.tagged_spans(texts, tagger)
+    assert sum(map(len, found)) > 20
+    for text, spans in zip(texts, found):
+        grid = pii.window_starts(text)
+        assert grid == list(range(len(grid)))  # dense in digits, so that one stretch covers the text
+        total, weight = np.zeros((len(text), pii.TAGS)), np.zeros(len(text))
+        for k in grid:
+            scores = tagger.scores(pii.windows_of(pii.encode(text), [k]))[0]
+            for t in range(pii.WINDOW):
+                place = k * pii.STRIDE + t
+                if place < len(text):
+                    near = 1.0 + min(t, pii.WINDOW - 1 - t)
+                    total[place] += near * scores[t]
+                    weight[place] += near
+        tags = tagger.decode(total / weight[:, None])
+        plain, place = [], 0
+        while place < len(text):
+            end = place + 1
+            if tags[place] % 2 == 1:
+                while end < len(text) and tags[end] == tags[place] + 1:
+                    end += 1
+                plain.append((pii.KINDS[tags[place] // 2], place, end))
+            place = end
+        assert spans == plain
+
+
 def test_tagger_on_texts_it_has_not_seen(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     seen, rest = docs.filter("doc_id % 3 > 0"), docs.filter("doc_id % 3 = 0")
@@ -174,6 +264,30 @@ def test_mixer_is_a_probability_and_knows_its_text():
     assert familiar > foreign / 4
 
 
+def test_costs_are_those_of_a_plain_loop():
+    mixer, rate = small_mixer(), 0.03
+    mixer.weights = np.random.default_rng(1).normal(0.3, 0.1, mixer.weights.shape).astype(np.float32) / lm_scoring.GRAIN
+    texts = [b"the cat sat on the mat. " * 30, b"", b"zqx jvk", bytes(range(256)) * 5]
+    got = lm_scoring.log10_probabilities(texts, mixer)
+    for text, score in zip(texts, got):
+        odds, gates, signs, lengths = mixer.bits(np.concatenate([lm_scoring.PADDING, np.frombuffer(text, np.uint8)]), True)
+        assert len(lengths) == len(text) + 1
+        ends, cost, shift = np.cumsum(lengths), 0.0, [0.0] * lm_scoring.PREDICTORS
+        edges = lm_scoring.block_edges(len(lengths))
+        for first, last in zip(edges, edges[1:]):
+            low, high = (int(ends[first - 1]) if first else 0), int(ends[last - 1])
+            slope = [0.0] * lm_scoring.PREDICTORS
+            for bit in range(low, high):
+                margin = sum((float(mixer.weights[gates[bit], k]) + shift[k]) * float(odds[k][bit]) for k in range(lm_scoring.PREDICTORS))
+                right = 1 / (1 + math.exp(-max(-12.0, min(12.0, margin)) * signs[bit]))
+                cost -= math.log(right)
+                for k in range(lm_scoring.PREDICTORS):
+                    slope[k] += signs[bit] * (1 - right) * float(odds[k][bit])
+            for k in range(lm_scoring.PREDICTORS):
+                shift[k] += rate / lm_scoring.GRAIN**2 / math.sqrt(high - low) * slope[k]
+        assert score == pytest.approx(-cost / math.log(10), rel=1e-3, abs=1e-3)
+
+
 def test_long_texts_go_on_from_piece_to_piece():
     mixer = small_mixer()
     score = lm_scoring.log10_probabilities([b"the cat sat on the mat. " * 9000, b"", b"the"], mixer)
