@@ -28,6 +28,8 @@ TAGS = 1 + 2 * len(KINDS)  # outside, then opening and inside of each kind
 WINDOW = 64
 STRIDE = 32
 SYMBOLS = 99
+SCORED = 4096  # windows scored at once
+UNSETTLED = 4096  # characters after which the past is settled
 ANCHOR = re.compile("[0-9@]")
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -242,17 +244,48 @@ class Tagger:
 
     def decode(self, scores: np.ndarray) -> list[int]:
         """Best tags of one stretch of characters."""
-        trans = self.params["trans"]
-        best, links = self.params["first"] + scores[0], []
-        for row in scores[1:]:
-            ways = best[:, None] + trans
-            links.append(ways.argmax(0))
-            best = ways.max(0) + row
-        tags = [int(best.argmax())]
+        decoder = Decoder(self)
+        return [*decoder.push(scores), *decoder.close()]
+
+
+class Decoder:
+    """Best tags of a stretch that comes in pieces; the past that all ways still open share is given out, so that little is held."""
+
+    def __init__(self, tagger: Tagger):
+        self.first, self.trans = tagger.params["first"], tagger.params["trans"]
+        self.best, self.links, self.look = None, [], UNSETTLED
+
+    def push(self, scores: np.ndarray) -> list[int]:
+        rows = iter(scores)
+        if self.best is None and len(scores):
+            self.best = self.first + next(rows)
+        for row in rows:
+            ways = self.best[:, None] + self.trans
+            self.links.append(ways.argmax(0))
+            self.best = ways.max(0) + row
+        return self._settled() if len(self.links) >= self.look else []
+
+    def _settled(self) -> list[int]:
+        ways = np.arange(TAGS)
+        for n in range(len(self.links) - 1, -1, -1):
+            ways = self.links[n][ways]
+            if (ways == ways[0]).all():
+                tags = self._back(int(ways[0]), self.links[:n])
+                self.links, self.look = self.links[n + 1 :], UNSETTLED
+                return tags
+        self.look = 2 * len(self.links)
+        return []
+
+    @staticmethod
+    def _back(tag: int, links: list[np.ndarray]) -> list[int]:
+        tags = [tag]
         for link in reversed(links):
             tags.append(int(link[tags[-1]]))
         return tags[::-1]
 
+    def close(self) -> list[int]:
+        return [] if self.best is None else self._back(int(self.best.argmax()), self.links)
+
 
 def tag_windows(text: str, starts: list[int], spans: list[Span]) -> np.ndarray:
     tags = np.zeros(max(len(text), (starts[-1] * STRIDE if starts else 0)) + WINDOW, np.int64)
@@ -266,12 +299,48 @@ def tag_windows(text: str, starts: list[int], spans: list[Span]) -> np.ndarray:
 MIDDLE = 1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])
 
 
+def scored_windows(texts: list[str], starts: list[list[int]], tagger: Tagger) -> Iterator[np.ndarray]:
+    """Scores of the windows of all texts in turn, made ``SCORED`` at a time."""
+    rows: list[np.ndarray] = []
+    size = 0
+    for text, own in zip(texts, starts):
+        symbols = encode(text) if own else None
+        for at in range(0, len(own), SCORED):
+            some = own[at : at + SCORED]
+            rows.append(windows_of(symbols[some[0] * STRIDE : some[-1] * STRIDE + WINDOW], [k - some[0] for k in some]))
+            size += len(rows[-1])
+            if size >= SCORED:
+                yield from tagger.scores(np.concatenate(rows))
+                rows, size = [], 0
+    if rows:
+        yield from tagger.scores(np.concatenate(rows))
+
+
+def stretch_tags(places: int, size: int, scores: Iterator[np.ndarray], tagger: Tagger) -> bytearray:
+    """Tags of the ``size`` characters under ``places`` neighbouring windows, whose scores are averaged, those near a window's middle weighing more."""
+    decoder, tags = Decoder(tagger), bytearray()
+    total, weight = np.zeros((WINDOW, TAGS)), np.zeros(WINDOW)
+    for place in range(places):
+        if place:
+            tags += bytes(decoder.push(total[:STRIDE] / weight[:STRIDE, None]))
+            total = np.concatenate([total[STRIDE:], np.zeros((STRIDE, TAGS))])
+            weight = np.concatenate([weight[STRIDE:], np.zeros(STRIDE)])
+        total += next(scores) * MIDDLE[:, None]
+        weight += MIDDLE
+    rest = size - (places - 1) * STRIDE
+    tags += bytes(decoder.push(total[:rest] / weight[:rest, None]))
+    tags += bytes(decoder.close())
+    return tags
+
+
 def tagged_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
-    """Spans of the tagger in whole texts, with a digit or at sign each and plausible for their kind."""
+    """Spans of the tagger in whole texts, with a digit or at sign each and plausible for their kind.
+
+    However long a text is, the scores of ``SCORED`` windows are held at once, and of a stretch its tags, a byte a character.
+    """
     starts = [window_starts(t) for t in texts]
-    rows = [windows_of(encode(t), s) for t, s in zip(texts, starts) if s]
-    scores = tagger.scores(np.concatenate(rows)) if rows else np.empty((0, WINDOW, TAGS))
-    result, used = [], 0
+    scores = scored_windows(texts, starts, tagger)
+    result = []
     for text, own in zip(texts, starts):
         found: list[Span] = []
         at = 0
@@ -280,14 +349,8 @@ def tagged_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
             while upto < len(own) and own[upto] == own[upto - 1] + 1:
                 upto += 1
             first = own[at] * STRIDE
-            total = np.zeros(((own[upto - 1] - own[at]) * STRIDE + WINDOW, TAGS))
-            weight = np.zeros(len(total))
-            for k in range(at, upto):
-                place = own[k] * STRIDE - first
-                total[place : place + WINDOW] += scores[used + k] * MIDDLE[:, None]
-                weight[place : place + WINDOW] += MIDDLE
-            size = min(len(total), len(text) - first)
-            tags = tagger.decode((total / weight[:, None])[:size])
+            size = min((own[upto - 1] - own[at]) * STRIDE + WINDOW, len(text) - first)
+            tags = stretch_tags(upto - at, size, scores, tagger)
             place = 0
             while place < size:
                 if tags[place] % 2 == 1:
@@ -300,7 +363,6 @@ def tagged_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
                 else:
                     place += 1
             at = upto
-        used += len(own)
         result.append(found)
     return result
 

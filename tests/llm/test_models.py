@@ -170,8 +170,38 @@ def test_decoding_finds_the_best_of_all_tag_rows():
         assert tuple(tagger.decode(scores)) == max(itertools.product(range(pii.TAGS), repeat=4), key=value)
 
 
-def test_overlapping_windows_are_decoded_as_one(monkeypatch):
+def plain_decode(tagger, scores):
+    best, links = tagger.params["first"] + scores[0], []
+    for row in scores[1:]:
+        ways = best[:, None] + tagger.params["trans"]
+        links.append(ways.argmax(0))
+        best = ways.max(0) + row
+    tags = [int(best.argmax())]
+    for link in reversed(links):
+        tags.append(int(link[tags[-1]]))
+    return tags[::-1]
+
+
+def test_pieces_are_decoded_as_the_whole(monkeypatch):
+    rng = np.random.default_rng(6)
+    for held, spread in ((1, 1.0), (7, 0.3), (7, 0.0), (50, 0.3)):
+        monkeypatch.setattr(pii, "UNSETTLED", held)
+        tagger = pii.Tagger(4)
+        tagger.params["trans"] = rng.normal(0, 1, (pii.TAGS, pii.TAGS)) + (spread == 0) * 50 * np.eye(pii.TAGS)
+        scores = rng.normal(0, max(spread, 0.01), (400, pii.TAGS))
+        decoder, tags, most = pii.Decoder(tagger), [], 0
+        for part in np.array_split(scores, 41):
+            tags += decoder.push(part)
+            most = max(most, len(decoder.links))
+        assert tags + decoder.close() == plain_decode(tagger, scores)
+        assert spread == 0 or most < 150
+
+
+@pytest.mark.parametrize("held", [3, 4096])
+def test_overlapping_windows_are_decoded_as_one(monkeypatch, held):
     """A plain average of all windows over each character, decoded at once, gives the same spans."""
+    monkeypatch.setattr(pii, "SCORED", held)
+    monkeypatch.setattr(pii, "UNSETTLED", held)
     monkeypatch.setattr(pii, "plausible", lambda kind, text: True)
     rng = random.Random(8)
     tagger = pii.Tagger(6, seed=9)
@@ -192,7 +222,7 @@ def test_overlapping_windows_are_decoded_as_one(monkeypatch):
                     near = 1.0 + min(t, pii.WINDOW - 1 - t)
                     total[place] += near * scores[t]
                     weight[place] += near
-        tags = tagger.decode(total / weight[:, None])
+        tags = plain_decode(tagger, total / weight[:, None])
         plain, place = [], 0
         while place < len(text):
             end = place + 1
