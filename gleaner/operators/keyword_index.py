@@ -7,13 +7,14 @@ chunk add up without moving postings.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as tx
 from gleaner.operators.common import require_rows
+from gleaner.sources.scratch import stage
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,14 @@ class KeywordIndex:
     chunk_stats: DataFrame
     term_stats: DataFrame
     partitions: int | None = None
+    # The same postings, one row per chunk: ``lists(chunk_id, found)``, where they are at hand.
+    lists: DataFrame | None = None
+
+    def by_chunk(self) -> DataFrame:
+        """``(chunk_id, found)``, all postings of a chunk in one row."""
+        if self.lists is not None:
+            return self.lists
+        return self.postings.groupBy("chunk_id").agg(F.collect_list(F.struct("term", "tf", "dl")).alias("found"))
 
     def size_and_mean(self) -> tuple[Column, Column]:
         """Number of chunks and mean chunk length, as one scalar subquery."""
@@ -31,37 +40,61 @@ class KeywordIndex:
         return both["n"], both["mean"]
 
 
-def chunk_terms(chunks: DataFrame, stop_words: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """Term list per chunk, hash-partitioned by chunk.
+def term_counts(term_lists: Column) -> Column:
+    """``array<struct<term, tf, dl>>``: the distinct terms of a chunk's term lists, ``dl`` the size of the longest list with the term.
 
-    The text is exchanged before it is cut into terms: it is smaller than its
-    term list, and the cutting then runs on all partitions.
+    The terms are sorted inside the row and their runs measured, so that no
+    table of (chunk, term) groups is held.
     """
-    found = tx.terms(F.col("text"))
-    if stop_words:
-        found = F.filter(found, lambda t: ~t.isin(stop_words))
-    texts = chunks.select("chunk_id", "text")
-    placed = texts.repartition("chunk_id") if partitions is None else texts.repartition(partitions, "chunk_id")
-    return placed.select("chunk_id", found.alias("terms"))
+    tagged = F.flatten(F.transform(term_lists, lambda ts: F.transform(ts, lambda t: F.struct(t.alias("term"), F.size(ts).cast("bigint").alias("dl")))))
+
+    def runs(ordered: Column) -> Column:
+        n = F.size(ordered)
+        last = lambda i: (i == n) | (F.get(ordered, i)["term"] != F.get(ordered, i - 1)["term"])
+        return F.when(n > 0, F.filter(F.sequence(F.lit(1), n), last)).otherwise(F.array().cast("array<int>"))
+
+    def counted(ordered: Column, ends: Column) -> Column:
+        def one(end: Column, at: Column) -> Column:
+            row = F.get(ordered, end - 1)
+            return F.struct(row["term"].alias("term"), (end - F.coalesce(F.get(ends, at - 1), F.lit(0))).cast("bigint").alias("tf"), row["dl"].alias("dl"))
+
+        return F.transform(ends, one)
+
+    # arrays of one element bind what is used more than once
+    bound = F.transform(F.array(F.sort_array(tagged)), lambda s: F.struct(s.alias("s"), runs(s).alias("e")))
+    return F.get(F.transform(bound, lambda x: counted(x["s"], x["e"])), F.lit(0))
 
 
 def build_index(chunks: DataFrame, stop_words: list[str] | None = None, partitions: int | None = None) -> KeywordIndex:
-    """Index over ``chunks(chunk_id, text)``.
+    """Index over ``chunks(chunk_id, text)``; texts of the same id make one chunk.
 
     The three tables share one exchange on ``chunk_id``; Spark reuses it when
-    they meet in one query. With ``partitions`` set to the bucket count of a
-    later ``save_index``, the postings need no second exchange to be saved.
+    they meet in one query. It moves texts: they are smaller than their terms,
+    which are counted behind it, inside the row of their chunk. With
+    ``partitions`` set to the bucket count of a later ``save_index``, the
+    postings need no second exchange to be saved.
     """
-    listed = chunk_terms(chunks, stop_words, partitions).select("chunk_id", F.size("terms").cast("bigint").alias("dl"), "terms")
-    chunk_stats = listed.select("chunk_id", "dl")
-    postings = (
-        listed.select("chunk_id", "dl", F.explode_outer("terms").alias("term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy("chunk_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
-    )
+
+    def found(text: Column) -> Column:
+        return F.filter(tx.terms(text), lambda t: ~t.isin(stop_words)) if stop_words else tx.terms(text)
+
+    texts = chunks.select("chunk_id", "text")
+    placed = texts.repartition("chunk_id") if partitions is None else texts.repartition(partitions, "chunk_id")
+    chunk_stats = placed.select("chunk_id", F.size(found(F.col("text"))).cast("bigint").alias("dl"))
+    gathered = placed.groupBy("chunk_id").agg(F.collect_list("text").alias("texts"))
+    return _of_lists(gathered.select("chunk_id", term_counts(F.transform("texts", found)).alias("found")), chunk_stats, partitions)
+
+
+def _of_lists(lists: DataFrame, chunk_stats: DataFrame, partitions: int | None = None) -> KeywordIndex:
+    postings = lists.select("chunk_id", F.inline("found")).select("chunk_id", "term", "tf", "dl")
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return KeywordIndex(postings, chunk_stats, term_stats, partitions)
+    return KeywordIndex(postings, chunk_stats, term_stats, partitions, lists)
+
+
+def staged_index(index: KeywordIndex) -> KeywordIndex:
+    """The index with its tables staged, for work that reads it several times: the texts are cut into terms once."""
+    staged = _of_lists(stage(index.by_chunk(), "index-lists"), stage(index.chunk_stats, "index-chunks"))
+    return replace(staged, term_stats=stage(staged.term_stats, "index-terms"))
 
 
 def save_index(index: KeywordIndex, name: str, path: str, buckets: int = 64) -> None:

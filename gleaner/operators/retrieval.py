@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from gleaner.functions import text as tx
 from gleaner.operators.common import broadcast_batches, hinted, top_k, union_all
 from gleaner.operators.keyword_index import KeywordIndex
+from gleaner.sources.scratch import stage
 
 TOP_K = 5
 SCORE_DIGITS = 6
@@ -31,10 +32,12 @@ def bm25_topk(index: KeywordIndex, queries: DataFrame, k: int = TOP_K, k1: float
     """Best ``k`` chunks per query of ``queries(query_id, text)`` by BM25.
 
     Only chunks with at least one query term are returned; a term repeated in
-    the query counts once per occurrence. The query side is broadcast in
-    measured batches, so postings stay where they are: the sum per (query,
-    chunk) reuses the partitioning by chunk, and k rows per query leave each
-    partition.
+    the query counts once per occurrence. Queries with the same terms are
+    searched once. The postings that some query asks for are gathered by chunk,
+    where they lie already, and staged; a term is in as many chunks as it has
+    postings. The query side travels to the tasks in
+    measured batches; a task scores block by block and hands on k rows per
+    query, so pairs of query and chunk are never rows.
     """
     query_terms = (
         queries.select("query_id", F.explode_outer(tx.terms(F.col("text"))).alias("term"))
@@ -42,22 +45,116 @@ def bm25_topk(index: KeywordIndex, queries: DataFrame, k: int = TOP_K, k1: float
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
+    bags = query_terms.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "qtf"))).alias("bag"))
+    asked = stage(bags.select("query_id", F.sha2(F.to_json(F.struct("bag")), 256).alias("bag_id"), "bag"), "asked")
+    bag_terms = asked.groupBy("bag_id").agg(F.first("bag").alias("bag")).select("bag_id", F.inline("bag"))
+    terms = stage(bag_terms.select("term").distinct(), "asked-terms")
     n_chunks, mean_dl = index.size_and_mean()
-    known = index.term_stats.join(query_terms.select("term").distinct(), "term", "left_semi")
+    saturation = F.col("tf") / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / mean_dl))
+    met = index.postings.join(terms, "term", "left_semi").select("chunk_id", "term", saturation.alias("impact"))
+    lists = stage(met.groupBy("chunk_id").agg(F.collect_list("term").alias("terms"), F.collect_list("impact").alias("impacts")), "asked-postings")
+    known = lists.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = known.select("term", F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    weights = stage(bag_terms.join(idf, "term").select("bag_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")), "asked-weights")
 
     def score(batch: DataFrame, small: bool) -> DataFrame:
-        weights = batch.join(idf, "term").select("query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight"))
-        saturation = F.col("tf") / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / mean_dl))
-        scored = (
-            index.postings.join(hinted(weights, small), "term")
-            .groupBy("query_id", "chunk_id")
-            .agg(F.round(F.sum(F.col("weight") * saturation), SCORE_DIGITS).alias("score"))
-        )
-        return top_k(scored, ["query_id"], [F.desc("score"), F.asc("chunk_id")], k)
+        if small:
+            return _scan_postings(lists, batch, k)
+        # one query of very many terms: a plain join
+        met_terms = lists.select("chunk_id", F.explode(F.arrays_zip("terms", "impacts")).alias("p")).select("chunk_id", F.col("p.terms").alias("term"), F.col("p.impacts").alias("impact"))
+        return met_terms.join(batch, "term").groupBy("bag_id", "chunk_id").agg(F.round(F.sum(F.col("weight") * F.col("impact")), SCORE_DIGITS).alias("score"))
+
+    batches = broadcast_batches(weights, "bag_id")
+    best = top_k(union_all([score(batch, small) for batch, small in batches]), ["bag_id"], [F.desc("score"), F.asc("chunk_id")], k)
+    return asked.select("query_id", "bag_id").join(best, "bag_id").select("query_id", "rank", "chunk_id", "score")
+
+
+# Pairs of query and chunk that are scored at once.
+SCORED_PAIRS = 1 << 21
+
+
+def _scan_postings(lists: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+    """``(bag_id, chunk_id, score)``: of each task's ``lists(chunk_id, terms, impacts)`` the best ``k`` per bag of ``weights(bag_id, term, weight)``."""
+    id_type = lists.schema["chunk_id"].dataType
+    schema = T.StructType([T.StructField("bag_id", T.StringType()), T.StructField("chunk_id", id_type), T.StructField("score", T.DoubleType())])
+    numeric = isinstance(id_type, T.IntegralType)
+    arrow_schema = pa.schema([("bag_id", pa.string()), ("chunk_id", pa.int64() if numeric else pa.string()), ("score", pa.float64())])
+    ordered = lists.withColumn("chunk_id", F.col("chunk_id").cast("bigint" if numeric else "string"))
+    rows = weights.select("bag_id", "term", "weight").toArrow()
+    sent = lists.sparkSession.sparkContext.broadcast(_bag_matrix(rows))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, bag_ids, starts, ends, bags, bag_weights = sent.value
+        best = [_Best(k) for _ in range(0, len(bag_ids), QUERY_BLOCK)]
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK_BLOCK):
+                block = batch.slice(at, CHUNK_BLOCK)
+                ids = _sortable_ids(block.column("chunk_id"))
+                term = pc.index_in(block.column("terms").flatten(), terms).fill_null(-1).to_numpy(zero_copy_only=False)
+                impact = block.column("impacts").flatten().to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(block.num_rows), pc.list_value_length(block.column("terms")).to_numpy(zero_copy_only=False))
+                order = np.flatnonzero(term >= 0)
+                order = order[np.argsort(term[order], kind="stable")]
+                term, impact, row = term[order], impact[order], row[order]
+                for number, kept in enumerate(best):
+                    _score_block(kept, ids, term, impact, row, starts[number], ends[number], bags[number], bag_weights[number], min(QUERY_BLOCK, len(bag_ids) - number * QUERY_BLOCK))
+        for number, kept in enumerate(best):
+            if kept.vec is not None and kept.query.size:
+                chosen = bag_ids.take(pa.array(kept.query + number * QUERY_BLOCK))
+                yield pa.RecordBatch.from_arrays([chosen, _plain_ids(kept.vec, arrow_schema[1].type), pa.array(kept.score)], schema=arrow_schema)
+
+    return ordered.mapInArrow(scan, T.StructType([schema[0], T.StructField("chunk_id", T.LongType() if numeric else T.StringType()), schema[2]])).select(
+        "bag_id", F.col("chunk_id").cast(id_type).alias("chunk_id"), "score"
+    )
+
+
+QUERY_BLOCK = 1024
+CHUNK_BLOCK = SCORED_PAIRS // QUERY_BLOCK
+
+
+def _bag_matrix(rows: pa.Table) -> tuple:
+    """Terms and bags of weights as arrays, per block of bags in the order of the terms."""
+    terms, bag_ids = pc.unique(rows.column("term")), pc.unique(rows.column("bag_id"))
+    term = pc.index_in(rows.column("term"), terms).to_numpy(zero_copy_only=False)
+    bag = pc.index_in(rows.column("bag_id"), bag_ids).to_numpy(zero_copy_only=False)
+    weight = rows.column("weight").to_numpy()
+    starts, ends, bags, weights = [], [], [], []
+    for at in range(0, len(bag_ids), QUERY_BLOCK):
+        own = np.flatnonzero((bag >= at) & (bag < at + QUERY_BLOCK))
+        own = own[np.argsort(term[own], kind="stable")]
+        used, first, n = np.unique(term[own], return_index=True, return_counts=True)
+        starts.append(used)
+        ends.append(np.stack([first, n]))
+        bags.append(bag[own] - at)
+        weights.append(weight[own])
+    return terms, bag_ids, starts, ends, bags, weights
+
+
+def _score_block(best: _Best, ids: np.ndarray, term: np.ndarray, impact: np.ndarray, row: np.ndarray, used: np.ndarray, places: np.ndarray, bags: np.ndarray, weights: np.ndarray, n_bags: int) -> None:
+    """Scores of one block of chunks for one block of bags; postings and weights are in the order of their terms."""
+    low, high = np.searchsorted(term, used, "left"), np.searchsorted(term, used, "right")
+    scores = np.zeros((n_bags, len(ids)))
+    for t in np.flatnonzero(high > low):
+        of_term, of_bags = slice(low[t], high[t]), slice(places[0, t], places[0, t] + places[1, t])
+        # a term is once in a bag and once in a chunk
+        scores[np.ix_(bags[of_bags], row[of_term])] += np.outer(weights[of_bags], impact[of_term])
+    live = np.flatnonzero(scores.any(1))
+    if len(live):
+        scores = scores[live]
+        best.add(ids, np.where(scores > 0, np.round(scores, SCORE_DIGITS), -np.inf).T, live)
+
+
+def _sortable_ids(column: pa.Array) -> np.ndarray:
+    """Ids as an array that sorts as Spark does, null first."""
+    if pa.types.is_integer(column.type):
+        return column.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+    return np.array(["" if v is None else "+" + v for v in column.to_pylist()], dtype=np.str_)
+
 
-    batches = broadcast_batches(query_terms, "query_id")
-    return union_all([score(batch, small) for batch, small in batches]).select("query_id", "rank", "chunk_id", "score")
+def _plain_ids(ids: np.ndarray, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_integer(kind):
+        return pa.array(ids, pa.int64(), mask=ids == -(1 << 63))
+    return pa.array([v[1:] if v else None for v in ids.tolist()], kind)
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -82,14 +179,14 @@ class _Best:
         self.score = np.empty(0)
         self.vec = None
 
-    def add(self, vec_ids: np.ndarray, scores: np.ndarray) -> None:
-        """``scores`` is (vectors, queries)."""
+    def add(self, vec_ids: np.ndarray, scores: np.ndarray, queries: np.ndarray | None = None) -> None:
+        """``scores`` is (vectors, queries), the latter numbered from 0 or as ``queries`` says."""
         rows = scores.shape[0]
         scores = np.where(np.isnan(scores), -np.inf, scores)  # no score, no hit
         kth = np.partition(scores, rows - self.k, axis=0)[rows - self.k] if rows > self.k else scores.min(axis=0)
-        row, query = np.nonzero((scores >= kth) & (scores > -np.inf))
-        query = np.concatenate([self.query, query])
-        score = np.concatenate([self.score, scores[row, query[self.query.size :]]])
+        row, column = np.nonzero((scores >= kth) & (scores > -np.inf))
+        query = np.concatenate([self.query, column if queries is None else queries[column]])
+        score = np.concatenate([self.score, scores[row, column]])
         vec = vec_ids[row] if self.vec is None else np.concatenate([self.vec, vec_ids[row]])
         order = np.lexsort((vec, -score, query))
         query, score, vec = query[order], score[order], vec[order]

@@ -226,3 +226,38 @@ def test_vectors_that_a_search_cannot_take_are_listed(spark):
     assert rows(rejected, "vec_id") == [(2, "length 1"), (3, "null"), (4, "not finite"), (5, "not finite"), (7, "length 0"), (8, "not finite")]
     queries = spark.createDataFrame([(9, [1.0, 0.0])], "query_id bigint, embedding array<double>")
     assert [hit["chunk_id"] for hit in r.dense_topk(good, queries, 5).orderBy("rank").collect()] == [1, 6]
+
+
+def test_queries_of_the_same_terms_are_searched_once(spark, monkeypatch):
+    chunks, data = random_chunks(spark)
+    asked = [(i, ["t3 t24", "t24, T3", "t8"][i % 3]) for i in range(90)]
+    sizes = []
+    monkeypatch.setattr(r, "broadcast_batches", lambda df, key: sizes.append(df.count()) or broadcast_batches(df, key))
+    got = rows(r.bm25_topk(ki.build_index(chunks), spark.createDataFrame(asked, "query_id bigint, text string")), "query_id", "rank")
+    assert sizes == [3]
+    assert [g[:3] for g in got] == [w[:3] for w in bm25_by_hand(data, asked, 5)]
+
+
+def test_terms_are_counted_in_the_row_of_their_chunk(spark):
+    chunks = spark.createDataFrame([("a", "x1 y1 x1"), ("a", "y1 z1 y1 y1"), (None, "x1 q1"), ("b", ""), ("c", None)], "chunk_id string, text string")
+    index = ki.build_index(chunks)
+    assert rows(index.postings, "chunk_id", "term") == [(None, "q1", 1, 2), (None, "x1", 1, 2), ("a", "x1", 2, 3), ("a", "y1", 4, 4), ("a", "z1", 1, 4)]
+    plan = index.postings._jdf.queryExecution().executedPlan().toString()
+    assert " HashAggregate" not in plan  # no table of (chunk, term) groups
+    hits = rows(r.bm25_topk(index, spark.createDataFrame([(None, "x1"), (2, "x1 z1")], "query_id bigint, text string")), "query_id", "rank")
+    assert [h[:3] for h in hits] == [(None, 1, "a"), (None, 2, None), (2, 1, "a"), (2, 2, None)]
+
+
+def test_keywords_ask_for_each_term_once_per_part(spark, monkeypatch):
+    chunks, _ = random_chunks(spark)
+    index = ki.staged_index(ki.build_index(chunks.coalesce(1)))
+    asked, join = [], enrich.join_term_stats
+    monkeypatch.setattr(enrich, "join_term_stats", lambda found, *rest: asked.append((found.count(), found.select("term").distinct().count())) or join(found, *rest))
+    got = rows(enrich.top_keywords(index, 3), "chunk_id", "rank")
+    parts = index.lists.rdd.getNumPartitions()
+    assert asked[0][0] <= parts * asked[0][1] < index.postings.count()
+    n, dfs = index.chunk_stats.count(), {x["term"]: x["df"] for x in index.term_stats.collect()}
+    wanted = {}
+    for x in index.postings.collect():
+        wanted.setdefault(x["chunk_id"], []).append((-round(x["tf"] * math.log(n / dfs[x["term"]]), 6), x["term"]))
+    assert [(c, rank, t) for c, rank, t, _ in got] == [(c, i, t) for c in sorted(wanted) for i, (_, t) in enumerate(sorted(wanted[c])[:3], 1)]
