@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as tx
 from gleaner.operators.common import PART_ROWS, counted_join, top_k
 from gleaner.operators.keyword_index import KeywordIndex
+from gleaner.sources.scratch import stage
 
 TITLE_CHUNKS = 5
 QUESTIONS = 3
@@ -39,12 +45,56 @@ def join_term_stats(rows: DataFrame, index: KeywordIndex, spread_by: str, part_r
     return counted_join(rows, index.term_stats, ["term"], [spread_by], counts, part_rows)
 
 
+# Rows with their terms that one task looks up together.
+PART_SHIFT = 12
+
+
+def _in_parts(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` staged with ``part``, a number for at most ``1 << PART_SHIFT`` neighbouring rows."""
+    return stage(rows.withColumn("part", F.shiftright(F.monotonically_increasing_id(), PART_SHIFT)), label)
+
+
+def _with_term_stats(listed: DataFrame, index: KeywordIndex, use: Callable[[pa.Table, np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """``use(rows, dfs)`` for each part of ``listed(part, terms, ...)``; ``dfs`` of all its terms one after another, 0 for an unknown one.
+
+    A part asks for each of its terms once, so that terms move once per part
+    and not once per posting; every part meets its answers in one task.
+    """
+    wanted = listed.select(F.col("part").alias("asked_by"), F.explode("terms").alias("term")).distinct()
+    answers = join_term_stats(wanted, index, "asked_by").select("asked_by", "term", "df")
+
+    def meet(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        terms = pa.chunked_array([c.flatten() for c in rows.column("terms").chunks], pa.string())
+        at = pc.index_in(terms, answers.column("term")).fill_null(answers.num_rows).to_numpy()
+        return use(rows, np.append(answers.column("df").to_numpy(), 0)[at])
+
+    return listed.groupBy("part").cogroup(answers.groupBy("asked_by")).applyInArrow(meet, schema)
+
+
 def top_keywords(index: KeywordIndex, k: int = KEYWORDS) -> DataFrame:
     """``(chunk_id, rank, term, score)``: the ``k`` terms of a chunk with the highest tf-idf."""
     n_chunks, _ = index.size_and_mean()
-    weighted = join_term_stats(index.postings.select("chunk_id", "term", "tf"), index, "chunk_id").select(
-        "chunk_id", "term", F.round(F.col("tf") * F.log(n_chunks / F.col("df")), SCORE_DIGITS).alias("score")
-    )
+    listed = _in_parts(index.by_chunk().select("chunk_id", F.col("found.term").alias("terms"), F.col("found.tf").alias("tfs")), "chunk-terms")
+    total = max(index.chunk_stats.count(), 1)
+
+    def candidates(rows: pa.Table, dfs: np.ndarray) -> pa.Table:
+        """Terms that may be among the best ``k`` of their chunk once the scores are rounded."""
+        lengths = pc.list_value_length(rows.column("terms")).to_numpy()
+        tfs = pa.chunked_array([c.flatten() for c in rows.column("tfs").chunks], pa.int64()).to_numpy()
+        rough = tfs * np.log(total / np.maximum(dfs, 1))
+        chunk = np.repeat(np.arange(len(lengths)), lengths)
+        order = np.lexsort((-rough, chunk))
+        starts = np.cumsum(lengths) - lengths
+        kth = np.full(len(lengths), -np.inf)
+        full = lengths >= k
+        kth[full] = rough[order[starts[full] + k - 1]]
+        kept = np.flatnonzero((rough >= kth[chunk] - 2 * 10.0**-SCORE_DIGITS) & (dfs > 0))
+        terms = pa.chunked_array([c.flatten() for c in rows.column("terms").chunks], pa.string())
+        return pa.table({"chunk_id": rows.column("chunk_id").take(chunk[kept]), "term": terms.take(kept), "tf": tfs[kept], "df": dfs[kept]})
+
+    id_type = listed.schema["chunk_id"].dataType.simpleString()
+    found = _with_term_stats(listed, index, candidates, f"chunk_id {id_type}, term string, tf bigint, df bigint")
+    weighted = found.select("chunk_id", "term", F.round(F.col("tf") * F.log(n_chunks / F.col("df")), SCORE_DIGITS).alias("score"))
     return top_k(weighted, ["chunk_id"], [F.desc("score"), F.asc("term")], k)
 
 
@@ -78,20 +128,26 @@ def summarize(chunks: DataFrame, index: KeywordIndex) -> DataFrame:
 
     Ties go to the earlier sentence. Chunks without a term have no summary.
     """
-    n_chunks, _ = index.size_and_mean()
-    found = (
-        chunks.select("chunk_id", "text")
-        .repartition("chunk_id")
-        .select("chunk_id", F.posexplode_outer(tx.sentences(F.col("text"))).alias("sentence_no", "sentence"))
-        .select("chunk_id", "sentence_no", F.explode_outer(tx.terms(F.col("sentence"))).alias("term"))
-        .filter(F.col("term").isNotNull())
-        .groupBy("chunk_id", "sentence_no", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    total = max(index.chunk_stats.count(), 1)
+    spoken = chunks.select("chunk_id", F.transform(tx.sentences(F.col("text")), tx.terms).alias("spoken"))
+    listed = _in_parts(spoken.select("chunk_id", F.flatten("spoken").alias("terms"), F.transform("spoken", F.size).alias("sizes")).filter(F.size("terms") > 0), "sentence-terms")
+
+    def sums(rows: pa.Table, dfs: np.ndarray) -> pa.Table:
+        """Of each sentence how many known terms it has, and the sum of the logarithms of their frequencies."""
+        own = pc.list_value_length(rows.column("sizes")).to_numpy()
+        sizes = pa.chunked_array([c.flatten() for c in rows.column("sizes").chunks], pa.int32()).to_numpy()
+        chunk, number = np.repeat(np.arange(len(own)), own), np.arange(len(sizes)) - np.repeat(np.cumsum(own) - own, own)
+        sentence = np.repeat(np.arange(len(sizes)), sizes)
+        n = np.bincount(sentence, dfs > 0, len(sizes)).astype(np.int64)
+        logs = np.bincount(sentence, np.where(dfs > 0, np.log(total / np.maximum(dfs, 1)), 0.0), len(sizes))
+        kept = np.flatnonzero(n)
+        return pa.table({"chunk_id": rows.column("chunk_id").take(chunk[kept]), "sentence_no": pa.array(number[kept], pa.int32()), "total": logs[kept], "n": n[kept]})
+
+    id_type = listed.schema["chunk_id"].dataType.simpleString()
     rarity = (
-        join_term_stats(found, index, "chunk_id")
+        _with_term_stats(listed, index, sums, f"chunk_id {id_type}, sentence_no int, total double, n bigint")
         .groupBy("chunk_id", "sentence_no")
-        .agg(F.sum(F.col("tf") * F.log(n_chunks / F.col("df"))).alias("total"), F.sum("tf").alias("n"))
+        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
         .select("chunk_id", "sentence_no", F.round(F.col("total") / F.col("n"), SCORE_DIGITS).alias("rarity"))
     )
     best = rarity.groupBy("chunk_id").agg(F.min_by("sentence_no", F.struct(-F.col("rarity"), "sentence_no")).alias("best"))
@@ -147,7 +203,7 @@ def metadata_steps(index: KeywordIndex, keywords: int = KEYWORDS, questions: int
         return chunks.join(extract_title(chunks), "doc_id", "left")
 
     def terms(chunks: DataFrame) -> DataFrame:
-        best = top_keywords(index, max(keywords, questions))
+        best = stage(top_keywords(index, max(keywords, questions)), "keywords")
         asked = cloze_questions(chunks, best, questions)
         named = listed(best.filter(F.col("rank") <= keywords), "rank", "term", "keywords", ", ")
         return chunks.join(named, "chunk_id", "left").join(listed(asked, "question_no", "question", "questions", "\n"), "chunk_id", "left")

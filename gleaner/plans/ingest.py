@@ -271,7 +271,7 @@ def bm25_term_stats(t: Tables) -> DataFrame:
 
 @query("top_keywords", v.with_(v.CHUNK_UNITS, v.INDEX, v.KEYWORDS, select="SELECT chunk_id, rank, term, score FROM keywords"))
 def top_keywords(t: Tables) -> DataFrame:
-    return enrich.top_keywords(chunk_index(t)[1]).select("chunk_id", "rank", "term", "score")
+    return enrich.top_keywords(keyword_index.staged_index(chunk_index(t)[1])).select("chunk_id", "rank", "term", "score")
 
 
 CLOZE = rf"""
@@ -292,7 +292,7 @@ questions_made AS (
 )
 def chunk_questions(t: Tables) -> DataFrame:
     chunks, index = chunk_index(t)
-    return enrich.cloze_questions(chunks, enrich.top_keywords(index, enrich.QUESTIONS))
+    return enrich.cloze_questions(chunks, enrich.top_keywords(keyword_index.staged_index(index), enrich.QUESTIONS))
 
 
 SUMMARIES = f"""
@@ -316,7 +316,7 @@ summaries AS (SELECT chunk_id, doc_id, chunk_no, sentence AS summary FROM best J
 )
 def chunk_summary_prev(t: Tables) -> DataFrame:
     chunks, index = chunk_index(t)
-    return enrich.with_previous(enrich.summarize(chunks, index), "summary", "prev_summary").select("chunk_id", "summary", "prev_summary")
+    return enrich.with_previous(enrich.summarize(chunks, keyword_index.staged_index(index)), "summary", "prev_summary").select("chunk_id", "summary", "prev_summary")
 
 
 ENRICHED = """
@@ -333,7 +333,7 @@ ENRICHING = (v.CHUNK_UNITS, v.INDEX, v.KEYWORDS, CLOZE, TITLES, SUMMARIES, ENRIC
 
 def enriched(t: Tables) -> DataFrame:
     chunks = stage(chunking.chunk_windows(t.corpus()), "plain-chunks")
-    return enrich.run_transformations(chunks, enrich.metadata_steps(keyword_index.build_index(chunks)))
+    return enrich.run_transformations(chunks, enrich.metadata_steps(keyword_index.staged_index(keyword_index.build_index(chunks))))
 
 
 @query("enriched_chunks", v.with_(*ENRICHING, select="SELECT chunk_id, title, keywords, questions, summary, prev_summary FROM enriched"))
