@@ -25,7 +25,8 @@ class KeywordIndex:
     chunk_stats: DataFrame
     term_stats: DataFrame
     partitions: int | None = None
-    # The same postings, one row per chunk: ``lists(chunk_id, found)``, where they are at hand.
+    # The same postings, one row per chunk, with the number of its texts and their lengths:
+    # ``lists(chunk_id, found, n_texts, lengths)``, where they are at hand.
     lists: DataFrame | None = None
 
     def by_chunk(self) -> DataFrame:
@@ -68,11 +69,11 @@ def term_counts(term_lists: Column) -> Column:
 def build_index(chunks: DataFrame, stop_words: list[str] | None = None, partitions: int | None = None) -> KeywordIndex:
     """Index over ``chunks(chunk_id, text)``; texts of the same id make one chunk.
 
-    The three tables share one exchange on ``chunk_id``; Spark reuses it when
+    The tables of postings share one exchange on ``chunk_id``; Spark reuses it when
     they meet in one query. It moves texts: they are smaller than their terms,
-    which are counted behind it, inside the row of their chunk. With
-    ``partitions`` set to the bucket count of a later ``save_index``, the
-    postings need no second exchange to be saved.
+    which are counted behind it, inside the row of their chunk. Chunk lengths
+    need no exchange, unless ``partitions`` is set to the bucket count of a
+    later ``save_index``; nothing is exchanged a second time to be saved then.
     """
 
     def found(text: Column) -> Column:
@@ -80,9 +81,14 @@ def build_index(chunks: DataFrame, stop_words: list[str] | None = None, partitio
 
     texts = chunks.select("chunk_id", "text")
     placed = texts.repartition("chunk_id") if partitions is None else texts.repartition(partitions, "chunk_id")
-    chunk_stats = placed.select("chunk_id", F.size(found(F.col("text"))).cast("bigint").alias("dl"))
-    gathered = placed.groupBy("chunk_id").agg(F.collect_list("text").alias("texts"))
-    return _of_lists(gathered.select("chunk_id", term_counts(F.transform("texts", found)).alias("found")), chunk_stats, partitions)
+    chunk_stats = (texts if partitions is None else placed).select("chunk_id", F.size(found(F.col("text"))).cast("bigint").alias("dl"))
+    gathered = placed.groupBy("chunk_id").agg(F.collect_list("text").alias("texts"), F.count(F.lit(1)).alias("n_texts"))
+    # bound once: the terms are asked for their counts and for their number
+    cut = F.transform(F.array(F.transform("texts", found)), lambda ts: F.struct(
+        term_counts(ts).alias("found"), F.transform(ts, lambda t: F.size(t).cast("bigint")).alias("lengths")
+    ))
+    lists = gathered.select("chunk_id", F.get(cut, F.lit(0)).alias("cut"), "n_texts")
+    return _of_lists(lists.select("chunk_id", "cut.found", "n_texts", "cut.lengths"), chunk_stats, partitions)
 
 
 def _of_lists(lists: DataFrame, chunk_stats: DataFrame, partitions: int | None = None) -> KeywordIndex:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.functions import text as tx
-from gleaner.operators.common import broadcast_batches, hinted, top_k, union_all
+from gleaner.operators.common import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_batches, hinted, measured_size, top_k, union_all
 from gleaner.operators.keyword_index import KeywordIndex
 from gleaner.sources.scratch import stage
 
@@ -33,11 +33,11 @@ def bm25_topk(index: KeywordIndex, queries: DataFrame, k: int = TOP_K, k1: float
 
     Only chunks with at least one query term are returned; a term repeated in
     the query counts once per occurrence. Queries with the same terms are
-    searched once. The postings that some query asks for are gathered by chunk,
-    where they lie already, and staged; a term is in as many chunks as it has
+    searched once. The postings that some query asks for stay in the row of
+    their chunk and are staged; a term is in as many chunks as it has
     postings. The query side travels to the tasks in
     measured batches; a task scores block by block and hands on k rows per
-    query, so pairs of query and chunk are never rows.
+    query, so neither postings nor pairs of query and chunk are ever rows.
     """
     query_terms = (
         queries.select("query_id", F.explode_outer(tx.terms(F.col("text"))).alias("term"))
@@ -49,10 +49,9 @@ def bm25_topk(index: KeywordIndex, queries: DataFrame, k: int = TOP_K, k1: float
     asked = stage(bags.select("query_id", F.sha2(F.to_json(F.struct("bag")), 256).alias("bag_id"), "bag"), "asked")
     bag_terms = asked.groupBy("bag_id").agg(F.first("bag").alias("bag")).select("bag_id", F.inline("bag"))
     terms = stage(bag_terms.select("term").distinct(), "asked-terms")
-    n_chunks, mean_dl = index.size_and_mean()
-    saturation = F.col("tf") / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / mean_dl))
-    met = index.postings.join(terms, "term", "left_semi").select("chunk_id", "term", saturation.alias("impact"))
-    lists = stage(met.groupBy("chunk_id").agg(F.collect_list("term").alias("terms"), F.collect_list("impact").alias("impacts")), "asked-postings")
+    met, n_chunks, mean_dl = _asked_lists(index, terms)
+    saturation = lambda tf, dl: tf / (tf + k1 * (1 - b + b * dl / F.lit(mean_dl)))
+    lists = met.select("chunk_id", "terms", F.zip_with("tfs", "dls", saturation).alias("impacts"))
     known = lists.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = known.select("term", F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     weights = stage(bag_terms.join(idf, "term").select("bag_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")), "asked-weights")
@@ -69,6 +68,51 @@ def bm25_topk(index: KeywordIndex, queries: DataFrame, k: int = TOP_K, k1: float
     return asked.select("query_id", "bag_id").join(best, "bag_id").select("query_id", "rank", "chunk_id", "score")
 
 
+def _asked_lists(index: KeywordIndex, terms: DataFrame) -> tuple[DataFrame, int, float | None]:
+    """``(chunk_id, terms, tfs, dls)``, staged, with the postings of ``terms(term)``; then the number of chunks and their mean length.
+
+    Lists are thinned out inside their rows by terms that travel to the tasks;
+    more terms than may travel thin out nothing, which costs room only. An
+    index without lists has its postings gathered by chunk.
+    """
+    if index.lists is None:
+        n, mean = index.size_and_mean()
+        found = F.collect_list(F.struct("term", "tf", "dl")).alias("found")
+        gathered = index.postings.join(terms, "term", "left_semi").groupBy("chunk_id").agg(found)
+        size = index.postings.sparkSession.range(1).select(n.alias("n"), mean.alias("mean")).first()
+        return stage(gathered.select("chunk_id", *_list_columns()), "asked-postings"), size["n"], size["mean"]
+    lists = index.lists.select("chunk_id", *_list_columns(), "n_texts", "lengths")
+    if all(size <= bound for size, bound in zip(measured_size(terms), (BROADCAST_ROWS, BROADCAST_BYTES))):
+        lists = _thinned_lists(lists, terms)
+    lists = stage(lists, "asked-postings")
+    total = F.aggregate("lengths", F.lit(0).cast("bigint"), lambda n, x: n + F.coalesce(x, F.lit(0)))
+    known = F.size(F.filter("lengths", lambda x: x.isNotNull()))
+    size = lists.agg(F.coalesce(F.sum("n_texts"), F.lit(0)).alias("n"), F.sum(total).alias("total"), F.sum(known).alias("known")).first()
+    mean = size["total"] / size["known"] if size["known"] else None
+    return lists.filter(F.size("terms") > 0).select("chunk_id", "terms", "tfs", "dls"), size["n"], mean
+
+
+def _list_columns() -> list[Column]:
+    return [F.col(f"found.{field}").alias(f"{field}s") for field in ("term", "tf", "dl")]
+
+
+def _thinned_lists(lists: DataFrame, terms: DataFrame) -> DataFrame:
+    """``lists`` with the postings of ``terms`` only, row by row."""
+    wanted = lists.sparkSession.sparkContext.broadcast(terms.select("term").toArrow().column("term").combine_chunks())
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("terms")
+            found = pc.is_in(column.flatten(), wanted.value)
+            kept = np.concatenate([[0], np.cumsum(found.to_numpy(zero_copy_only=False))])
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False))])
+            offsets = pa.array(kept[ends].astype(np.int32))
+            thinned = {name: pa.ListArray.from_arrays(offsets, batch.column(name).flatten().filter(found)) for name in ("terms", "tfs", "dls")}
+            yield pa.RecordBatch.from_arrays([thinned.get(name, batch.column(name)) for name in batch.schema.names], batch.schema.names)
+
+    return lists.mapInArrow(thin, lists.schema)
+
+
 # Pairs of query and chunk that are scored at once.
 SCORED_PAIRS = 1 << 21
 

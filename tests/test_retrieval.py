@@ -261,3 +261,33 @@ def test_keywords_ask_for_each_term_once_per_part(spark, monkeypatch):
     for x in index.postings.collect():
         wanted.setdefault(x["chunk_id"], []).append((-round(x["tf"] * math.log(n / dfs[x["term"]]), 6), x["term"]))
     assert got == [(c, i, t) for c in sorted(wanted) for i, (_, t) in enumerate(sorted(wanted[c])[:3], 1)]
+
+
+def test_postings_never_become_rows(spark):
+    texts = [(1, "aa bb bb"), (1, "bb cc"), (2, None), (3, ""), (4, "dd"), (None, "bb ee")]
+    chunks = spark.createDataFrame(texts, "chunk_id bigint, text string")
+    index = ki.build_index(chunks)
+    terms = spark.createDataFrame([("bb",), ("dd",), ("zz",)], "term string")
+    lists, n, mean = r._asked_lists(index, terms)
+    # a null text counts as a chunk without a length
+    assert (n, mean) == (6, 8 / 5)
+    got = {x["chunk_id"]: [x["terms"], x["tfs"], x["dls"]] for x in lists.collect()}
+    assert got == {1: [["bb"], [3], [3]], 4: [["dd"], [1], [1]], None: [["bb"], [1], [2]]}
+    thinned = r._thinned_lists(index.lists.select("chunk_id", *r._list_columns(), "n_texts", "lengths"), terms)
+    plan = thinned._jdf.queryExecution().toString().split("Physical Plan")[1]
+    assert "Generate" not in plan and plan.count("collect_list") <= 3
+
+
+def test_more_terms_than_may_travel_lose_nothing(spark, monkeypatch):
+    rng = random.Random(3)
+    chunks = spark.createDataFrame([(i, " ".join(rng.choices("aa bb cc dd ee".split(), k=8))) for i in range(60)], "chunk_id bigint, text string")
+    asked = spark.createDataFrame([(1, "aa bb"), (2, "cc dd dd")], "query_id bigint, text string")
+    few = rows(r.bm25_topk(ki.build_index(chunks), asked), "query_id", "rank")
+    monkeypatch.setattr(r, "BROADCAST_ROWS", 2)
+    assert rows(r.bm25_topk(ki.build_index(chunks), asked), "query_id", "rank") == few
+
+
+def test_hits_may_be_judged_before_their_texts_are_joined(spark):
+    hits = spark.createDataFrame([(1, 1, "a", " \n"), (1, 2, "b", "x"), (2, 1, "a", " \n"), (1, 3, "c", None)], "query_id long, rank long, chunk_id string, text string")
+    judged = hits.withColumn("seen", F.coalesce(F.length(F.trim(F.regexp_replace("text", r"\s", ""))) > 0, F.lit(False))).drop("text")
+    assert rows(answers.drop_blank_hits(judged, F.col("seen")).select("query_id", "rank", "chunk_id")) == rows(answers.drop_blank_hits(hits).select("query_id", "rank", "chunk_id")) == [(1, 1, "b")]
