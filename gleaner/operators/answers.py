@@ -35,10 +35,14 @@ def attach_chunks(hits: DataFrame, chunks: DataFrame) -> DataFrame:
     return chunks.join(stage(hits, "hits"), "chunk_id")
 
 
-def drop_blank_hits(hits: DataFrame) -> DataFrame:
-    """Hits whose text has a visible character; ranks close up."""
+def drop_blank_hits(hits: DataFrame, visible: Column | None = None) -> DataFrame:
+    """Hits whose text has a visible character; ranks close up.
+
+    ``visible`` is that judgement where the chunks were judged before they met
+    their hits, so that no text is repeated for each hit.
+    """
     position = F.row_number().over(Window.partitionBy("query_id").orderBy("rank"))
-    return hits.filter(tx.is_nonblank(F.col("text"))).withColumn("rank", position.cast("bigint"))
+    return hits.filter(tx.is_nonblank(F.col("text")) if visible is None else visible).withColumn("rank", position.cast("bigint"))
 
 
 def question_text(input_: Column, query: Column, prompt: Column) -> Column:

@@ -321,8 +321,9 @@ def no_valid_fallback(t: Tables) -> DataFrame:
     )
     units = t.documents_as_chunks()
     shown = units.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.lit(" \n")))
-    hits = stage(answers.attach_chunks(r.bm25_topk(keyword_index.build_index(units), asked, 2), shown), "shown-hits")
-    visible = answers.drop_blank_hits(hits)
+    judged = shown.select("chunk_id", "file_name", tx.is_nonblank(F.col("text")).alias("visible"))
+    hits = stage(answers.attach_chunks(r.bm25_topk(keyword_index.build_index(units), asked, 2), judged), "shown-hits")
+    visible = answers.drop_blank_hits(hits, F.col("visible"))
     return answers.with_fallback(asked, answers.retrieved_files(visible), hits=hits)
 
 
