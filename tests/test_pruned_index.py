@@ -72,3 +72,29 @@ def test_an_empty_index_is_an_error(spark, tmp_path):
     empty = spark.createDataFrame([], "chunk_id bigint, text string")
     with pytest.raises(ValueError, match="empty"):
         pruned_index.save_pruned(keyword_index.build_index(empty), str(tmp_path / "i"))
+
+
+def test_no_pairs_of_query_and_chunk_are_moved(spark, chunks, questions, tmp_path, monkeypatch):
+    seen = []
+    whole = pruned_index._scored_ranges
+
+    def watched(blocks, asked, k, parts, impact):
+        made = whole(blocks, asked, k, parts, impact)
+        seen.append((asked.count(), made.count()))
+        return made
+
+    monkeypatch.setattr(pruned_index, "_scored_ranges", watched)
+    monkeypatch.setattr(pruned_index, "PART_QUERIES", 16)
+    monkeypatch.setattr(pruned_index, "TASK_POSTINGS", 300)
+    stored = saved(chunks, tmp_path / "i", buckets=4, range_chunks=100)
+    exact = r.bm25_topk(keyword_index.build_index(chunks), questions, 3)
+    assert rows(pruned_index.pruned_topk(stored, questions, 3), "query_id", "rank") == rows(exact, "query_id", "rank")
+    assert len(seen) == 2 and all(0 < moved <= 3 * ranges for ranges, moved in seen)
+
+
+def test_ids_may_be_null_or_text(spark, tmp_path):
+    chunks = spark.createDataFrame([("b", "aa bb"), ("a", "aa bb"), (None, "aa"), ("c", None)], "chunk_id string, text string")
+    stored = saved(chunks, tmp_path / "i", buckets=2, range_chunks=1)
+    asked = spark.createDataFrame([(1, "aa bb"), (2, "aa"), (3, None)], "query_id int, text string")
+    exact = r.bm25_topk(keyword_index.build_index(chunks), asked)
+    assert rows(pruned_index.pruned_topk(stored, asked), "query_id", "rank") == rows(exact, "query_id", "rank")
