@@ -19,15 +19,27 @@ def per_worker(key: Hashable, make: Callable[[], object]) -> object:
 
     Task functions travel by value and have fresh globals in every task, so
     the object hangs on a module of its own. There is one at a time: a new
-    kind of work drops what the one before remembered.
+    kind of work drops what the one before remembered, and gives its memory back.
     """
     store = sys.modules.setdefault("_gleaner_worker_memo", types.ModuleType("_gleaner_worker_memo"))
     if getattr(store, "key", None) != key:
-        store.held = None
+        if getattr(store, "held", None) is not None:
+            store.held = store.key = None
+            give_back()
         store.held, store.key = make(), key
     return store.held
 
 
+def give_back() -> None:
+    """Memory that nothing holds any more goes back to the machine; allocators keep it for themselves otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own counsel
+        pass
+
+
 def sent(context: SparkContext, thing: object) -> Broadcast:
     """``thing`` on its way to the tasks together with the code of its class, for executors without this package."""
     return context.broadcast(cloudpickle.dumps(thing))
@@ -48,12 +60,7 @@ def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
             store = sys.modules.get("_gleaner_worker_memo")
             if store is not None:
                 store.held = store.key = None
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library keeps its own counsel
-                pass
+            give_back()
 
     return run
 

@@ -32,13 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.memo import Memo, per_worker
+from gleaner.llm.memo import Memo, give_back, per_worker
 from gleaner.llm.pretokens import Pieces, special_strings
 from gleaner.llm.token_counts import byte_letters
 from gleaner.sources.scratch import stage
 
 MEMO_WORDS = 300_000
-GROUP_CHARS = 8 << 20
+GROUP_CHARS = 4 << 20
 BLOCK_BYTES = 1 << 20
 BUCKET_KEYS = 1 << 16
 ROWS_OPENED = 8  # blocks in a row group
@@ -158,6 +158,8 @@ def write_payload(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
                     ids, keys, lengths, held = [], [], [], 0
         if keys:
             yield full()
+        ids, keys, lengths = [], [], []
+        give_back()  # the words stay for the next task
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
     ranged = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")

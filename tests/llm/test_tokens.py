@@ -122,3 +122,19 @@ def test_perfect_hash_is_minimal():
     assert sorted(numbers) == list(range(len(hashes)))
     assert (token_shards.find_numbers(levels, hashes) == numbers).all()
     assert sum(len(l) * 8 for l in levels) / len(hashes) < 6
+
+
+def test_a_new_kind_of_work_gives_the_memory_of_the_old_one_back(monkeypatch):
+    import sys
+
+    from gleaner.llm import memo
+
+    monkeypatch.delitem(sys.modules, "_gleaner_worker_memo", raising=False)
+    given = []
+    monkeypatch.setattr(memo, "give_back", lambda: given.append(getattr(sys.modules["_gleaner_worker_memo"], "held", None)))
+    first = memo.per_worker("a", lambda: [1])
+    assert memo.per_worker("a", lambda: [2]) is first and not given
+    assert memo.per_worker("b", lambda: [3]) == [3]
+    # once, and after the old work was dropped
+    assert given == [None]
+    sys.modules.pop("_gleaner_worker_memo", None)
