@@ -1,7 +1,9 @@
 import itertools
 import math
+import os
 import random
 import re
+import uuid
 import zlib
 from collections import Counter
 
@@ -387,6 +389,30 @@ def test_texts_of_the_weights_are_counted_too(spark, monkeypatch):
     assert some == pytest.approx(none)
 
 
+def test_weights_are_fitted_on_all_training_texts(spark, monkeypatch, tmp_path):
+    """Every training text once, long ones and repeated rows too; no other text."""
+    docs = spark.createDataFrame([(n, f"w{n * 7919 % 1000:03d} " * 9 if n else "x" * (lm_scoring.BATCH_BYTES + 5)) for n in [*range(400), 7]], "doc_id bigint, text string")
+    folder = str(tmp_path)
+
+    def fit(self, texts):
+        for text in texts:
+            with open(os.path.join(folder, uuid.uuid4().hex), "wb") as out:
+                out.write(text.tobytes())
+        return self
+
+    monkeypatch.setattr(lm_scoring.Mixer, "fit", fit)
+    lm_scoring.score_texts(docs, F.col("doc_id") % 5 != 1).collect()
+    expected = Counter(r["text"].encode() for r in docs.filter("doc_id % 5 != 1").collect())
+    assert Counter(path.read_bytes() for path in tmp_path.iterdir()) == expected
+
+
+def test_odds_of_several_counts():
+    code = lm_scoring.BitCode(np.ones((256, lm_scoring.SYMBOLS), np.int64))
+    keys, n = rows_of_counts([b"the cat sat on the mat.", b"the hat"])[0]
+    both = lm_scoring.NodeOdds(keys, np.column_stack([n, 3 * n]), code).along(keys)
+    assert (both[0] == lm_scoring.NodeOdds(keys, n, code).along(keys)).all() and (both[1] == lm_scoring.NodeOdds(keys, 3 * n, code).along(keys)).all()
+
+
 def test_ends_are_counted_and_padding_is_not():
     texts = [b"ab", b"", b"the cat sat on the mat.", b"x" * (lm_scoring.BATCH_BYTES + 5)]
     keys, n = rows_of_counts(texts)[0]
