@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import os
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -57,7 +56,8 @@ class TokenEncoder:
         self.library = Tokenizer.from_str(model)
         self.merges = self.library.model
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
-        self.kind, self.code, self.width = f"<u{width}", {2: "H", 4: "I"}[width], width
+        self.kind, self.width = f"<u{width}", width
+        self.packed = [number.to_bytes(width, "little") for number in range(max(self.library.get_vocab().values()) + 1)]
         self.pieces = Pieces(special_strings(model))
         self.words = Memo(self._word, MEMO_WORDS)
 
@@ -66,12 +66,11 @@ class TokenEncoder:
         return self._merged("".join(map(self.letters.__getitem__, token.encode())))
 
     def _merged(self, letters: str) -> bytes:
-        found = [t.id for t in self.merges.tokenize(letters)]
-        return struct.pack(f"<{len(found)}{self.code}", *found)
+        return b"".join([self.packed[t.id] for t in self.merges.tokenize(letters)])
 
     def _word(self, key: str) -> bytes:
-        if key.isascii() and key.isalpha():  # stands for itself in the vocabulary's letters
-            return self._merged(self.letters[32] + key)
+        if key.isalpha():  # one token; ASCII letters stand for themselves in the vocabulary's letters
+            return self._merged(self.letters[32] + key) if key.isascii() else self._ids(" " + key)
         return b"".join(map(self._ids, self.pieces.tokens_of(key)))
 
     def encode(self, text: str) -> bytes:
@@ -96,16 +95,13 @@ class TokenEncoder:
         if plain:
             words = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
             coded = words.flatten().dictionary_encode()
-            packed = list(map(self.words.__getitem__, coded.dictionary.to_pylist()))
-            sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.width
-            ids = np.frombuffer(b"".join(packed), self.kind)
-            which = coded.indices.to_numpy()
-            lengths = sizes[which]
-            ends = np.cumsum(lengths)
-            text_ids = ids[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - lengths), lengths) + np.arange(ends[-1])]
-            bounds = np.concatenate([[0], ends])[words.offsets.to_numpy()]
+            packed = pa.array(list(map(self.words.__getitem__, coded.dictionary.to_pylist())), pa.large_binary())
+            # the words one after another: their bytes are those of the texts
+            taken = packed.take(coded.indices)
+            ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, 8 * taken.offset)
+            bounds = ends[words.offsets.to_numpy()].tolist()
             for number, first, last in zip(plain, bounds[:-1], bounds[1:]):
-                result[number] = text_ids[first:last].tobytes()
+                result[number] = taken.buffers()[2][first:last].to_pybytes()
         return result
 
 
