@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.components import components
 from gleaner.llm.memo import Memo, per_worker, tidy
 from gleaner.llm.stripes import SCHEMA, stripes_of, sum_stripes
-from gleaner.sources.scratch import release, stage
+from gleaner.sources.scratch import forget, release, stage
 
 MEMO_WORDS = 50_000
 CELLS = 1 << 20
@@ -243,6 +243,7 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     concerned = rays.select("digest").unionByName(rays.select(F.col("leader").alias("digest"))).distinct()
     classes = classes.drop("common", "lowest")
     star_sets = stage(_sets(texts, classes.join(concerned, "digest").select("digest", "first_id"), width), "star-sets")
+    forget(docs.sparkSession)
     members = star_sets.select("digest", F.array("tokens").alias("left"))
     heads = star_sets.select(F.col("digest").alias("leader"), F.array("tokens").alias("right"))
     against = rays.join(members, "digest").join(heads, "leader").select(F.col("digest").alias("x"), F.col("leader").alias("y"), "left", "right")
@@ -277,6 +278,7 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "qualifying",
     )
 
+    forget(docs.sparkSession)
     rows = stage(sets.select("doc_id", "n", F.when(F.col("n") > 0, F.col("digest")).alias("digest")), "rows")
     release(sets)
 
@@ -284,6 +286,7 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     concerned = qualifying.select(F.col("x").alias("label")).unionByName(qualifying.select(F.col("y").alias("label"))).distinct()
     named = labelled.select("digest", "first_id", "label")
     opened = stage(_sets(texts, named.filter(F.col("digest") == F.col("label")).join(concerned, "label").select("digest", "first_id", "label"), width), "opened")
+    forget(docs.sparkSession)
     head = opened.select("label", F.array("tokens").alias("set"))
     found, known = None, None
     for first, last in ROUNDS:
@@ -302,6 +305,7 @@ def shingle_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .groupBy("label", "chunk").agg(F.collect_list("tokens").alias("set")),
         "bundles",
     )
+    forget(docs.sparkSession)
     more = stage(_linked(_with_sets(apart, bundles, bundles), percent), "member-links")
     release(bundles)
 
