@@ -27,11 +27,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.components import components
-from gleaner.llm.memo import Memo, per_worker, tidy
+from gleaner.llm.memo import tidy
 from gleaner.llm.stripes import SCHEMA, stripes_of, sum_stripes
 from gleaner.sources.scratch import forget, release, stage
 
-MEMO_WORDS = 50_000
+# Texts are hashed in runs of about so many characters.
+RUN_CHARS = 1 << 16
 CELLS = 1 << 20
 CHUNK_SETS = 64
 # Hash functions under which documents may meet a leader.
@@ -48,24 +49,52 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted distinct 64-bit hashes of the shingles of a text; shared words are looked up."""
+    """Sorted distinct 64-bit hashes of the shingles of texts."""
 
     def __init__(self, width: int):
         self.width = width
-        self.words = Memo(xxhash.xxh3_64_intdigest, MEMO_WORDS)
-
-    def of(self, text: str | None) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-        if not words:
-            return np.empty(0, np.uint64)
-        if len(words) < self.width:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-        hashes = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        last = len(words) - self.width + 1
-        sums = np.zeros(last, np.uint64)
+
+    def of_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The sets of all texts one after another, and where each begins, the end last.
+
+        Texts are hashed together, as most of the time for a short one would
+        go into the calls.
+        """
+        words, ends, short = [], [0], []
+        for text in texts:
+            own = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+            if 0 < len(own) < self.width:
+                short.append((len(words), xxhash.xxh3_64_intdigest(b" ".join(own), seed=len(own))))
+            words += own
+            ends.append(len(words))
+        hashes = np.zeros(len(words) + self.width - 1, np.uint64)
+        hashes[: len(words)] = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        sums = np.zeros(len(words), np.uint64)
         for k in range(self.width):
-            sums += hashes[k : k + last] * ODD[k]
-        return np.unique(mixed(sums))
+            sums += hashes[k : k + len(words)] * ODD[k]
+        # a shingle at every word: those that run on into the next text do not count
+        made, counts = mixed(sums), np.zeros(len(words), bool)
+        for start, end in zip(ends, ends[1:]):
+            last = max(end - self.width + 1, start)
+            made[start:last].sort()
+            counts[start:last] = True
+            counts[start + 1 : last] = made[start + 1 : last] != made[start : max(last - 1, start)]
+        for at, whole in short:
+            made[at], counts[at] = whole, True
+        return made[counts], np.concatenate([[0], np.cumsum(counts)])[ends]
+
+
+def together(column: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column in runs of about ``RUN_CHARS`` characters."""
+    held, size = [], 0
+    for text in column:
+        held.append(text.as_py())
+        size += len(held[-1] or "")
+        if size > RUN_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def required(n: int, percent: int) -> int:
@@ -92,12 +121,12 @@ def _frequency_classes(texts: DataFrame, width: int) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = per_worker(("shingles", width), lambda: Shingler(width))
+        shingler = Shingler(width)
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
-            column, held, size = batch.column(0), [], 0
-            for text in column:
-                held.append((shingler.of(text.as_py()) & np.uint64(CELLS - 1)).astype(np.int32))
+            held, size = [], 0
+            for texts in together(batch.column(0)):
+                held.append((shingler.of_all(texts)[0] & np.uint64(CELLS - 1)).astype(np.int32))
                 size += len(held[-1])
                 if size > CELLS:
                     total += np.bincount(np.concatenate(held), minlength=CELLS)
@@ -115,20 +144,32 @@ def _digested(docs: DataFrame, id_type: str, classes: np.ndarray, width: int, pe
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = per_worker(("shingles", width), lambda: Shingler(width))
+        shingler = Shingler(width)
         frequency = shared.value
         for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
             sizes, digests, lowest, common, rare = [], [], [], [], []
-            for text in batch.column(1):
-                tokens = shingler.of(text.as_py())
-                n = len(tokens)
-                sizes.append(n)
-                digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                lowest.append([int(mixed(tokens + ODD[5 + k]).min().view(np.int64)) for k in range(STAR_HASHES)] if n else None)
+            for texts in together(batch.column(1)):
+                tokens, ends = shingler.of_all(texts)
                 often = frequency[(tokens & np.uint64(CELLS - 1)).astype(np.int64)]
-                common.append(int(1000 * often.mean()) if n else 0)
                 order = (often.astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8))
-                rare.append(tokens[np.argsort(order, kind="stable")[: n - required(n, percent) + 1]].view(np.int64) if n else np.empty(0, np.int64))
+                n = np.diff(ends)
+                sizes += n.tolist()
+                least, mean = [None] * len(n), np.zeros(len(n), np.int64)
+                some = np.flatnonzero(n)
+                if len(some):
+                    # an empty set takes no place, so that each of the others ends where the next begins
+                    starts = ends[some]
+                    of_hash = [np.minimum.reduceat(mixed(tokens + ODD[5 + k]), starts).view(np.int64).tolist() for k in range(STAR_HASHES)]
+                    for at, low in zip(some.tolist(), zip(*of_hash)):
+                        least[at] = low
+                    mean[some] = 1000 * (np.add.reduceat(often.astype(np.int64), starts) / n[some])
+                lowest += least
+                common += mean.tolist()
+                for start, end in zip(ends.tolist(), ends[1:].tolist()):
+                    own = tokens[start:end]
+                    digests.append(xxhash.xxh3_128_digest(own.tobytes()))
+                    kept = end - start - required(end - start, percent) + 1 if end > start else 0
+                    rare.append(own[np.argsort(order[start:end], kind="stable")[:kept]].view(np.int64))
             lengths = np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32)
             tokens = pa.array(np.concatenate(rare) if rare else np.empty(0, np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -143,13 +184,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """Token sets of ``wanted(digest, first_id, ...)`` from the texts, one row per wanted row; columns of ``wanted`` are kept."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = per_worker(("shingles", width), lambda: Shingler(width))
+        shingler = Shingler(width)
         for batch in (whole.slice(at, 1024) for whole in batches for at in range(0, whole.num_rows, 1024)):
-            made = [shingler.of(t.as_py()) for t in batch.column("text")]
-            right = [xxhash.xxh3_128_digest(m.tobytes()) == d for m, d in zip(made, batch.column("digest").to_pylist())]
+            made = []
+            for texts in together(batch.column("text")):
+                tokens, ends = shingler.of_all(texts)
+                made += [tokens[start:end].tobytes() for start, end in zip(ends.tolist(), ends[1:].tolist())]
+            right = [xxhash.xxh3_128_digest(m) == d for m, d in zip(made, batch.column("digest").to_pylist())]
             columns = [batch.column(c) for c in batch.schema.names if c != "text"]
             names = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([m.tobytes() for m in made], pa.binary())], [*names, "tokens"]).filter(pa.array(right, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.binary())], [*names, "tokens"]).filter(pa.array(right, pa.bool_()))
 
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"])).select("text", *wanted.columns)
     made = found.mapInArrow(tidy(tokens), ", ".join(f"{c} {t}" for c, t in found.drop("text").dtypes) + ", tokens binary")

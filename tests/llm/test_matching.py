@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from gleaner.llm import decontamination, jaccard_join
@@ -59,6 +60,16 @@ def test_components_of_near_copies(spark, width, percent):
     assert got == brute_groups(rows, width, percent)
 
 
+def test_texts_hashed_together_have_the_sets_of_each_alone():
+    texts = ["", "a b c", None, "w x y z", " \n ", "A b C d a b c d a b c d", "one", "p q r s t u v"]
+    shingler = jaccard_join.Shingler(4)
+    tokens, ends = shingler.of_all(texts)
+    sets = [tokens[start:end].tolist() for start, end in zip(ends, ends[1:])]
+    assert [len(s) for s in sets] == [len(shingles(t, 4)) for t in texts]
+    assert sets == [shingler.of_all([t])[0].tolist() for t in texts] and all(s == sorted(set(s)) for s in sets)
+    assert [len(run) for run in jaccard_join.together(pa.array([None, "x" * (jaccard_join.RUN_CHARS + 1), "y", None, "z"]))] == [2, 3]
+
+
 def test_one_large_group_of_different_copies(spark):
     rng = random.Random(9)
     base = [f"w{rng.randrange(300)}" for _ in range(150)]
