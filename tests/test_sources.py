@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,6 +125,20 @@ def test_scratch_is_the_configured_folder(spark):
     assert rows(stage(spark.range(3), "three"), "id") == [(0,), (1,), (2,)]
 
 
+def test_a_staged_table_leaves_no_exchanges(spark):
+    kept = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    many = [spark.range(1000).groupBy((F.col("id") % 7 + i).alias("k")).count() for i in range(3)]
+    before = kept()
+    staged = [stage(df, "exchanged") for df in many]
+    for _ in range(50):  # they are removed in the background
+        if kept() <= before:
+            break
+        time.sleep(0.1)
+    assert kept() <= before
+    assert [df.count() for df in staged] == [7, 7, 7]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_headings_in_code_fences_are_text(spark):
     text = "# A\nx\n```py\n# no heading\n``\n~~~\n````\n## B\ny\n~~~\n# also none\n```\n~~~\n### C\n# D\n ```\n# open to the end"
     got = corpus.markdown_sections(spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "#none\n  # none")], "doc_id bigint, text string"))
