@@ -99,7 +99,7 @@ def _of_lists(lists: DataFrame, chunk_stats: DataFrame, partitions: int | None =
 
 def staged_index(index: KeywordIndex) -> KeywordIndex:
     """The index with its tables staged, for work that reads it several times: the texts are cut into terms once."""
-    staged = _of_lists(stage(index.by_chunk(), "index-lists"), stage(index.chunk_stats, "index-chunks"))
+    staged = _of_lists(stage(index.by_chunk(), "index-lists", "zstd"), stage(index.chunk_stats, "index-chunks"))
     return replace(staged, term_stats=stage(staged.term_stats, "index-terms"))
 
 

@@ -12,7 +12,7 @@ from gleaner.plans import views as v
 from gleaner.plans.registry import query
 from gleaner.plans.standins import Tables
 from gleaner.sources import corpus, files, store, tables
-from gleaner.sources.scratch import scratch_path, stage
+from gleaner.sources.scratch import release, scratch_path, stage
 
 NL = "chr(10)"
 
@@ -331,20 +331,34 @@ told AS (SELECT chunk_id, concat_ws(chr(10), title, keywords, questions, prev_su
 ENRICHING = (v.CHUNK_UNITS, v.INDEX, v.KEYWORDS, CLOZE, TITLES, SUMMARIES, ENRICHED)
 
 
-def enriched(t: Tables) -> DataFrame:
-    chunks = stage(chunking.chunk_windows(t.corpus()), "plain-chunks")
-    return enrich.run_transformations(chunks, enrich.metadata_steps(keyword_index.staged_index(keyword_index.build_index(chunks))))
+def enriched(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The metadata of the chunks, staged without the texts, and the staged chunks."""
+    chunks = stage(chunking.chunk_windows(t.corpus()), "plain-chunks", "zstd")
+    index = keyword_index.staged_index(keyword_index.build_index(chunks))
+    titles, terms, summaries = enrich.metadata_steps(index, texts=chunks)
+    made = enrich.run_transformations(chunks.drop("text"), [titles, terms])
+    # each step has staged what it makes of the index
+    release(index.lists)
+    made = enrich.run_transformations(made, [summaries])
+    release(index.chunk_stats, index.term_stats)
+    return stage(made, "metadata", "zstd"), chunks
 
 
 @query("enriched_chunks", v.with_(*ENRICHING, select="SELECT chunk_id, title, keywords, questions, summary, prev_summary FROM enriched"))
 def enriched_chunks(t: Tables) -> DataFrame:
-    return enriched(t).select("chunk_id", "title", "keywords", "questions", "summary", "prev_summary")
+    made, chunks = enriched(t)
+    release(chunks)
+    return made.select("chunk_id", "title", "keywords", "questions", "summary", "prev_summary")
 
 
 @query("enriched_postings", v.with_(*ENRICHING, f"said AS (SELECT chunk_id, unnest({v.terms('text')}) AS term FROM told)", select="SELECT chunk_id, term, count(*) AS tf FROM said GROUP BY ALL"))
 def enriched_postings(t: Tables) -> DataFrame:
     """The keyword index over chunks with their metadata in front."""
-    told = stage(enrich.metadata_text(enriched(t)).select("chunk_id", "text"), "enriched-chunks")
+    made, chunks = enriched(t)
+    # a chunk's metadata is one row, so of texts that share an id one stays
+    texts = chunks.select("chunk_id", "text").repartition("chunk_id").groupBy("chunk_id").agg(F.max("text").alias("text"))
+    told = stage(enrich.metadata_text(made.join(texts, "chunk_id")).select("chunk_id", "text"), "enriched-chunks", "zstd")
+    release(made, chunks)
     return keyword_index.build_index(told).postings.select("chunk_id", "term", "tf")
 
 

@@ -110,3 +110,26 @@ def test_metadata_stays_with_every_chunk(spark):
     assert found["c#0"]["keywords"] is None and found["c#0"]["questions"] is None and found["c#0"]["summary"] is None
     told = {r["chunk_id"]: r["text"] for r in enrich.metadata_text(got).collect()}
     assert told["a#1"].startswith("Herbs\nshade, wants\n") and told["a#1"].endswith("\nMint wants shade.") and told["c#0"] == ""
+
+
+def test_metadata_is_added_without_moving_texts(spark):
+    data = [("a#0", "a", 0, "# Herbs\nSage grows slowly. Mint spreads."), ("a#1", "a", 1, "Mint wants shade."), ("b#0", "b", 0, "?!"), ("c#0", "c", 0, None), ("a#1", "a", 1, "Mint wants sun.")]
+    chunks = spark.createDataFrame(data, "chunk_id string, doc_id string, chunk_no bigint, text string")
+    index = build_index(chunks)
+    columns = ["chunk_id", "title", "keywords", "questions", "summary", "prev_summary"]
+    whole = enrich.run_transformations(chunks, enrich.metadata_steps(index, keywords=2, questions=1)).select(columns)
+    bare = enrich.run_transformations(chunks.drop("text"), enrich.metadata_steps(index, keywords=2, questions=1, texts=chunks))
+    assert sorted(map(tuple, bare.select(columns).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    assert "text" not in bare.columns and bare.count() == 4
+
+
+def test_rare_terms_meet_their_frequencies_in_a_join(spark):
+    texts = ["Aa bb cc. Dd ee ff aa.", "Aa bb. Gg hh. Bb ee.", "Aa. Ii.", "Bb aa cc ff.", "", "Kk " * 3 + "aa."]
+    chunks = spark.createDataFrame([(f"c{i}", i, 0, t) for i, t in enumerate(texts)], "chunk_id string, doc_id bigint, chunk_no bigint, text string")
+    index = build_index(chunks)
+    whole = enrich.top_keywords(index, 2).orderBy("chunk_id", "rank").collect()
+    told = enrich.summarize(chunks, index).orderBy("chunk_id").collect()
+    for limit in (0, 1, 3):
+        assert enrich.top_keywords(index, 2, limit).orderBy("chunk_id", "rank").collect() == whole
+        assert enrich.summarize(chunks, index, limit).orderBy("chunk_id").collect() == told
+    assert [r["summary"] for r in told] == ["Dd ee ff aa.", "Gg hh.", "Ii.", "Bb aa cc ff.", "Kk Kk Kk aa."]
