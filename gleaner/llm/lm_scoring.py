@@ -409,19 +409,25 @@ class Mixer:
 
     def fit(self, texts: list[np.ndarray], rounds: int = 3, rate: float = 0.02) -> "Mixer":
         """Gated weights by online gradient steps over blocks of ``texts``, round after round."""
-        made = [self.bits(*piece)[:3] for data in texts for piece in pieces(data.tobytes())]
+        blocks = []
+        for odds, gates, signs in (self.bits(*piece)[:3] for data in texts for piece in pieces(data.tobytes())):
+            for at in range(0, len(gates), 4 * BLOCK):
+                part = slice(at, at + 4 * BLOCK)
+                size = np.bincount(gates[part], minlength=GATES)
+                self.fitted += size
+                blocks.append(([o[part] for o in odds], gates[part], signs[part], np.sqrt(np.maximum(size, 1))))
         for turn in range(rounds):
-            for odds, gates, signs in made:
-                for at in range(0, len(gates), 4 * BLOCK):
-                    part = slice(at, at + 4 * BLOCK)
-                    inputs = np.stack([o[part] for o in odds])
-                    margin = np.clip((self.weights[gates[part]].T * inputs).sum(0), -12, 12) * signs[part]
-                    missed = signs[part] / (1 + np.exp(margin))
-                    size = np.bincount(gates[part], minlength=GATES)
-                    if not turn:
-                        self.fitted += size
-                    for k in range(PREDICTORS):
-                        self.weights[:, k] += rate / GRAIN**2 / (1 + turn) * np.bincount(gates[part], missed * inputs[k], GATES) / np.sqrt(np.maximum(size, 1))
+            for inputs, gates, signs, root in blocks:
+                margin = self.weights[:, 0].take(gates) * inputs[0]
+                for k in range(1, PREDICTORS):
+                    margin += self.weights[:, k].take(gates) * inputs[k]
+                np.clip(margin, -12, 12, out=margin)
+                margin *= signs
+                np.exp(margin, out=margin)
+                margin += 1
+                missed = signs / margin
+                for k in range(PREDICTORS):
+                    self.weights[:, k] += rate / GRAIN**2 / (1 + turn) * np.bincount(gates, missed * inputs[k], GATES) / root
         return self
 
     def cost(self, texts: list[tuple[np.ndarray, bool]], shifts: np.ndarray, rate: float = 0.03) -> tuple[np.ndarray, np.ndarray]:
